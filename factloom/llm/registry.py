@@ -6,17 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from factloom.llm import mixing
+from factloom.llm.mixing import source_mix
 from factloom.llm.quality import quality_rules
 from factloom.session import table
 
 
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_quality_rules,)}
+    return {f.__name__: f for f in (op4_source_mix, op8_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_source_mix": mixing.SQL}
