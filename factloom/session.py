@@ -3,13 +3,34 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+PACKAGE = Path(__file__).resolve().parent
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the workers this package, unless their path already leads to it."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
+    if str(PACKAGE.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    path = Path(tempfile.mkdtemp()) / "factloom.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for p in sorted(PACKAGE.rglob("*.py")):
+            z.write(p, p.relative_to(PACKAGE.parent))
+    spark.sparkContext.addPyFile(str(path))
+
 
 def local_session(cpus: int | str = "*", partitions: int = 8, name: str = "factloom") -> SparkSession:
     """A session for tests and benchmarks; on a cluster the caller brings its own."""
-    return (
+    spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", str(partitions))
@@ -20,8 +41,11 @@ def local_session(cpus: int | str = "*", partitions: int = 8, name: str = "factl
         .config("spark.driver.memory", os.environ.get("FACTLOOM_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
+    ship(spark)
+    return spark
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables in a directory."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
