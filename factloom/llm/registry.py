@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm import mixing
+from factloom.llm import jaccard, mixing
 from factloom.llm.mixing import source_mix
 from factloom.llm.quality import quality_rules
 from factloom.session import table
@@ -20,9 +20,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "n_similar", "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_source_mix, op8_quality_rules)}
+    return {f.__name__: f for f in (op4_source_mix, op8_quality_rules, op9_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_source_mix": mixing.SQL}
+    return {"op4_source_mix": mixing.SQL, "op9_jaccard_join": jaccard.SQL}
