@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm import jaccard, mixing
+from factloom.llm import jaccard, mixing, warc
 from factloom.llm.mixing import source_mix
+from factloom.llm.pieces import token_counts
 from factloom.llm.quality import quality_rules
 from factloom.session import table
 
+#: A file of base64 tokens and ranks; public tokenizers' files are kept outside the repository.
+VOCABULARY = os.environ.get("FACTLOOM_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+
 
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -24,9 +33,13 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "n_similar", "component_id")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_source_mix, op8_quality_rules, op9_jaccard_join)}
+    return {f.__name__: f for f in (op4_source_mix, op5_warc, op8_quality_rules, op9_jaccard_join, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_source_mix": mixing.SQL, "op9_jaccard_join": jaccard.SQL}
+    return {"op4_source_mix": mixing.SQL, "op5_warc": warc.SQL, "op9_jaccard_join": jaccard.SQL}
