@@ -43,13 +43,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def salted_join(big: DataFrame, small: DataFrame, key: str, salt_of: Column, how: str = "inner", hot_rows: int = 200_000) -> DataFrame:
+def salted_join(big: DataFrame, small: DataFrame, key: str, salt_of: Column, how: str = "inner", hot_rows: int = 200_000, counts: DataFrame | None = None) -> DataFrame:
     """Equi-join in which a key with over hot_rows rows of `big` is spread over several salts.
 
     `small` must have few rows for each key; its rows of hot keys are repeated once for each salt.
+    counts: key and count of `big`, where they are known already.
     At most count(big) / hot_rows keys can be hot, so the table of hot keys is small and is broadcast.
     """
-    hot = big.groupBy(key).count().where(F.col("count") > hot_rows).select(key, F.ceil(F.col("count") / hot_rows).cast("int").alias("_salts"))
+    hot = (big.groupBy(key).count() if counts is None else counts).where(F.col("count") > hot_rows).select(key, F.ceil(F.col("count") / hot_rows).cast("int").alias("_salts"))
     hot = written(hot, "hot-keys")
     if not hot.take(1):
         return big.join(small, key, how)
