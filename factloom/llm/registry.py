@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from factloom.llm import jaccard, mixing, warc
+from factloom.llm.decontaminate import leaks
 from factloom.llm.linedup import dedup_lines
 from factloom.llm.mixing import source_mix
 from factloom.llm.pieces import token_counts
@@ -23,6 +24,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", "n_lines", "removed_lines", "n_words", "removed_words")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix(table(spark, sf_dir, "documents"))
 
@@ -44,7 +49,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op4_source_mix, op5_warc, op8_quality_rules, op9_jaccard_join, op10_token_counts)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op4_source_mix, op5_warc, op8_quality_rules, op9_jaccard_join, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
