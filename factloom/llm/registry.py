@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from factloom.llm import jaccard, mixing, warc
 from factloom.llm.decontaminate import leaks
 from factloom.llm.linedup import dedup_lines
+from factloom.llm.lm import scores
 from factloom.llm.mixing import source_mix
 from factloom.llm.pieces import token_counts
 from factloom.llm.quality import quality_rules
@@ -28,6 +29,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scores(table(spark, sf_dir, "documents"))
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix(table(spark, sf_dir, "documents"))
 
@@ -49,7 +54,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op4_source_mix, op5_warc, op8_quality_rules, op9_jaccard_join, op10_token_counts)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_lm_scores, op4_source_mix, op5_warc, op8_quality_rules, op9_jaccard_join, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
