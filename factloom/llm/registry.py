@@ -12,8 +12,10 @@ from factloom.llm.decontaminate import leaks
 from factloom.llm.linedup import dedup_lines
 from factloom.llm.lm import scores
 from factloom.llm.mixing import source_mix
+from factloom.llm.pii import find_pii
 from factloom.llm.pieces import token_counts
 from factloom.llm.quality import quality_rules
+from factloom.llm.secrets import secret_scan
 from factloom.session import table
 
 #: A file of base64 tokens and ranks; public tokenizers' files are kept outside the repository.
@@ -41,6 +43,14 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -54,7 +64,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_lm_scores, op4_source_mix, op5_warc, op8_quality_rules, op9_jaccard_join, op10_token_counts)}
+    every = (
+        op1_line_dedup, op2_decontamination, op3_lm_scores, op4_source_mix, op5_warc, op6_secret_scan, op7_pii, op8_quality_rules, op9_jaccard_join, op10_token_counts,
+    )
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
