@@ -20,27 +20,60 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from factloom.llm.blocks import Block, U, blocks, grams, mix
+from factloom.llm.blocks import Block, U, blocks, grams, mix, trim
 from factloom.llm.parts import part_keys, shuffle_partitions, split_by, to_parts
-from factloom.llm.shared import salted_join, written
+from factloom.llm.shared import salted_join, start, written
 
 #: Bounds of the tables that order n-grams, which are broadcast: 2 ** 18 words and 2 ** 19 n-grams, 12 bytes each.
 TOP_WORDS, TOP_GRAMS = 1 << 18, 1 << 19
 #: Words counted at once, and the counts from which such a batch reports a word or n-gram.
-COUNT_WORDS, LEAST = 4_000_000, 4
+COUNT_WORDS, LEAST = 2_000_000, 3
 BLOCK = 128
 #: Edges from which components are found by Spark instead of on the driver.
 DRIVER_EDGES = 4_000_000
 SLOTS = 1 << 22
 
 
-def lookup(table: tuple[np.ndarray, np.ndarray], h: np.ndarray, missing: float) -> np.ndarray:
-    keys, values = table
-    if not len(keys):
-        return np.full(len(h), missing)
-    i = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-    return np.where(keys[i] == h, values[i], missing)
+class Counts:
+    """Counts of some hashes, in two tables by their leading bits: what meets a larger count in the first goes to the second."""
+
+    def __init__(self, h: np.ndarray, count: np.ndarray):
+        order = np.lexsort((h, count))
+        self.h, self.count = h[order], count[order].astype(np.float32)
+        self._tables: list[tuple[int, np.ndarray, np.ndarray]] = []
+
+    def __getstate__(self) -> dict:
+        return {"h": self.h, "count": self.count, "_tables": []}  # built where they are used
+
+    def _build(self) -> None:
+        h, count = self.h, self.count
+        for extra in (3, 1):
+            bits = max(8, int(np.ceil(np.log2(max(1, len(self.h))))) + extra)
+            tag, value = np.zeros(1 << bits, np.uint32), np.zeros(1 << bits, np.float32)
+            slot = (h >> U(64 - bits)).astype(np.int64)
+            tag[slot], value[slot] = h.astype(np.uint32), count  # the last, largest one stays
+            self._tables.append((bits, tag, value))
+            lost = tag[slot] != h.astype(np.uint32)
+            h, count = mix(h[lost]), count[lost]
+
+    def of(self, h: np.ndarray, missing: float) -> np.ndarray:
+        if not self._tables:
+            self._build()
+        out = np.full(len(h), missing, np.float32)
+        todo = None
+        for bits, tag, value in self._tables:
+            slot = (h >> U(64 - bits)).astype(np.int64)
+            v = np.where(tag[slot] == h.astype(np.uint32), value[slot], np.float32(0))
+            at = np.flatnonzero(v)
+            if todo is None:
+                out[at] = v[at]
+                todo = np.flatnonzero(v == 0)
+                h = mix(h[todo])
+            else:
+                out[todo[at]] = v[at]
+        return out
 
 
 def gram_hashes(b: Block, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -96,47 +129,54 @@ class Order:
         found = written(found, "gram-counts")
         self.total = float(found.where("kind = 2").agg(F.sum("c")).first()[0] or 0)
         self.words, self.grams = self._top(found, 0, TOP_WORDS), self._top(found, 1, TOP_GRAMS)
-        self.rare = float(self.words[1].min()) if len(self.words[0]) == TOP_WORDS else max(1.0, self.total * LEAST / COUNT_WORDS / 2)
+        self.rare = float(self.words.count.min()) if len(self.words.h) == TOP_WORDS else max(1.0, self.total * LEAST / COUNT_WORDS / 2)
 
     @staticmethod
-    def _top(found: DataFrame, kind: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-        rows = found.where(F.col("kind") == kind).orderBy(F.desc("c"), "h").limit(most).select("h", "c").toPandas()
-        h = rows.h.to_numpy(np.int64).view(U)
-        order = np.argsort(h)
-        return h[order], rows.c.to_numpy(np.float32)[order]
+    def _top(found: DataFrame, kind: int, most: int) -> Counts:
+        rows = found.where(F.col("kind") == kind).orderBy(F.desc("c"), "h").limit(most).select("h", "c").toArrow()
+        return Counts(rows["h"].to_numpy().astype(np.int64).view(U), rows["c"].to_numpy())
 
     def sets(self, b: Block) -> Iterator[tuple[int, np.ndarray]]:
-        """The number of each text in the block with words, and its set as ascending keys: 8 bits of frequency, 56 of hash."""
+        """The number of each text in the block with words, and its set as ascending keys: 8 bits of frequency, 56 of hash.
+
+        A level depends on an n-gram's words alone, so equal n-grams have equal keys in every text.
+        """
         h, g, valid = gram_hashes(b, self.n)
-        f = lookup(self.words, h, self.rare)
-        guess = f.astype(np.float64)
+        f = self.words.of(h, self.rare)
+        guess = f.copy()
         for k in range(1, self.n):
-            guess[:-k] *= f[k:] / max(1.0, self.total) if len(f) > k else 1.0
-        count = lookup(self.grams, g, 0.0)
-        level = np.clip(np.log2(np.maximum(np.where(count > 0, count, guess), 2.0**-16)) * 6 + 100, 0, 255).astype(np.uint8)
-        one = np.repeat(np.diff(b.cut) < self.n, np.diff(b.cut))
-        level[one] = 0
-        # A level depends on an n-gram's words alone, so equal n-grams have equal keys in every text.
-        key = (level.astype(U) << U(56)) | (g >> U(8))
-        for i in range(b.n):
-            lo, hi = b.cut[i], b.cut[i + 1]
-            if lo < hi:
-                own = key[lo:hi]
-                yield i, np.unique(own[valid[lo:hi]])
+            guess[: max(0, len(f) - k)] *= f[k:] / np.float32(max(1.0, self.total))
+        count = self.grams.of(g, 0.0)
+        guess = np.where(count > 0, count, np.maximum(guess, np.float32(2**-16)))
+        level = np.clip((guess.view(np.int32) >> 21) - (111 << 2), 1, 255).astype(U)  # four for each doubling
+        level[np.repeat(np.diff(b.cut) < self.n, np.diff(b.cut))] = 0
+        yield from _distinct(b, (level << U(56)) | (g >> U(8)), valid)
+
+
+def _distinct(b: Block, key: np.ndarray, valid: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    for i in np.flatnonzero(np.diff(b.cut)):
+        lo, hi = b.cut[i], b.cut[i + 1]
+        yield i, np.unique(key[lo:hi][valid[lo:hi]])
+
+
+def plain_sets(b: Block, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The sets as ascending hashes of 56 bits, without the order."""
+    _, g, valid = gram_hashes(b, n)
+    yield from _distinct(b, g >> U(8), valid)
 
 
 def signature(keys: np.ndarray) -> int:
-    """63 bits that name a set."""
-    total = (int(mix(keys).sum(dtype=U)) + len(keys) * 0x9E3779B97F4A7C15) % 2**64
+    """63 bits that name a set, with or without the order's bits."""
+    total = (int(mix(keys & U(2**56 - 1)).sum(dtype=U)) + len(keys) * 0x9E3779B97F4A7C15) % 2**64
     return int(mix(np.array([total], U))[0] >> U(1))
 
 
-def _names(order: Order):  # noqa: ANN202
+def _names(n: int):  # noqa: ANN202
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sig, size = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
             for b in blocks(batch.column(1), lower=True):
-                for i, keys in order.sets(b):
+                for i, keys in plain_sets(b, n):
                     sig[b.first + i], size[b.first + i] = signature(keys), len(keys)
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "sig": pa.array(sig), "n": pa.array(size)})
 
@@ -187,7 +227,7 @@ def _postings(order: Order, percent: int, parts: np.ndarray):  # noqa: ANN202
                         docs.append((sig, len(own)))
                         keys.append(own[: prefix(len(own), percent)])
                         size += len(keys[-1])
-                if size >= 4_000_000:
+                if size >= 2_000_000:
                     yield from flush()
                     size = 0
         yield from flush()
@@ -195,30 +235,29 @@ def _postings(order: Order, percent: int, parts: np.ndarray):  # noqa: ANN202
     return postings
 
 
-def overlaps(key: np.ndarray, doc: np.ndarray, size: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def overlaps(packed: np.ndarray, bits: int, size: np.ndarray, percent: int, most: int = 4_000_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Pairs of documents and the number of keys they share, in batches; pairs whose sizes rule a link out are left out.
 
-    key and doc: one row for each member; size: of each document. Documents of a run are taken by size, so that a document's
-    partners end where they get too large.
+    packed: a key and below it `bits` bits of a document's number, for each member. Documents are numbered by size, so within a run of one
+    key the partners of a document end where they get too large.
     """
-    order = np.lexsort((doc, size[doc], key))
-    key, doc = key[order], doc[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-    key, doc = key[new], doc[new]
-    n = U(len(size))
-    live = np.flatnonzero(np.append(key[1:] == key[:-1], False))
+    packed.sort()
+    mask, shift, n = U((1 << bits) - 1), U(bits), U(len(size))
+    packed = packed[np.append(True, packed[1:] != packed[:-1])] if len(packed) else packed
+    same = (packed[1:] >> shift) == (packed[:-1] >> shift)
+    packed = packed[np.append(same, False) | np.append(False, same)]
+    live = np.flatnonzero(np.append((packed[1:] >> shift) == (packed[:-1] >> shift), False))
     held, many, step = [], 0, 1
     while len(live):
-        ok = (live + step < len(key)) & (key[np.minimum(live + step, len(key) - 1)] == key[live])
-        live = live[ok]
-        a, b = doc[live], doc[live + step]
+        live = live[live + step < len(packed)]
+        live = live[(packed[live + step] >> shift) == (packed[live] >> shift)]
+        a, b = packed[live] & mask, packed[live + step] & mask
         fits = 100 * size[a] >= percent * size[b]
         live, a, b = live[fits], a[fits], b[fits]
-        held.append(np.minimum(a, b).astype(U) * n + np.maximum(a, b).astype(U))
+        held.append(a * n + b)
         many += len(a)
         step += 1
-        if many >= 8_000_000 or not len(live):
+        if many >= most or not len(live):
             code, count = np.unique(np.concatenate(held), return_counts=True)
             held, many = [], 0
             yield (code // n).astype(np.int64), (code % n).astype(np.int64), count
@@ -226,43 +265,71 @@ def overlaps(key: np.ndarray, doc: np.ndarray, size: np.ndarray, percent: int) -
 
 def _candidates(percent: int):  # noqa: ANN202
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, docs, sigs, sizes, base = [], [], [], [], 0
-        for batch in batches:
-            for row in batch.to_pylist():
-                s = np.frombuffer(row["sigs"], np.int64)
-                raw = row["keys"]
-                m = len(raw) // 6
-                keys.append((np.frombuffer(raw[: 4 * m], np.uint32).astype(U) << U(16)) | np.frombuffer(raw[4 * m :], np.uint16))
-                docs.append(np.frombuffer(row["docs"], np.uint16 if len(s) <= 65535 else np.uint32).astype(np.int64) + base)
-                sigs.append(s)
-                sizes.append(np.frombuffer(row["sizes"], np.uint32).astype(np.int64))
-                base += len(s)
-        if not keys:
+        rows = [row for batch in batches for row in batch.to_pylist()]
+        if not rows:
             return
+        sigs = [np.frombuffer(row["sigs"], np.int64) for row in rows]
         names, first, of = np.unique(np.concatenate(sigs), return_index=True, return_inverse=True)
-        size = np.concatenate(sizes)[first]
-        for a, b, c in overlaps(np.concatenate(keys), of[np.concatenate(docs)], size, percent):
-            for at in range(0, len(a), 500_000):
-                i, j, k = a[at : at + 500_000], b[at : at + 500_000], c[at : at + 500_000]
+        size = np.concatenate([np.frombuffer(row["sizes"], np.uint32) for row in rows])[first].astype(np.int64)
+        order = np.argsort(size, kind="stable")
+        names, size, number = names[order], size[order], np.argsort(order)
+        bits = max(1, int(len(names) - 1).bit_length())
+        packed, base = [], 0
+        for row, s in zip(rows, sigs, strict=True):
+            raw, own = row.pop("keys"), number[of[base : base + len(s)]].astype(U)
+            key = unpacked48(raw)
+            packed.append((key << U(bits)) | own[np.frombuffer(row.pop("docs"), np.uint16 if len(s) <= 65535 else np.uint32)])
+            base += len(s)
+        rows, sigs, packed = [], [], np.concatenate(packed)
+        for a, b, c in overlaps(packed, bits, size, percent):
+            for at in range(0, len(a), 200_000):
+                i, j, k = a[at : at + 200_000], b[at : at + 200_000], c[at : at + 200_000]
+                low, high = np.minimum(names[i], names[j]), np.maximum(names[i], names[j])
+                swap = names[i] > names[j]
+                na, nb = np.where(swap, size[j], size[i]), np.where(swap, size[i], size[j])
                 yield pa.RecordBatch.from_pydict({
-                    "a": pa.array(names[i]), "b": pa.array(names[j]), "na": pa.array(size[i].astype(np.int32)), "nb": pa.array(size[j].astype(np.int32)), "c": pa.array(k.astype(np.int32)),
+                    "a": pa.array(low), "b": pa.array(high), "na": pa.array(na.astype(np.int32)), "nb": pa.array(nb.astype(np.int32)), "c": pa.array(k.astype(np.int32)),
                 })
+        del packed
+        trim()
 
     return candidates
 
 
-def _whole(order: Order, wanted: np.ndarray):  # noqa: ANN202
+def packed48(keys: np.ndarray) -> bytes:
+    """48 of the 56 bits of each member: two sets of 20,000 words share one by chance once in a million pairs."""
+    k = keys >> U(8)
+    return (k >> U(16)).astype(np.uint32).tobytes() + k.astype(np.uint16).tobytes()
+
+
+def unpacked48(raw: bytes) -> np.ndarray:
+    n = len(raw) // 6
+    return (np.frombuffer(raw[: 4 * n], np.uint32).astype(U) << U(16)) | np.frombuffer(raw[4 * n :], np.uint16)
+
+
+def _slot(ids: np.ndarray) -> np.ndarray:
+    return (mix(ids.astype(np.int64).view(U)) % U(SLOTS)).astype(np.int64)
+
+
+def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_pydict({"slot": pa.array(np.unique(_slot(batch.column(0).to_numpy())).astype(np.int32))})
+
+
+def _whole(n: int, wanted: np.ndarray):  # noqa: ANN202
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for b in blocks(batch.column(0), lower=True):
+            ids = batch.column(0)
+            keep = wanted[_slot(ids.fill_null(0).to_numpy(zero_copy_only=False))] | ids.is_null().to_numpy(zero_copy_only=False)
+            for b in blocks(batch.column(1).filter(pa.array(keep)), lower=True):
                 sigs, sets = [], []
-                for _, keys in order.sets(b):
+                for _, keys in plain_sets(b, n):
                     sig = signature(keys)
-                    if wanted[sig % SLOTS] and sig not in seen:
+                    if sig not in seen:
                         seen.add(sig)
                         sigs.append(sig)
-                        sets.append(keys.tobytes())
+                        sets.append(packed48(keys))
                 yield pa.RecordBatch.from_pydict({"sig": pa.array(sigs, pa.int64()), "members": pa.array(sets, pa.binary())})
 
     return whole
@@ -290,7 +357,7 @@ def product(sets: list[np.ndarray], chunk: int = 8192) -> np.ndarray:
 
 def _links(percent: int):  # noqa: ANN202
     def links(pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
-        members = {s: np.frombuffer(m, U) for s, m in zip(sets.sig, sets.members, strict=True)}
+        members = {s: unpacked48(m) for s, m in zip(sets.sig, sets.members, strict=True)}
         out = []
         for _, p in pairs.groupby("block", sort=True):
             a, b = p.a.to_numpy(), p.b.to_numpy()
@@ -301,15 +368,17 @@ def _links(percent: int):  # noqa: ANN202
             common = product(own)[i, j]
             ok = (100 + percent) * common >= percent * (size[i] + size[j])
             out.append(pd.DataFrame({"a": a[ok], "b": b[ok]}))
+        members.clear()
+        trim()
         return pd.concat(out) if out else pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
 
     return links
 
 
-def link_classes(docs: DataFrame, order: Order, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes of docs.text that link, each once; written."""
+def link_classes(docs: DataFrame, classes: DataFrame, order: Order, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes of docs (doc_id, text) that link, each once; written."""
     spark = docs.sparkSession
-    parts = part_keys(shuffle_partitions(spark, order.total * (100 - percent) / 100))
+    parts = part_keys(shuffle_partitions(spark, order.total * (100 - percent) / 100, 8e6))
     postings = docs.select("text").mapInArrow(_postings(order, percent, parts), "part int, keys binary, docs binary, sigs binary, sizes binary")
     found = to_parts(postings, len(parts)).mapInArrow(_candidates(percent), "a long, b long, na int, nb int, c int")
     found = found.groupBy("a", "b").agg(F.sum("c").alias("c"), F.max("na").alias("na"), F.max("nb").alias("nb"))
@@ -326,9 +395,12 @@ def link_classes(docs: DataFrame, order: Order, percent: int) -> DataFrame:
     volume = home.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     if not volume:
         return pairs.select("a", "b")
-    slots = home.select(F.pmod("sig", F.lit(SLOTS)).cast("int").alias("s")).distinct().toPandas().s.to_numpy()
+    # A class is read from the rows with its smallest doc_id, which a bit table of fixed size finds; what it lets by in excess, the
+    # join on the class leaves out.
     wanted = np.zeros(SLOTS, bool)
-    wanted[slots] = True
+    ids = home.join(classes, "sig").where("class_id is not null").select("class_id")
+    for part in ids.mapInArrow(_slots, "slot int").distinct().toArrow().column("slot").chunks:
+        wanted[part.to_numpy()] = True
 
     side = lambda c: home.select(F.col("sig").alias(c), F.col("home").alias(f"home_{c}"))
     placed = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -336,7 +408,7 @@ def link_classes(docs: DataFrame, order: Order, percent: int) -> DataFrame:
     buckets = shuffle_partitions(spark, 8 * volume, 24e6)
     placed = written(placed.withColumn("bucket", F.pmod("block", F.lit(buckets)).cast("int")), "placed")
     needed = placed.select(F.col("bucket").alias("room"), F.explode(F.array("a", "b")).alias("sig")).distinct()
-    sets = docs.select("text").mapInArrow(_whole(order, wanted), "sig long, members binary")
+    sets = docs.mapInArrow(_whole(order.n, wanted), "sig long, members binary")
     sets = needed.join(sets, "sig").select("room", "sig", "members")
     # Tasks that meet a class send its set once each; equal sets meet under one name in the function.
     done = placed.groupBy("bucket").cogroup(sets.groupBy("room")).applyInPandas(_links(percent), "a long, b long")
@@ -348,8 +420,8 @@ def components(edges: DataFrame, driver_edges: int = DRIVER_EDGES) -> DataFrame:
     the driver; beyond, labels spread by joins, with pointer jumping, each round written to the shared folder."""
     spark = edges.sparkSession
     if edges.count() <= driver_edges:
-        e = edges.select("a", "b").toPandas()
-        nodes, at = np.unique(np.concatenate([e.a.to_numpy(np.int64), e.b.to_numpy(np.int64)]), return_inverse=True)
+        e = edges.select("a", "b").toArrow()
+        nodes, at = np.unique(np.concatenate([e["a"].to_numpy(), e["b"].to_numpy()]).astype(np.int64), return_inverse=True)
         i, j, root = at[: len(e)], at[len(e) :], np.arange(len(nodes))
         while True:
             low = np.minimum(root[i], root[j])
@@ -376,6 +448,26 @@ def components(edges: DataFrame, driver_edges: int = DRIVER_EDGES) -> DataFrame:
             return roots
 
 
+def classes_of(docs: DataFrame, percent: int, n: int) -> tuple[DataFrame, DataFrame]:
+    """Of docs (doc_id, text): the class and size of each row's set; and of each class its first doc_id, rows, similar documents and
+    component. Both written."""
+    order = Order(docs, n)
+    named = written(docs.mapInArrow(_names(n), "doc_id long, sig long, n long"), "named")
+    classes = written(named.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")), "classes")
+    links = link_classes(docs, classes, order, percent)
+    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = both.join(classes.select(F.col("sig").alias("b"), "class_size"), "b").groupBy(F.col("a").alias("sig")).agg(F.sum("class_size").alias("linked"))
+    roots = components(links)
+    inside = roots.join(classes, F.col("node") == F.col("sig")).select("sig", "root", "class_id")
+    smallest = inside.groupBy("root").agg(F.min("class_id").alias("component_id"), F.min("sig").alias("first_sig"))
+    in_component = inside.join(smallest, "root").select("sig", "component_id", "first_sig")
+    known = classes.join(others, "sig", "left").join(in_component, "sig", "left").select(
+        "sig", "class_id", "class_size", (F.col("class_size") - 1 + F.coalesce("linked", F.lit(0))).alias("n_similar"),
+        F.when(F.col("first_sig").isNull(), F.col("class_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("first_sig", "sig").alias("first_sig"),
+    )
+    return named, written(known, "known")
+
+
 def similar(docs: DataFrame, percent: int = 60, n: int = 2) -> DataFrame:
     """One row for each row of docs: doc_id, n_shingles, n_similar, component_id, class_id (the smallest doc_id of the same set) and
     class_size.
@@ -385,28 +477,53 @@ def similar(docs: DataFrame, percent: int = 60, n: int = 2) -> DataFrame:
     doc_id takes part, but names no component unless all in it are null. An empty table gives an empty result. Other columns are
     ignored. Sets are named by 63-bit hashes.
     """
+    start(docs)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    order = Order(docs, n)
-    named = written(docs.mapInArrow(_names(order), "doc_id long, sig long, n long"), "named")
-    classes = written(named.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")), "classes")
-    links = link_classes(docs, order, percent)
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = both.join(classes.select(F.col("sig").alias("b"), "class_size"), "b").groupBy(F.col("a").alias("sig")).agg(F.sum("class_size").alias("linked"))
-    roots = components(links)
-    inside = roots.join(classes, F.col("node") == F.col("sig")).select("sig", "root", "class_id")
-    smallest = inside.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    in_component = inside.join(smallest, "root").select("sig", "component_id")
-    known = classes.join(others, "sig", "left").join(in_component, "sig", "left").select(
-        "sig", "class_id", "class_size", (F.col("class_size") - 1 + F.coalesce("linked", F.lit(0))).alias("n_similar"),
-        F.coalesce("component_id", "class_id").alias("component_id"),
-    )
-    known = written(known, "known")
-    of_docs = salted_join(named.where("n > 0"), known, "sig", F.col("doc_id"))
+    named, known = classes_of(docs, percent, n)
+    of_docs = salted_join(named.where("n > 0"), known, "sig", F.col("doc_id"), counts=known.select("sig", F.col("class_size").alias("count")))
     columns = ("doc_id", F.col("n").alias("n_shingles"), "n_similar", "component_id", "class_id", "class_size")
-    alone = named.where("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.lit(0).cast("long").alias("n_similar"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
+    zero = F.lit(0).cast("long")
+    alone = named.where("n = 0").select("doc_id", zero.alias("n_shingles"), zero.alias("n_similar"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
     return of_docs.select(*columns).unionByName(alone)
 
 
+def similar_rows(docs: DataFrame, percent: int = 60, n: int = 2, broadcast_rows: int = 500_000) -> DataFrame:
+    """docs without near duplicates, with their columns: of each component the row with the smallest doc_id stays (of several
+    equal ones, or where all are null, one), and rows without words stay, all of them. Cases are as in similar.
+
+    What goes is named by class and doc_id: broadcast where it has at most broadcast_rows rows, else joined on both, which no copies
+    share."""
+    start(docs)
+    named, known = classes_of(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), percent, n)
+    held = named.where("n > 0").groupBy("sig", "doc_id").agg(F.count("*").alias("times"))  # combined before the shuffle
+    held = salted_join(held, known.select("sig", "class_id", "component_id", "first_sig"), "sig", F.col("doc_id"), counts=known.select("sig", F.col("class_size").alias("count")))
+    first = F.col("doc_id").eqNullSafe(F.col("component_id")) & F.when(F.col("component_id").isNull(), F.col("sig") == F.col("first_sig")).otherwise(F.col("class_id") == F.col("component_id"))
+    decided = written(held.select("sig", "doc_id", "times", first.alias("stays")), "decided")
+    gone = decided.where("not stays").select(F.col("sig").alias("_s"), F.col("doc_id").alias("_d"))
+    again = decided.where("stays and times > 1").select(F.col("sig").alias("_s"), F.col("doc_id").alias("_d"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("_text"))
+    rows = rows.mapInArrow(_signed(n), StructType([*rows.schema.fields, StructField("_sig", LongType())]))
+    same = (F.col("_sig") == F.col("_s")) & F.col("_id").eqNullSafe(F.col("_d"))
+    small = gone.count() <= broadcast_rows
+    out = rows.join(F.broadcast(gone) if small else gone, same, "left_anti")
+    if again.take(1):
+        one = out.join(again, same, "left_semi").dropDuplicates(["_sig", "_id"])
+        out = out.join(again, same, "left_anti").unionByName(one)
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
+def _signed(n: int):  # noqa: ANN202
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sig = np.zeros(len(batch), np.int64)
+            for b in blocks(batch.column(2), lower=True):
+                for i, keys in plain_sets(b, n):
+                    sig[b.first + i] = signature(keys)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sig)], [*batch.schema.names, "_sig"])
+
+    return signed
+
+
 SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
