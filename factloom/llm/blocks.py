@@ -6,6 +6,7 @@ Hashes are 64 bits of a polynomial over random byte values, mixed afterwards.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,6 +24,19 @@ LEAD = (np.arange(256) & 0xC0) != 0x80
 #: Bytes hashed at once; temporaries take about 40 times as much.
 CHUNK = 1 << 20
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):  # another C library
+    _trim = None
+
+
+def trim() -> None:
+    """Give freed memory back to the system: workers live on after a task, beside others in the same container."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 _rng = np.random.default_rng(20240229)
 _VALUES = _rng.integers(1, 2**63, 256, dtype=np.int64).astype(U) * U(2) + U(1)
 _BASE = U(0x9E3779B97F4A7C15) | U(1)
@@ -132,7 +146,7 @@ def split_words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return start, end, np.searchsorted(start, off)
 
 
-def blocks(column: pa.Array, lower: bool = False, most: int = 4 * CHUNK) -> Iterator[Block]:
+def blocks(column: pa.Array, lower: bool = False, most: int = 2 * CHUNK) -> Iterator[Block]:
     """The texts of a column in blocks of about `most` bytes; a longer text is a block by itself."""
     buf, off = raw(column)
     i, n = 0, len(off) - 1
@@ -143,6 +157,7 @@ def blocks(column: pa.Array, lower: bool = False, most: int = 4 * CHUNK) -> Iter
             b = LOWER[b]
         yield Block(i, b, o, *split_words(b, o))
         i = j
+    trim()
 
 
 def grams(h: np.ndarray, cut: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from factloom.llm.blocks import Block, U, blocks, grams, span_hashes
+from factloom.llm.shared import start
 
 BLOCK_WORDS = 1_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -230,6 +231,7 @@ def leaks(docs: DataFrame, items: DataFrame, n: int = 3, share: float = 0.6, min
     of a null item_id are left out; repeated rows of docs or items give repeated results; empty tables an empty result. Other columns
     are ignored.
     """
+    start(docs)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
     for block in ready_blocks(docs, items, n, share, min_seeds):
@@ -257,6 +259,7 @@ def _leaks(items: Items, threshold: float):  # noqa: ANN202
 
 def decontaminate(docs: DataFrame, items: DataFrame, n: int = 3, share: float = 0.6, min_seeds: int = 2, threshold: float = 0.4) -> DataFrame:
     """The rows of docs in which no passage is found, with their columns. For cases, see leaks; a null text stays."""
+    start(docs)
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"))
     for block in ready_blocks(docs, items, n, share, min_seeds):
 

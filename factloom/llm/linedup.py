@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from factloom.llm.blocks import Block, U, blocks, mix, span_hashes
-from factloom.llm.shared import salted_join, written
+from factloom.llm.shared import salted_join, start, written
 
 LINES = "doc_id long, sig long, lines binary, words binary"
 
@@ -225,6 +225,7 @@ def dedup_lines(docs: DataFrame, min_words: int = 5, broadcast_bytes: int = 32 <
     of them. A null text stays null. An empty table gives an empty result. Sequences of lines are named by 63-bit hashes.
     What is to be deleted is broadcast where it has at most broadcast_bytes, else joined, with hot classes salted.
     """
+    start(docs)
     rest = [c for c in docs.columns if c not in ("text", *SIZES)]
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     _, gone = removals(ids, min_words)

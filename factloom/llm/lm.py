@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from factloom.llm.blocks import Block, U, blocks, mix, trim
 from factloom.llm.parts import part_keys, shuffle_partitions, split_by, to_parts
-from factloom.llm.shared import written
+from factloom.llm.shared import start, written
 
 START, END, RARE, WORDS = 0, 1, 2, 3
 #: The token at the end of a text; words' hashes are mixed sums of odd numbers and their lengths, so none is known to be this.
@@ -392,6 +392,7 @@ def scores(docs: DataFrame, classes: int = 512, size: int = 16, hot_share: int =
     Repeated rows train and are scored each. With no training documents counts are 0 and the model is its start. An empty
     table gives an empty result. Other columns are ignored.
     """
+    start(docs)
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (F.pmod(F.crc32(name), F.lit(folds)) == held).alias("held_out"))
     vocabulary = count_words(docs, hot_share, classes)

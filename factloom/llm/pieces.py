@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.llm.blocks import Block, blocks
+from factloom.llm.shared import start
 
 #: Longer words are matched one by one: a step over all words for each of their bytes would cost more.
 LONG_WORD = 128
@@ -168,6 +169,7 @@ def token_counts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     text has 0 of each; a null doc_id stays null; repeated rows give equal rows; an empty table an empty result. Other columns are
     ignored. One pass without a shuffle; the automaton (some 12 MB for 50,000 tokens) goes to each worker.
     """
+    start(docs)
     automaton = Automaton(vocabulary(vocabulary_path))
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

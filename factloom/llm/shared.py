@@ -9,6 +9,19 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from factloom.session import ship
+
+#: Arrow batches of texts: Spark's default of 64 MB is held several times at once, by the JVM and by each worker.
+BATCH_BYTES = "8m"
+
+
+def start(df: DataFrame) -> SparkSession:
+    """What an operator with Python code needs of the session of df."""
+    spark = df.sparkSession
+    ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return spark
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir. Only where that is unset (as in tests) a local one is made and set."""

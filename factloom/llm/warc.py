@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.shared import new_path, written
+from factloom.llm.shared import new_path, start, written
 
 DICTIONARY_MAGIC, FRAME_MAGIC = 0x184D2A5D, 0xFD2FB528
 VERSION = b"WARC/1.1"
@@ -200,7 +200,7 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, archive_bytes:
     The dictionary is trained on about sample_rows pages of up to 64 KB, taken by hash. A payload that many pages share meets its
     smallest page_id by a broadcast of the at most count / hot_rows hot digests; others meet it in a join on the digest.
     """
-    spark = pages.sparkSession
+    start(pages)
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     pages = pages.withColumn("digest", F.sha1("html"))
     groups = pages.where(F.octet_length("html") >= min_bytes).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
@@ -255,6 +255,7 @@ def _batch(rows: dict[str, list]) -> pa.RecordBatch:
 def read_warc(archives: DataFrame) -> DataFrame:
     """The records of archives (column archive): page_id, url, payload (null for revisits), payload_bytes, payload_digest, record_type
     and refers_to. A record that fails a check raises WarcError, with nothing left out silently."""
+    start(archives)
     n = max(1, archives.count())
     return archives.select("archive").repartition(n).mapInArrow(
         _read, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
