@@ -13,9 +13,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from factloom.llm.blocks import LEAD, SPACE, Block, U, blocks, grams, mix, span_hashes
-from factloom.llm.shared import written
+from factloom.llm.shared import start, written
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 EXTRA = ("n_lines", "n_upper", "n_lower", "n_digits", "n_marks", "n_short")
@@ -183,6 +184,31 @@ def threshold(score: np.ndarray, good: np.ndarray, most_wrong: float) -> float:
     return float(cuts[np.flatnonzero(value == value.max())[-1]])
 
 
+class Judge:
+    """Base rules, and a forest with the score from which it rejects; without a forest the rules alone."""
+
+    def __init__(self, seen: pd.DataFrame, trees: int, sample: int, most_wrong: float, min_words: int, seed: int):
+        self.min_words, self.forest, self.limit = min_words, None, float("inf")
+        good = seen.quality.to_numpy() > 0
+        if good.any() and not good.all():
+            x = features(seen)
+            self.forest = IsolationForest(trees, sample, seed).fit(x[good], x)
+            self.limit = threshold(self.forest.score(x), good, most_wrong)
+
+    def __call__(self, s: pd.DataFrame) -> pd.DataFrame:
+        s["base_failed"] = (s.n_words < self.min_words) | (100 * s.n_repeat_words > 50 * s.n_words)
+        s["anomaly"] = self.forest.score(features(s)) if self.forest is not None else 0.0
+        s["kept"] = ~s.base_failed & (s.anomaly <= self.limit)
+        return s
+
+
+def calibrated(stats: DataFrame, labels: DataFrame, trees: int, sample: int, fit_rows: int, most_wrong: float, min_words: int, seed: int) -> Judge:
+    base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    marks = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
+    seen = stats.where(~base).join(marks, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *COUNTS, *EXTRA).limit(fit_rows)
+    return Judge(seen.toArrow().to_pandas(), trees, sample, most_wrong, min_words, seed)
+
+
 def quality_rules(
     docs: DataFrame, labels: DataFrame, trees: int = 200, sample: int = 1024, fit_rows: int = 20_000, most_wrong: float = 0.002,
     min_words: int = 50, seed: int = 7,
@@ -195,23 +221,33 @@ def quality_rules(
     equal verdicts; with no good or no bad labelled row nothing is rejected beyond the base rules; no documents give no rows.
     Other columns of docs and labels are not read.
     """
+    start(docs)
     stats = written(rule_stats(docs), "rule-stats")
-    base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    marks = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
-    seen = stats.where(~base).join(marks, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *COUNTS, *EXTRA).limit(fit_rows).toPandas()
-    good = seen.quality.to_numpy() > 0
-    forest, limit = None, float("inf")
-    if good.any() and not good.all():
-        x = features(seen)
-        forest = IsolationForest(trees, sample, seed).fit(x[good], x)
-        limit = threshold(forest.score(x), good, most_wrong)
-
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for s in batches:
-            s["base_failed"] = (s.n_words < min_words) | (100 * s.n_repeat_words > 50 * s.n_words)
-            s["anomaly"] = forest.score(features(s)) if forest is not None else 0.0
-            s["kept"] = ~s.base_failed & (s.anomaly <= limit)
-            yield s
-
-    out = stats.mapInPandas(judge, STATS_SCHEMA + ", base_failed boolean, anomaly double, kept boolean")
+    judge = calibrated(stats, labels, trees, sample, fit_rows, most_wrong, min_words, seed)
+
+    def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from map(judge, batches)
+
+    out = stats.mapInPandas(judged, STATS_SCHEMA + ", base_failed boolean, anomaly double, kept boolean")
     return out.select("doc_id", *COUNTS, "base_failed", "kept", "anomaly")
+
+
+def keep_rows(
+    docs: DataFrame, labels: DataFrame, trees: int = 200, sample: int = 1024, fit_rows: int = 20_000, most_wrong: float = 0.002,
+    min_words: int = 50, seed: int = 7,
+) -> DataFrame:
+    """The rows of docs that quality_rules keeps, with their columns. Statistics are worked out for labelled rows to fit on, and then
+    for each row where it is judged, so that texts are not shuffled. Cases are as in quality_rules."""
+    start(docs)
+    known = F.broadcast(labels.where("doc_id is not null and quality is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * fit_rows))
+    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known, "doc_id", "left_semi")
+    judge = calibrated(written(rule_stats(some), "rule-stats"), labels, trees, sample, fit_rows, most_wrong, min_words, seed)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            verdict = judge(pd.DataFrame(text_stats(batch.column(1)))).kept
+            yield batch.filter(pa.array(verdict.to_numpy(bool)))
+
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"))
+    rows = rows.mapInArrow(kept, StructType(rows.schema.fields))
+    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns])
