@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.functions import text as T
-from factloom.operators import extraction, ordering, ranking, sampling, stats
+from factloom.operators import extraction, ordering, ranking, sampling, stats, tagging
 from factloom.plans.base import query
 from factloom.session import table
 
@@ -211,3 +211,21 @@ def key_union(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT lang, approx AS n_sources, n FROM (SELECT lang, count(DISTINCT source) AS approx, count(*) AS n FROM documents GROUP BY lang)")
 def distinct_sources(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").groupBy("lang").agg(F.countDistinct("source").alias("n_sources"), F.count("*").alias("n"))
+
+
+@query()
+def pos_tagged_verbs(spark: SparkSession, d: str) -> DataFrame:
+    """Verbs of the documents by lemma, from the rule tagger."""
+    tags = table(spark, d, "documents").where("lang = 'en'").select("doc_id", F.explode(tagging.verbs(tagging.known(tagging.tagged("text")))).alias("t"))
+    return tags.groupBy("t.lemma").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("df"))
+
+
+@query()
+def grammar_chunks(spark: SparkSession, d: str) -> DataFrame:
+    sents = extraction.sentence_rows(table(spark, d, "documents").where("lang = 'en'"))
+    return tagging.grammar_extract(sents, extraction.lexicon(spark)).select("doc_id", "sent_no", "chunk", "lemma", "token")
+
+
+@query()
+def clause_extract(spark: SparkSession, d: str) -> DataFrame:
+    return tagging.clause_extract(extraction.sentence_rows(table(spark, d, "documents")), extraction.lexicon(spark)).select("doc_id", "sent_no", "clause", "lemma")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from factloom.functions import text as T
 from factloom.plans.base import query
 from factloom.session import table
-from factloom.sources import html
+from factloom.sources import html, sites
 
 _UNESCAPE = "replace(replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#x27;', chr(39)), '&amp;', '&')"
 
@@ -41,3 +41,10 @@ def tag_strip(spark: SparkSession, d: str) -> DataFrame:
 @query(r"SELECT page_id, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) AS host, string_split(url, '/')[-1] AS tail FROM pages")
 def page_hosts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", T.host("url").alias("host"), T.last_segment("url").alias("tail"))
+
+
+@query(
+    r"""SELECT page_id, nullif(trim(regexp_replace(replace(replace(replace(replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#x27;', chr(39)), '&amp;', '&'), '\s+(\s)', '\1', 'g')), '') AS name FROM pages"""
+)
+def site_items(spark: SparkSession, d: str) -> DataFrame:
+    return sites.crawled(table(spark, d, "pages"), "plain").select("page_id", "name")
