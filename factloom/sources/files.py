@@ -23,8 +23,12 @@ STOPWORDS = {
 
 def read_items(spark: SparkSession, path: str, schema: str = ITEM) -> DataFrame:
     """JSON lines of a file, or of a folder's *.jsonl and *.jsonlines; lines that don't parse are left out. A nested field stays JSON text."""
-    rows = spark.read.schema(schema + ", _corrupt string").options(mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", pathGlobFilter="*.{jsonl,jsonlines}").json(path)
-    return rows.where("_corrupt is null").drop("_corrupt")
+    return parsed(spark.read.options(pathGlobFilter="*.{jsonl,jsonlines}").text(path).withColumnRenamed("value", "line"), schema)
+
+
+def parsed(lines: DataFrame, schema: str) -> DataFrame:
+    """Rows of a column line that holds JSON; others are left out."""
+    return lines.where(F.try_parse_json("line").isNotNull()).select(F.from_json("line", schema).alias("x")).select("x.*")
 
 
 def read_tar(spark: SparkSession, path: str, schema: str = ITEM) -> DataFrame:
@@ -40,7 +44,7 @@ def read_tar(spark: SparkSession, path: str, schema: str = ITEM) -> DataFrame:
                             yield pa.RecordBatch.from_pydict({"line": pa.array([x.decode("utf-8", "replace").rstrip("\r\n") for x in f], pa.string())})
 
     raw = spark.read.format("binaryFile").load(path).select("content").mapInArrow(lines, "line string")
-    return raw.select(F.from_json("line", schema).alias("x"), F.try_parse_json("line").isNotNull().alias("ok")).where("ok").select("x.*")
+    return parsed(raw, schema)
 
 
 def coalesced(text: Column) -> Column:
