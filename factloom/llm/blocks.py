@@ -22,7 +22,7 @@ LOWER[65:91] += 32
 #: Bytes that begin a code point.
 LEAD = (np.arange(256) & 0xC0) != 0x80
 #: Bytes hashed at once; temporaries take about 40 times as much.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 try:
     _trim = ctypes.CDLL(None).malloc_trim
@@ -132,6 +132,11 @@ def raw(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return buf[off[0] : off[-1]], off - off[0]
 
 
+def text_of(rows: pa.Array) -> pa.Array:
+    """The column text of an array of structs."""
+    return pc.struct_field(rows, "text")
+
+
 def split_words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte positions where words start and end, and the number of the first word of each text."""
     size = len(buf)
@@ -146,7 +151,7 @@ def split_words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return start, end, np.searchsorted(start, off)
 
 
-def blocks(column: pa.Array, lower: bool = False, most: int = 2 * CHUNK) -> Iterator[Block]:
+def blocks(column: pa.Array, lower: bool = False, most: int = 4 * CHUNK) -> Iterator[Block]:
     """The texts of a column in blocks of about `most` bytes; a longer text is a block by itself."""
     buf, off = raw(column)
     i, n = 0, len(off) - 1

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from factloom.llm.blocks import Block, U, blocks, grams, mix, trim
+from factloom.llm.blocks import Block, U, blocks, grams, mix, text_of, trim
 from factloom.llm.parts import part_keys, shuffle_partitions, split_by, to_parts
 from factloom.llm.shared import salted_join, start, written
 
@@ -131,6 +131,12 @@ class Order:
         self.words, self.grams = self._top(found, 0, TOP_WORDS), self._top(found, 1, TOP_GRAMS)
         self.rare = float(self.words.count.min()) if len(self.words.h) == TOP_WORDS else max(1.0, self.total * LEAST / COUNT_WORDS / 2)
 
+    def release(self) -> None:
+        """Drop the tables that were built here; a worker outlives its task."""
+        self.words._tables.clear()
+        self.grams._tables.clear()
+        trim()
+
     @staticmethod
     def _top(found: DataFrame, kind: int, most: int) -> Counts:
         rows = found.where(F.col("kind") == kind).orderBy(F.desc("c"), "h").limit(most).select("h", "c").toArrow()
@@ -227,15 +233,16 @@ def _postings(order: Order, percent: int, parts: np.ndarray):  # noqa: ANN202
                         docs.append((sig, len(own)))
                         keys.append(own[: prefix(len(own), percent)])
                         size += len(keys[-1])
-                if size >= 2_000_000:
+                if size >= 1_000_000:
                     yield from flush()
                     size = 0
         yield from flush()
+        order.release()
 
     return postings
 
 
-def overlaps(packed: np.ndarray, bits: int, size: np.ndarray, percent: int, most: int = 4_000_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def overlaps(packed: np.ndarray, bits: int, size: np.ndarray, percent: int, most: int = 2_000_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Pairs of documents and the number of keys they share, in batches; pairs whose sizes rule a link out are left out.
 
     packed: a key and below it `bits` bits of a document's number, for each member. Documents are numbered by size, so within a run of one
@@ -501,7 +508,7 @@ def similar_rows(docs: DataFrame, percent: int = 60, n: int = 2, broadcast_rows:
     decided = written(held.select("sig", "doc_id", "times", first.alias("stays")), "decided")
     gone = decided.where("not stays").select(F.col("sig").alias("_s"), F.col("doc_id").alias("_d"))
     again = decided.where("stays and times > 1").select(F.col("sig").alias("_s"), F.col("doc_id").alias("_d"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("_text"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("_id"))
     rows = rows.mapInArrow(_signed(n), StructType([*rows.schema.fields, StructField("_sig", LongType())]))
     same = (F.col("_sig") == F.col("_s")) & F.col("_id").eqNullSafe(F.col("_d"))
     small = gone.count() <= broadcast_rows
@@ -516,7 +523,7 @@ def _signed(n: int):  # noqa: ANN202
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sig = np.zeros(len(batch), np.int64)
-            for b in blocks(batch.column(2), lower=True):
+            for b in blocks(text_of(batch.column(0)), lower=True):
                 for i, keys in plain_sets(b, n):
                     sig[b.first + i] = signature(keys)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sig)], [*batch.schema.names, "_sig"])

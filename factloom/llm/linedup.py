@@ -193,23 +193,69 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sig)], [*batch.schema.names, "_sig"])
 
 
+def _shortened(texts: list[str | None], lines: Iterator[tuple[int, np.ndarray, np.ndarray]], what) -> tuple[list[str | None], np.ndarray]:  # noqa: ANN001
+    """Texts without the lines that what(number of the text, hashes) says, and SIZES of each."""
+    kept, size = list(texts), np.zeros((4, len(texts)), np.int64)
+    for i, h, w in lines:
+        gone = what(i, h)
+        if gone.any():
+            kept[i] = "\n".join(x for x, g in zip(texts[i].split("\n"), gone, strict=True) if not g)
+        size[:, i] = (h != 0).sum(), gone.sum(), w.sum(), w[gone].sum()
+    return kept, size
+
+
+def _finished(rest: pa.Array, kept: list[str | None], size: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([rest, pa.array(kept, pa.string()), *map(pa.array, size)], ["_rest", "_kept", *SIZES])
+
+
 def _delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What is to be deleted stands in the row."""
     for batch in batches:
-        lines, size = [], np.zeros((4, len(batch)), np.int64)
-        ids, firsts, copies = (batch.column(c).to_pylist() for c in ("_id", "_first_id", "_n"))
-        texts, removed = batch.column("_text").to_pylist(), batch.column("_removed").to_pylist()
-        for i, h, w in line_hashes(batch.column("_text")):
+        ids, firsts, copies, removed = (batch.column(c).to_pylist() for c in ("_id", "_first_id", "_n", "_removed"))
+
+        def what(i: int, h: np.ndarray, ids: list = ids, firsts: list = firsts, copies: list = copies, removed: list = removed) -> np.ndarray:
+            if copies[i] is not None and ids[i] != firsts[i]:
+                return h != 0  # a later copy
             gone = np.zeros(len(h), bool)
             for part in removed[i] or []:
                 gone[np.frombuffer(part, np.int32)] = True
-            if copies[i] is not None and ids[i] != firsts[i]:
-                gone = h != 0  # a later copy
-            kept = texts[i]
-            if gone.any():
-                kept = "\n".join(x for x, g in zip(kept.split("\n"), gone, strict=True) if not g)
-            lines.append(kept)
-            size[:, i] = (h != 0).sum(), gone.sum(), w.sum(), w[gone].sum()
-        yield pa.RecordBatch.from_arrays([batch.column("_rest"), pa.array(lines, pa.string()), *map(pa.array, size)], ["_rest", "_kept", *SIZES])
+            return gone
+
+        yield _finished(batch.column("_rest"), *_shortened(batch.column("_text").to_pylist(), line_hashes(batch.column("_text")), what))
+
+
+class Removals:
+    """What is to be deleted of each class, as arrays that go to the workers."""
+
+    def __init__(self, rows: pa.Table):
+        order = np.argsort(rows["_sig"].to_numpy())
+        rows = rows.take(pa.array(order))
+        self.sig, self.n = rows["_sig"].to_numpy(), rows["_n"].fill_null(0).to_numpy()
+        self.first, self.unnamed = rows["_first_id"].fill_null(0).to_numpy(), rows["_first_id"].is_null().to_numpy()
+        parts = [b"".join(x or []) for x in rows["_removed"].to_pylist()]
+        self.lines = np.frombuffer(b"".join(parts), np.int32)
+        self.cut = np.append(0, np.cumsum([len(x) // 4 for x in parts])).astype(np.int64)
+
+    def __call__(self, doc_id: int | None, h: np.ndarray) -> np.ndarray:
+        gone = np.zeros(len(h), bool)
+        sig = signature(h)
+        k = int(np.searchsorted(self.sig, sig))
+        if k == len(self.sig) or self.sig[k] != sig:
+            return gone
+        first = None if self.unnamed[k] else self.first[k]
+        if self.n[k] and doc_id != first:
+            return h != 0  # a later copy
+        gone[self.lines[self.cut[k] : self.cut[k + 1]]] = True
+        return gone
+
+
+def _delete_known(known: Removals):  # noqa: ANN202
+    def delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("_id").to_pylist()
+            yield _finished(batch.column("_rest"), *_shortened(batch.column("_text").to_pylist(), line_hashes(batch.column("_text")), lambda i, h, ids=ids: known(ids[i], h)))
+
+    return delete
 
 
 INNER = ("_id", "_text", "_sig", "_first_id", "_n", "_removed")
@@ -223,7 +269,7 @@ def dedup_lines(docs: DataFrame, min_words: int = 5, broadcast_bytes: int = 32 <
     Earlier is of smaller doc_id; null is last. Lines are equal up to outer white space. A block has min_words words or more in all. All
     lines of a later copy (of the same lines) go, however short; rows that repeat the first one's doc_id and lines stay, all
     of them. A null text stays null. An empty table gives an empty result. Sequences of lines are named by 63-bit hashes.
-    What is to be deleted is broadcast where it has at most broadcast_bytes, else joined, with hot classes salted.
+    What is to be deleted goes to the workers where it has at most broadcast_bytes, else it is joined, with hot classes salted.
     """
     start(docs)
     rest = [c for c in docs.columns if c not in ("text", *SIZES)]
@@ -231,15 +277,14 @@ def dedup_lines(docs: DataFrame, min_words: int = 5, broadcast_bytes: int = 32 <
     _, gone = removals(ids, min_words)
     gone = gone.select(F.col("sig").alias("_sig"), F.col("first_id").alias("_first_id"), F.when(F.col("n") > 1, F.col("n")).alias("_n"), F.col("removed").alias("_removed"), "n")
     rows = docs.select(F.struct(*rest).alias("_rest"), F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("_text"))
-    rows = rows.mapInArrow(_signed, StructType([*rows.schema.fields, StructField("_sig", LongType())]))
+    kept = StructType([rows.schema["_rest"], StructField("_kept", StringType()), *(StructField(c, LongType()) for c in SIZES)])
     size = gone.agg(F.coalesce(F.sum(48 + F.expr("aggregate(coalesce(_removed, array()), 0, (s, x) -> s + 16 + octet_length(x))")), F.lit(0))).first()[0]
     if size <= broadcast_bytes:
-        met = rows.join(F.broadcast(gone.drop("n")), "_sig", "left")
+        out = rows.mapInArrow(_delete_known(Removals(gone.drop("n").toArrow())), kept)
     else:
+        rows = rows.mapInArrow(_signed, StructType([*rows.schema.fields, StructField("_sig", LongType())]))
         apart = -1 - F.pmod(F.xxhash64("_id"), F.lit(1 << 62))  # rows without words meet nothing; they needn't meet each other
         rows = rows.withColumn("_sig", F.when(F.col("_sig") == 0, apart).otherwise(F.col("_sig")))
         counts = gone.select("_sig", F.col("n").alias("count"))
-        met = salted_join(rows, gone.drop("n"), "_sig", F.col("_id"), "left", hot_rows, counts)
-    kept = StructType([rows.schema["_rest"], StructField("_kept", StringType()), *(StructField(c, LongType()) for c in SIZES)])
-    out = met.select("_rest", *INNER).mapInArrow(_delete, kept)
+        out = salted_join(rows, gone.drop("n"), "_sig", F.col("_id"), "left", hot_rows, counts).select("_rest", *INNER).mapInArrow(_delete, kept)
     return out.select(*[F.col("_kept").alias("text") if c == "text" else F.col("_rest")[c].alias(c) for c in docs.columns if c not in SIZES], *SIZES)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from factloom.llm.blocks import LEAD, SPACE, Block, U, blocks, grams, mix, span_hashes
+from factloom.llm.blocks import LEAD, SPACE, Block, U, blocks, grams, mix, span_hashes, text_of
 from factloom.llm.shared import start, written
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -245,9 +245,9 @@ def keep_rows(
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            verdict = judge(pd.DataFrame(text_stats(batch.column(1)))).kept
+            verdict = judge(pd.DataFrame(text_stats(text_of(batch.column(0))))).kept
             yield batch.filter(pa.array(verdict.to_numpy(bool)))
 
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
     rows = rows.mapInArrow(kept, StructType(rows.schema.fields))
     return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -1,0 +1,326 @@
+"""Quality rules, line dedup, decontamination, secrets, personal data, token counts: against brute force, and edge cases."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from factloom.llm import decontaminate as D
+from factloom.llm import linedup as L
+from factloom.llm import pieces as T
+from factloom.llm import pii as P
+from factloom.llm import quality as Q
+from factloom.llm import secrets as S
+from tests.llm.conftest import EDGE, SCHEMA
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_stats(text: str | None) -> tuple:
+    t = text or ""
+    words = WORD.findall(t)
+    seen = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    covered = {i + k for i in range(len(words) - 2) if seen[tuple(words[i : i + 3])] > 1 for k in range(3)}
+    lines = [x for x in t.split("\n") if WORD.search(x)]
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(covered)
+
+
+def documents(spark, data):
+    return [tuple(r) for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()]
+
+
+def test_quality_counts(spark, data, edge):
+    from factloom.llm import registry
+
+    texts = dict(documents(spark, data))
+    rows = registry.op8_quality_rules(spark, data).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        n, chars, symbols, dup, repeat = brute_stats(texts[r.doc_id])
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (n, chars, symbols, dup, repeat)
+        assert r.base_failed == (n < 50 or 100 * repeat > 50 * n)
+        assert not (r.base_failed and r.kept)
+    got = sorted(map(str, ((r.doc_id, r.n_words, r.n_repeat_words) for r in Q.rule_stats(edge).collect())))
+    assert got == sorted(map(str, ((d, brute_stats(t)[0], brute_stats(t)[4]) for d, t, *_ in EDGE)))
+
+
+def test_forest_held_out(spark):
+    """Trained on one half of labelled rows it finds the odd ones of the other half, and leaves ordinary ones."""
+    rng = np.random.default_rng(0)
+    good = rng.normal([5, 0, 0, 0.05, 0.03, 0, 0.15, 0.3], [0.2, 1e-3, 0.01, 0.02, 0.01, 0.01, 0.02, 0.03], (2000, 8))
+    bad = np.vstack([good[:150] + [0, 0.5, 0, 0, 0, 0, 0, 0], good[150:300] + [0, 0, 0, 0, 0.9, 0, 0, 0]])
+    forest = Q.IsolationForest(100, 512).fit(good[:1000], np.vstack([good[:1000], bad[::2]]))
+    limit = Q.threshold(np.concatenate([forest.score(good[:1000]), forest.score(bad[::2])]), np.arange(1150) < 1000, 0.005)
+    assert (forest.score(bad[1::2]) > limit).mean() > 0.9
+    assert (forest.score(good[1000:]) > limit).mean() < 0.03
+
+
+def test_quality_edges(spark, clashing, empty):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert Q.quality_rules(clashing, labels).count() == len(EDGE)
+    assert Q.quality_rules(empty, labels).count() == 0
+    kept = Q.keep_rows(clashing, labels)
+    assert kept.columns == clashing.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(d) for d, t, *_ in EDGE if not (brute_stats(t)[0] < 50 or 2 * brute_stats(t)[4] > brute_stats(t)[0]))
+
+
+def test_keep_rows_agrees(spark, data):
+    docs, labels = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/labels.parquet")
+    kept = {r.doc_id for r in Q.quality_rules(docs, labels).where("kept").collect()}
+    assert {r.doc_id for r in Q.keep_rows(docs, labels).collect()} == kept
+
+
+def test_patience():
+    assert L.patience([1, 2, 3, 4], [1, 3, 4]) == [(0, 0), (2, 1), (3, 2)]
+    rnd = random.Random(1)
+    for _ in range(200):
+        a, b = ([rnd.randint(1, 9) for _ in range(rnd.randint(0, 14))] for _ in range(2))
+        pairs = L.patience(a, b)
+        assert all(a[i] == b[j] for i, j in pairs)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:], strict=False))
+    longest = L.longest_increasing([5, 1, 4, 2, 3])
+    assert [[5, 1, 4, 2, 3][i] for i in longest] == [1, 2, 3]
+
+
+def brute_dedup(rows: list[tuple], least: int) -> dict:
+    """Each document against the first holder of each of its lines, whole sequences aligned by the same diff."""
+    lined = [(d, [x.strip(" \t\r\x0b\x0c") for x in (t or "").split("\n")]) for d, t in rows]
+    key = lambda d: (d is None, d or 0)
+    order = sorted(range(len(lined)), key=lambda i: key(lined[i][0]))
+    first_text, first_line, out = {}, {}, {}
+    for i in order:
+        d, lines = lined[i]
+        body = tuple(x for x in lines if x)
+        if not body:
+            out[i] = 0
+            continue
+        if body in first_text:
+            out[i] = len(body) if lined[first_text[body]][0] != d else 0
+            continue
+        first_text[body] = i
+        gone = set()
+        for j in {first_line[x] for x in body if x in first_line}:
+            other = [x for x in lined[j][1] if x]
+            pairs, block, last = L.patience(other, list(body)), [], (-2, -2)
+            for p in [*pairs, (-9, -9)]:
+                if p != (last[0] + 1, last[1] + 1):
+                    if sum(len(WORD.findall(body[k])) for k in block) >= least:
+                        gone |= set(block)
+                    block = []
+                if p[1] >= 0:
+                    block.append(p[1])
+                last = p
+        for x in set(body):
+            first_line.setdefault(x, i)
+        out[i] = len(gone)
+    return out
+
+
+def test_line_dedup(spark, data):
+    rows = documents(spark, data)
+    want = brute_dedup(rows, 5)
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    a = L.dedup_lines(docs).collect()
+    assert {r.doc_id: r.removed_lines for r in a} == {rows[i][0]: n for i, n in want.items()}
+    assert sum(want.values()) > 0
+    b = L.dedup_lines(docs, broadcast_bytes=0, hot_rows=2).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+    texts = dict(rows)
+    for r in a:
+        assert not r.text or Counter(r.text.split("\n")) <= Counter(texts[r.doc_id].split("\n"))
+
+
+def test_line_dedup_edges(clashing, empty):
+    out = L.dedup_lines(clashing)
+    assert set(out.columns) == set(clashing.columns) | set(L.SIZES)
+    rows = out.collect()
+    assert len(rows) == len(EDGE)
+    by = defaultdict(list)
+    for r in rows:
+        by[r.doc_id].append(r)
+    assert [r.removed_lines for r in by[1]] == [0, 0] and [r.removed_lines for r in by[10]] == [1] and by[10][0].text == ""
+    assert by[8][0].removed_lines == 20 and by[8][0].text.startswith("line 40")
+    assert by[3][0].text is None and by[4][0].text == ""
+    assert L.dedup_lines(empty).count() == 0
+
+
+def brute_sw(a: list, b: list) -> int:
+    h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    best = 0
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            h[i][j] = max(0, h[i - 1][j - 1] + (2 if a[i - 1] == b[j - 1] else -1), h[i - 1][j] - 1, h[i][j - 1] - 1)
+            best = max(best, h[i][j])
+    return best
+
+
+def test_smith_waterman():
+    rnd = random.Random(0)
+    for _ in range(200):
+        a, b = [rnd.randint(2, 6) for _ in range(rnd.randint(1, 9))], [rnd.randint(2, 6) for _ in range(rnd.randint(1, 14))]
+        s, i, j = D.smith_waterman(np.array([a], np.uint64), np.array([b], np.uint64))
+        assert s[0] == brute_sw(a, b)
+        assert not s[0] or brute_sw(a, b[i[0] : j[0]]) == s[0]
+
+
+def test_decontamination(spark, data):
+    """Exact, edited and shortened copies of items are found; others are left, as by aligning every item with every document."""
+    rnd = random.Random(4)
+    words = [f"w{i}" for i in range(4000)]
+    items = [(k, " ".join(rnd.choices(words, k=30)).capitalize() + ".") for k in range(20)]
+    docs, truth = [], set()
+    for d in range(200):
+        body = rnd.choices(words, k=120)
+        if d % 4 == 0:
+            k = rnd.randrange(20)
+            copy = items[k][1].split()
+            if d % 8 == 0:
+                copy = [rnd.choice(words) if rnd.random() < 0.15 else w for w in copy]
+            if d % 12 == 0:
+                copy = copy[:20]
+            body[40:40] = copy
+            truth.add((d, k))
+        docs.append((d, " ".join(body)))
+    docs += [(None, items[0][1]), (500, None), (501, ""), (502, items[1][1] + "!"), (502, items[1][1] + "!")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([*items, (90, None), (91, ""), (92, "two words"), (None, "x y z")], "item_id long, text string")
+    got = D.leaks(df, bench).collect()
+    clean = lambda t: [w.lower().strip(".!") for w in t.split()]
+    brute = {(d, k) for d, t in docs if t for k, u in items if brute_sw(clean(u), clean(t)) >= 0.4 * 2 * len(clean(u))}
+    assert {(r.doc_id, r.item_id) for r in got} == brute >= truth
+    assert sum(r.doc_id == 502 for r in got) == 2
+    left = D.decontaminate(df, bench)
+    assert left.count() == len(docs) - len([1 for d, _ in docs if any(d == x for x, _ in brute)])
+    assert D.leaks(df, bench.limit(0)).count() == 0 and D.leaks(df.limit(0), bench).count() == 0
+
+
+def test_decontamination_edges(spark, clashing):
+    bench = spark.createDataFrame([(1, "quick brown fox jumps over the lazy dog")], "item_id long, text string")
+    out = D.decontaminate(clashing, bench)
+    assert out.columns == clashing.columns
+    assert sorted(str(r.doc_id) for r in out.collect()) == sorted(str(d) for d, t, *_ in EDGE if "jumps" not in (t or ""))
+
+
+def brute_secrets(text: str) -> list:
+    assign = [m.span() for m in re.finditer(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m[2]) >= 8]
+    access = [m.span() for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    hexes = [m.span() for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted([(k, *s) for k, spans in enumerate((assign, access, hexes)) for s in spans], key=lambda s: (s[1], s[0]))
+
+
+def test_secrets(spark, data, clashing, empty):
+    from factloom.llm import registry
+
+    rnd = random.Random(2)
+    for _ in range(3000):
+        t = "".join(rnd.choice(["token", "API_key", "paſſword", "secret", "=", ": ", "'", "a", "AKIA", "0123456789abcdef", "X9", " ", "é", "deadbeef" * 3]) for _ in range(rnd.randint(0, 12)))
+        assert S.base_spans(t) == brute_secrets(t), t
+    texts = dict(documents(spark, data))
+    for r in registry.op6_secret_scan(spark, data).collect():
+        spans = brute_secrets(texts[r.doc_id])
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(s[0] == k for s in spans) for k in range(3)]
+        assert r.base_sha256 == hashlib.sha256(S.joined(spans, S.KINDS).encode()).hexdigest()
+        assert set(S.joined(spans, S.KINDS).split(",")) - {""} <= set(r.spans.split(","))
+    assert S.secret_scan(clashing).count() == len(EDGE) and S.secret_scan(empty).count() == 0
+
+
+def test_random_tokens(spark):
+    rnd = random.Random(1)
+    kinds = ["ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"]
+    words = ["the", "and", "tion", "ing", "there", "was", "once", "upon", "time"]
+    rows = []
+    for i in range(1500):
+        prose = [rnd.choice(words) for _ in range(150)]
+        if i % 5 == 0:
+            prose[75] = "".join(rnd.choice(kinds[i // 5 % 3]) for _ in range(28))
+        rows.append((i, " ".join(prose)))
+    got = {r.doc_id: r.n_random for r in S.secret_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got[i] for i in got if i % 5) == 0
+    assert sum(got[i] > 0 for i in got if i % 5 == 0) > 0.8 * 300
+
+
+def brute_pii(text: str) -> list:
+    luhn = lambda s: sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(s))) % 10 == 0
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    out = [(0, *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [(1, *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(x) <= 255 for x in m[0].split("."))]
+    out += [(2, *m.span()) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text) if 13 <= len(digits(m[0])) <= 19 and luhn(digits(m[0]))]
+    out += [(3, *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 9 <= len(digits(m[0])) <= 15]
+    return out
+
+
+def test_pii(spark, data, clashing, empty):
+    from factloom.llm import registry
+
+    rnd = random.Random(3)
+    for _ in range(5000):
+        t = "".join(rnd.choice(["a", "1", ".", "@", "-", "+", " ", "25", "4111 1111 1111 1111", "(5)", "é"]) for _ in range(rnd.randint(0, 14)))
+        assert P.base_spans(t) == brute_pii(t), t
+    texts = dict(documents(spark, data))
+    for r in registry.op7_pii(spark, data).collect():
+        spans = brute_pii(texts[r.doc_id])
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[0] == k for s in spans) for k in range(4)]
+        assert r.base_sha256 == hashlib.sha256(P.joined(spans).encode()).hexdigest()
+        assert set(P.joined(spans).split(",")) - {""} <= set(r.spans.split(","))
+    assert P.find_pii(clashing).count() == len(EDGE) and P.find_pii(empty).count() == 0
+
+
+def test_field_held_out():
+    field = P.Field().fit(P.labelled_table())
+    right = total = 0
+    for words, labels in P.labelled_table(300, 99):
+        for at, f in field.runs(words):
+            total += 1
+            right += [P.LABELS[x] for x in field.label([f])[0]] == labels[at : at + len(f)]
+    assert right > 0.95 * total
+    rng = np.random.default_rng(0)
+    emit = rng.normal(size=(3, 4, len(P.LABELS)))
+    from itertools import product
+
+    step = field.t + field.bar
+    for row, got in zip(emit, field.decode(emit), strict=True):  # against all label sequences
+        score = lambda y, row=row: step[0, y[0]] + sum(row[i, y[i]] for i in range(4)) + sum(step[y[i], y[i + 1]] for i in range(3)) + step[y[3], 0]
+        assert score(tuple(got)) == pytest.approx(max(score(y) for y in product(range(len(P.LABELS)), repeat=4)))
+
+
+def brute_pieces(word: bytes, vocabulary: set[bytes]) -> int:
+    i = n = 0
+    while i < len(word):
+        size = next((k for k in range(min(len(word) - i, 200), 0, -1) if word[i : i + k] in vocabulary), 0)
+        if not size:
+            return 1
+        i, n = i + size, n + 1
+    return n
+
+
+def test_token_counts(spark, data, clashing, empty, tmp_path):
+    from factloom.llm import registry
+
+    rnd = random.Random(1)
+    for _ in range(200):
+        v = {bytes(rnd.choice(b"ab ") for _ in range(rnd.randint(1, 6))) for _ in range(rnd.randint(1, 12))}
+        a = T.Automaton(v)
+        for _ in range(20):
+            w = bytes(rnd.choice(b"ab") for _ in range(rnd.randint(1, 14)))
+            assert a.count(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0] == a._one(b" " + w) == brute_pieces(b" " + w, v)
+    v = set(T.vocabulary(registry.VOCABULARY))
+    texts = dict(documents(spark, data))
+    for r in registry.op10_token_counts(spark, data).collect():
+        words = texts[r.doc_id].encode().split()
+        assert (r.n_words, r.n_bytes) == (len(words), sum(map(len, words)))
+        assert r.n_pieces == sum(brute_pieces(b" " + w, v) for w in words)
+    rows = T.token_counts(clashing, registry.VOCABULARY).collect()
+    assert len(rows) == len(EDGE) and all(r.n_pieces == 0 for r in rows if r.n_words == 0)
+    assert T.token_counts(empty, registry.VOCABULARY).count() == 0
+    assert T.count_block(next(T.blocks(pa.array(["x" * 5000]))), T.Automaton([b"x", b"xx"]))[0] == 1  # no piece for the space
+
+
+def test_schema_is_stable(spark, edge):
+    assert SCHEMA.startswith("doc_id long") and edge.where(F.col("doc_id").isNull()).count() == 2
