@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from factloom.llm.blocks import Block, U, blocks, grams, span_hashes
+from factloom.llm.blocks import Block, U, blocks, grams, span_hashes, text_of
 from factloom.llm.shared import start
 
 BLOCK_WORDS = 1_000_000
@@ -59,6 +59,7 @@ class Items:
     item: np.ndarray | None = None
     place: np.ndarray | None = None
     least: np.ndarray | None = None
+    weight: np.ndarray | None = None
 
     def index(self, seed: np.ndarray, item: np.ndarray, place: np.ndarray) -> None:
         order = np.lexsort((place, item, seed))
@@ -80,18 +81,22 @@ class Items:
         out.index(g[at], item, at - out.cut[item])
         return out
 
-    def rare(self, df: np.ndarray, share: float, min_seeds: int) -> None:
-        """Keep of each item's seeds the given share that fewest documents hold, at least min_seeds. The order is the item's own, so
-        an item that very many documents hold keeps seeds too."""
+    def rare(self, df: np.ndarray, rows: int, share: float, rare_share: float) -> None:
+        """Keep the seeds that at most rare_share of the rows hold (and any that at most 2 hold), which count double; and of the others as
+        many as make up `share` of the item's seeds, rarest first. That order is the item's own, so an item that very many documents hold
+        keeps seeds too. least: what the different seeds of a passage have to count, 2, or 1 for an item of one seed."""
         of = np.repeat(np.arange(len(self.seeds)), np.diff(self.first))
         order = np.lexsort((self.place, df[of], self.item))
         item = self.item[order]
         start = np.searchsorted(item, np.arange(len(self.ids)))
         rank = np.arange(len(order)) - start[item]
         total = np.bincount(item, minlength=len(self.ids))
-        kept = order[rank < np.maximum(np.ceil(total * share), min_seeds)[item]]
-        self.least = np.minimum(min_seeds, total)
+        rare = df <= max(2, rare_share * rows)
+        kept = order[(rank < np.maximum(np.ceil(total * share), 2)[item]) | rare[of[order]]]
+        self.least = np.minimum(2, total)
+        weight = dict(zip(self.seeds[rare].tolist(), [2] * int(rare.sum()), strict=True))
         self.index(self.seeds[of[kept]], self.item[kept], self.place[kept])
+        self.weight = np.array([weight.get(x, 1) for x in self.seeds.tolist()], np.int64)
 
     def mask(self) -> np.ndarray:
         out = np.zeros(1 << _MASK_BITS, bool)
@@ -140,17 +145,17 @@ def align(h: np.ndarray, cut: np.ndarray, items: Items, mask: np.ndarray, thresh
     at, seed = items.hits(h, cut, mask)
     times = items.first[seed + 1] - items.first[seed]
     entry = np.repeat(items.first[seed], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-    at, item, place = np.repeat(at, times), items.item[entry], items.place[entry]
+    at, item, place, weight = np.repeat(at, times), items.item[entry], items.place[entry], np.repeat(items.weight[seed], times)
     doc = np.searchsorted(cut, at, "right") - 1
     order = np.lexsort((at, item, doc))
-    at, item, place, doc = at[order], item[order], place[order], doc[order]
+    at, item, place, doc, weight = at[order], item[order], place[order], doc[order], weight[order]
     size = np.diff(items.cut)
     if not len(at):
         return tuple(np.zeros(0, k) for k in (int, int, float, int, int))
     new = np.append(True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (at[1:] - at[:-1] > size[item[1:]]))
     group = np.cumsum(new) - 1
-    pairs = np.unique((group << 32) + place)  # different seeds of a cluster
-    many = np.bincount(pairs >> 32, minlength=group[-1] + 1)
+    pairs, one = np.unique((group << 32) + place, return_index=True)  # different seeds of a cluster
+    many = np.bincount(pairs >> 32, weight[one], group[-1] + 1)
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(at)) - 1
     ok = np.flatnonzero(many >= items.least[item[first]])
@@ -195,8 +200,9 @@ def item_blocks(items: DataFrame, n: int, block_words: int = BLOCK_WORDS) -> Ite
 
 def _df(items: Items):  # noqa: ANN202
     def df(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask, total = items.mask(), np.zeros(len(items.seeds), np.int64)
+        mask, total, rows = items.mask(), np.zeros(len(items.seeds), np.int64), 0
         for batch in batches:
+            rows += len(batch)
             for b in blocks(batch.column(0), lower=True):
                 h, cut, _ = normal(b)
                 at, seed = items.hits(h, cut, mask)
@@ -204,28 +210,28 @@ def _df(items: Items):  # noqa: ANN202
                 once = np.unique(doc.astype(np.int64) * len(items.seeds) + seed) if len(at) else np.zeros(0, np.int64)
                 total += np.bincount(once % max(1, len(items.seeds)), minlength=len(items.seeds))
         seed = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"seed": pa.array(seed.astype(np.int64)), "df": pa.array(total[seed])})
+        yield pa.RecordBatch.from_pydict({"seed": pa.array(np.append(seed, -1).astype(np.int64)), "df": pa.array(np.append(total[seed], rows))})
 
     return df
 
 
-def ready_blocks(docs: DataFrame, items: DataFrame, n: int, share: float, min_seeds: int) -> Iterator[Items]:
+def ready_blocks(docs: DataFrame, items: DataFrame, n: int, share: float, rare_share: float) -> Iterator[Items]:
     """Blocks of items with their rare seeds, which all rows of docs decide."""
     for block in item_blocks(items, n):
         found = docs.select("text").mapInArrow(_df(block), "seed long, df long").groupBy("seed").agg(F.sum("df").alias("df")).toArrow()
-        df = np.zeros(len(block.seeds), np.int64)
+        df = np.zeros(len(block.seeds) + 1, np.int64)  # at -1 the rows
         df[found["seed"].to_numpy()] = found["df"].to_numpy()
-        block.rare(df, share, min_seeds)
+        block.rare(df[:-1], int(df[-1]), share, rare_share)
         yield block
 
 
-def leaks(docs: DataFrame, items: DataFrame, n: int = 3, share: float = 0.6, min_seeds: int = 2, threshold: float = 0.4) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, n: int = 3, share: float = 0.85, rare_share: float = 1e-4, threshold: float = 0.4) -> DataFrame:
     """Passages of items in docs: doc_id, item_id, score, first_word and end_word, the best of each row of docs and item.
 
     score is the alignment's (match 2, mismatch and gap -1) over that of the whole item with itself; first_word and end_word count the
     text's words without those of punctuation alone. Words are compared without punctuation at their ends and in lower case. A
-    passage holds at least min_seeds different ones of the item's rarest seeds (n words; the share of them that fewest documents hold)
-    no further apart than the item is long.
+    passage holds one seed (n words of the item) that at most rare_share of the rows hold, or two of the share of the item's seeds that
+    fewest rows hold, no further apart than the item is long.
 
     Null or empty texts and items, and items of fewer than n words, match nothing; a row with a null doc_id is reported with null; items
     of a null item_id are left out; repeated rows of docs or items give repeated results; empty tables an empty result. Other columns
@@ -234,7 +240,7 @@ def leaks(docs: DataFrame, items: DataFrame, n: int = 3, share: float = 0.6, min
     start(docs)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
-    for block in ready_blocks(docs, items, n, share, min_seeds):
+    for block in ready_blocks(docs, items, n, share, rare_share):
         part = docs.mapInArrow(_leaks(block, threshold), LEAKS)
         out = part if out is None else out.union(part)
     return docs.sparkSession.createDataFrame([], LEAKS) if out is None else out
@@ -257,17 +263,17 @@ def _leaks(items: Items, threshold: float):  # noqa: ANN202
     return found
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, n: int = 3, share: float = 0.6, min_seeds: int = 2, threshold: float = 0.4) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, n: int = 3, share: float = 0.85, rare_share: float = 1e-4, threshold: float = 0.4) -> DataFrame:
     """The rows of docs in which no passage is found, with their columns. For cases, see leaks; a null text stays."""
     start(docs)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"))
-    for block in ready_blocks(docs, items, n, share, min_seeds):
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    for block in ready_blocks(docs, items, n, share, rare_share):
 
         def clean(batches: Iterator[pa.RecordBatch], block: Items = block) -> Iterator[pa.RecordBatch]:
             mask = block.mask()
             for batch in batches:
                 keep = np.ones(len(batch), bool)
-                for b in blocks(batch.column(1), lower=True):
+                for b in blocks(text_of(batch.column(0)), lower=True):
                     h, cut, _ = normal(b)
                     keep[align(h, cut, block, mask, threshold)[0] + b.first] = False
                 yield batch.filter(pa.array(keep))
