@@ -18,7 +18,7 @@ def tokens(text: Column | str, lower: bool = False) -> Column:
 def sentences(text: Column | str) -> Column:
     """Lines, cut after . ! or ? before white space; trimmed, empty ones dropped."""
     parts = F.split(F.regexp_replace(text, r"([.!?])\s+", "$1\n"), "\n")
-    return F.filter(F.transform(parts, F.trim), lambda x: x != "")
+    return F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")
 
 
 def clean_whitespace(text: Column | str) -> Column:

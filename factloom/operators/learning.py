@@ -121,3 +121,19 @@ def model_selection(rows: DataFrame, vector: str, target: str, k: int = 3) -> Da
         scored.append((name, float(max(cv.fit(data).avgMetrics))))
     data.unpersist()
     return rows.sparkSession.createDataFrame(scored, "model string, score double")
+
+
+def vectorized(rows: DataFrame, features: str, size: int = 1 << 18, reduce_to: int | None = None) -> DataFrame:
+    """Arrays of features as sparse vectors by hashing, which needs no pass for a vocabulary; reduce_to: principal components of them."""
+    from pyspark.ml.feature import PCA, HashingTF
+
+    out = HashingTF(inputCol=features, outputCol="vector", numFeatures=size, binary=True).transform(rows)
+    if reduce_to:
+        out = PCA(k=reduce_to, inputCol="vector", outputCol="reduced").fit(out).transform(out)
+    return out
+
+
+def word_vectors(words: DataFrame, vectors: DataFrame, key: list[str], word: str = "word", vector: str = "vector") -> DataFrame:
+    """The mean vector of the words of each key; words without one don't count."""
+    each = words.select(*key, word).join(vectors.select(word, F.posexplode(vector).alias("_i", "_v")), word)
+    return each.groupBy(*key, "_i").agg(F.avg("_v").alias("_v")).groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_v"))), lambda x: x["_v"]).alias(vector))

@@ -88,7 +88,7 @@ def chunks(tags: Column) -> Column:
 
 def clauses(sentence: Column | str) -> Column:
     """Parts of a sentence between commas, semicolons and conjunctions: a stand-in for the lowest clauses of a parse."""
-    return F.filter(F.transform(F.split(sentence, r"[,;:]\s+|\s+(?:and|but|which|who|while|because)\s+"), F.trim), lambda x: F.length(x) >= 5)
+    return F.filter(F.transform(F.split(sentence, r"[,;:]\s+|\s+(?:and|but|which|who|while|because)\s+"), lambda x: F.trim(x)), lambda x: F.length(x) >= 5)
 
 
 def grammar_extract(sents: DataFrame, units: DataFrame, tagger: Tagger = tag) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.functions import dates
+from factloom.functions import dates, filters
 from factloom.functions import text as T
-from factloom.operators import extraction, frames, linking, statements
+from factloom.operators import extraction, frames, kb, learning, linking, statements
 from factloom.plans.base import query
 from factloom.session import table
 
@@ -204,3 +204,35 @@ def title_names(spark: SparkSession, d: str) -> DataFrame:
 def end_year_completion(spark: SparkSession, d: str) -> DataFrame:
     two = F.lpad((F.col("p_size") % 100).cast("string"), 2, "0")
     return table(spark, d, "part").select("p_partkey", F.concat(F.col("p_size").cast("string"), F.lit("-"), two).alias("span"), T.complete_year(F.lit("1515"), two).alias("year"))
+
+
+@query(
+    """WITH k AS (SELECT DISTINCT lower(n_name) AS key FROM nation),
+h AS (SELECT key, 0 AS s, 'C' || c_custkey AS id FROM k JOIN customer JOIN nation ON c_nationkey = n_nationkey ON lower(n_name) = key UNION ALL SELECT key, 1, 'S' || s_suppkey FROM k JOIN supplier JOIN nation ON s_nationkey = n_nationkey ON lower(n_name) = key),
+r AS (SELECT *, row_number() OVER (PARTITION BY key, s ORDER BY id) AS n FROM h QUALIFY n <= 15)
+SELECT key AS term, id, CAST(row_number() OVER (PARTITION BY key ORDER BY s, n) AS INTEGER) AS rank FROM r"""
+)
+def entity_search(spark: SparkSession, d: str) -> DataFrame:
+    nation = table(spark, d, "nation").withColumnRenamed("n_nationkey", "nk")
+    labels = table(spark, d, "customer").withColumnRenamed("c_nationkey", "nk").join(nation, "nk").select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("id"), F.col("n_name").alias("label"))
+    pages = table(spark, d, "supplier").withColumnRenamed("s_nationkey", "nk").join(nation, "nk").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("id"), F.col("n_name").alias("title"))
+    return kb.search(nation.select(F.lower("n_name").alias("term")).distinct(), labels, pages)
+
+
+@query("SELECT page_id, replace(string_split(regexp_replace(url, '[?#].*$', ''), '/')[-1], '_', ' ') AS title FROM pages")
+def url_titles(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").select("page_id", kb.title_of(F.col("url")).alias("title"))
+
+
+@query("SELECT o_orderkey, CASE WHEN year(o_orderdate) <= 1997 THEN year(o_orderdate) ELSE 0 END AS year FROM orders")
+def future_year_filter(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "orders").select("o_orderkey", F.coalesce(filters.past_year(F.year("o_orderdate"), F.lit(1997)), F.lit(0)).cast("long").alias("year"))
+
+
+@query(
+    """SELECT user_id, event_id, array_to_string(list_filter(['type-1=' || lag(event_type) OVER w, 'type+0=' || event_type, 'type+1=' || lead(event_type) OVER w], lambda x: x IS NOT NULL), ' ') AS features
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)"""
+)
+def window_features(spark: SparkSession, d: str) -> DataFrame:
+    rows = learning.window_features(table(spark, d, "events").withColumnRenamed("event_type", "type"), ["user_id"], "event_id", 1, ("type",))
+    return rows.select("user_id", "event_id", F.array_join("features", " ").alias("features"))

@@ -42,3 +42,9 @@ def dump_ranking(df: DataFrame, score: str, key: str, path: str) -> None:
 
 def save_model(model: object, path: str) -> None:
     model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> object:
+    from pyspark.ml import PipelineModel
+
+    return PipelineModel.load(path)
