@@ -21,8 +21,8 @@ def tfidf(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     n = docs.agg(F.count(F.lit(1)).alias("n"))  # one row
     raw = tf.join(df, "term").crossJoin(F.broadcast(n)).withColumn("raw", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1))
-    norm = raw.groupBy("doc").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return raw.join(norm, "doc").select("doc", "term", "n", (F.col("raw") / F.col("norm")).alias("score"))
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy("doc")))  # a window, so that raw isn't worked out twice
+    return raw.select("doc", "term", "n", (F.col("raw") / norm).alias("score"))
 
 
 def tfidf_rank(docs: DataFrame, least: int = 1) -> DataFrame:

@@ -216,13 +216,13 @@ def distinct_sources(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def pos_tagged_verbs(spark: SparkSession, d: str) -> DataFrame:
     """Verbs of the documents by lemma, from the rule tagger."""
-    tags = table(spark, d, "documents").where("lang = 'en'").select("doc_id", F.explode(tagging.verbs(tagging.known(tagging.tagged("text")))).alias("t"))
+    tags = table(spark, d, "documents").select("doc_id", F.explode(tagging.verbs(tagging.known(tagging.tagged("text")))).alias("t"))
     return tags.groupBy("t.lemma").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("df"))
 
 
 @query()
 def grammar_chunks(spark: SparkSession, d: str) -> DataFrame:
-    sents = extraction.sentence_rows(table(spark, d, "documents").where("lang = 'en'"))
+    sents = extraction.sentence_rows(table(spark, d, "documents"))
     return tagging.grammar_extract(sents, extraction.lexicon(spark)).select("doc_id", "sent_no", "chunk", "lemma", "token")
 
 
