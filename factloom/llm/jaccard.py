@@ -34,6 +34,8 @@ BLOCK = 128
 #: Edges from which components are found by Spark instead of on the driver.
 DRIVER_EDGES = 4_000_000
 SLOTS = 1 << 22
+#: Rows (class, room) up to which workers are told where a set goes; beyond, a join says it.
+ROOM_ROWS = 1_000_000
 
 
 class Counts:
@@ -242,6 +244,12 @@ def _postings(order: Order, percent: int, parts: np.ndarray):  # noqa: ANN202
     return postings
 
 
+def least_common(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """How many common members the prefixes of linked sets of sizes a and b have at least."""
+    share = -(-percent * (a + b) // (100 + percent))
+    return np.maximum(1, 1 + share - np.maximum(-(-percent * a // 100), -(-percent * b // 100)))
+
+
 def overlaps(packed: np.ndarray, bits: int, size: np.ndarray, percent: int, most: int = 2_000_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Pairs of documents and the number of keys they share, in batches; pairs whose sizes rule a link out are left out.
 
@@ -292,11 +300,8 @@ def _candidates(percent: int):  # noqa: ANN202
             for at in range(0, len(a), 200_000):
                 i, j, k = a[at : at + 200_000], b[at : at + 200_000], c[at : at + 200_000]
                 low, high = np.minimum(names[i], names[j]), np.maximum(names[i], names[j])
-                swap = names[i] > names[j]
-                na, nb = np.where(swap, size[j], size[i]), np.where(swap, size[i], size[j])
-                yield pa.RecordBatch.from_pydict({
-                    "a": pa.array(low), "b": pa.array(high), "na": pa.array(na.astype(np.int32)), "nb": pa.array(nb.astype(np.int32)), "c": pa.array(k.astype(np.int32)),
-                })
+                need = least_common(size[i], size[j], percent)
+                yield pa.RecordBatch.from_pydict({"a": pa.array(low), "b": pa.array(high), "need": pa.array(need.astype(np.int32)), "c": pa.array(np.minimum(k, need).astype(np.int32))})
         del packed
         trim()
 
@@ -323,21 +328,36 @@ def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"slot": pa.array(np.unique(_slot(batch.column(0).to_numpy())).astype(np.int32))})
 
 
-def _whole(n: int, wanted: np.ndarray):  # noqa: ANN202
+class Rooms:
+    """Where the sets of classes go."""
+
+    def __init__(self, rows: pa.Table):
+        sig, room = rows["sig"].to_numpy(), rows["room"].to_numpy()
+        order = np.lexsort((room, sig))
+        self.sig, self.room = sig[order], room[order].astype(np.int32)
+
+    def of(self, sig: int) -> list[int]:
+        i, j = np.searchsorted(self.sig, [sig, sig + 1])
+        return self.room[i:j].tolist()
+
+
+def _whole(n: int, wanted: np.ndarray, rooms: Rooms | None = None):  # noqa: ANN202
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             ids = batch.column(0)
             keep = wanted[_slot(ids.fill_null(0).to_numpy(zero_copy_only=False))] | ids.is_null().to_numpy(zero_copy_only=False)
             for b in blocks(batch.column(1).filter(pa.array(keep)), lower=True):
-                sigs, sets = [], []
+                sigs, sets, places = [], [], []
                 for _, keys in plain_sets(b, n):
                     sig = signature(keys)
                     if sig not in seen:
                         seen.add(sig)
-                        sigs.append(sig)
-                        sets.append(packed48(keys))
-                yield pa.RecordBatch.from_pydict({"sig": pa.array(sigs, pa.int64()), "members": pa.array(sets, pa.binary())})
+                        for room in [-1] if rooms is None else rooms.of(sig):
+                            places.append(room)
+                            sigs.append(sig)
+                            sets.append(packed48(keys))
+                yield pa.RecordBatch.from_pydict({"room": pa.array(places, pa.int32()), "sig": pa.array(sigs, pa.int64()), "members": pa.array(sets, pa.binary())})
 
     return whole
 
@@ -382,24 +402,21 @@ def _links(percent: int):  # noqa: ANN202
     return links
 
 
-def link_classes(docs: DataFrame, classes: DataFrame, order: Order, percent: int) -> DataFrame:
+def link_classes(docs: DataFrame, classes: DataFrame, order: Order, percent: int, room_rows: int = ROOM_ROWS) -> DataFrame:
     """Pairs (a, b) of classes of docs (doc_id, text) that link, each once; written."""
     spark = docs.sparkSession
     parts = part_keys(shuffle_partitions(spark, order.total * (100 - percent) / 100, 8e6))
     postings = docs.select("text").mapInArrow(_postings(order, percent, parts), "part int, keys binary, docs binary, sigs binary, sizes binary")
-    found = to_parts(postings, len(parts)).mapInArrow(_candidates(percent), "a long, b long, na int, nb int, c int")
-    found = found.groupBy("a", "b").agg(F.sum("c").alias("c"), F.max("na").alias("na"), F.max("nb").alias("nb"))
-    least = F.ceil(percent * (F.col("na") + F.col("nb")) / F.lit(100.0 + percent))
-    slack = lambda n: F.lit(1) - F.ceil(F.col(n) * percent / F.lit(100.0))  # noqa: E731 - prefix - size
-    need = F.greatest(F.lit(1), F.least(slack("na"), slack("nb")) + least)
-    pairs = written(found.where(F.col("c") >= need).select("a", "b", "na", "nb"), "candidates")
-
-    both = pairs.select("a", "b", F.col("na").alias("n")).union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("nb").alias("n")))
-    lead = both.groupBy(F.col("a").alias("sig")).agg(F.least("sig", F.min("b")).alias("lead"), F.max("n").alias("n"))
+    found = to_parts(postings, len(parts)).mapInArrow(_candidates(percent), "a long, b long, need int, c int")
+    found = found.groupBy("a", "b").agg(F.sum("c").alias("c"), F.max("need").alias("need"))
+    pairs = written(found.where("c >= need").select("a", "b"), "candidates")
+
+    both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    lead = both.groupBy(F.col("a").alias("sig")).agg(F.least("sig", F.min("b")).alias("lead"))
     crowd = lead.groupBy("lead").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    home = lead.join(crowd, "lead").select("sig", "n", F.xxhash64("lead", F.pmod(F.xxhash64("sig"), F.col("blocks"))).alias("home"))
+    home = lead.join(crowd, "lead").select("sig", F.xxhash64("lead", F.pmod(F.xxhash64("sig"), F.col("blocks"))).alias("home"))
     home = written(home, "homes")  # near copies share a leader, so they meet in few blocks
-    volume = home.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    volume = home.join(classes, "sig").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     if not volume:
         return pairs.select("a", "b")
     # A class is read from the rows with its smallest doc_id, which a bit table of fixed size finds; what it lets by in excess, the
@@ -415,8 +432,12 @@ def link_classes(docs: DataFrame, classes: DataFrame, order: Order, percent: int
     buckets = shuffle_partitions(spark, 8 * volume, 24e6)
     placed = written(placed.withColumn("bucket", F.pmod("block", F.lit(buckets)).cast("int")), "placed")
     needed = placed.select(F.col("bucket").alias("room"), F.explode(F.array("a", "b")).alias("sig")).distinct()
-    sets = docs.mapInArrow(_whole(order.n, wanted), "sig long, members binary")
-    sets = needed.join(sets, "sig").select("room", "sig", "members")
+    needed = written(needed, "needed")
+    if needed.count() <= room_rows:
+        sets = docs.mapInArrow(_whole(order.n, wanted, Rooms(needed.toArrow())), "room int, sig long, members binary")
+    else:
+        sets = docs.mapInArrow(_whole(order.n, wanted), "room int, sig long, members binary").drop("room")
+        sets = needed.join(sets, "sig").select("room", "sig", "members")
     # Tasks that meet a class send its set once each; equal sets meet under one name in the function.
     done = placed.groupBy("bucket").cogroup(sets.groupBy("room")).applyInPandas(_links(percent), "a long, b long")
     return written(done, "links")
@@ -460,7 +481,7 @@ def classes_of(docs: DataFrame, percent: int, n: int) -> tuple[DataFrame, DataFr
     component. Both written."""
     order = Order(docs, n)
     named = written(docs.mapInArrow(_names(n), "doc_id long, sig long, n long"), "named")
-    classes = written(named.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")), "classes")
+    classes = written(named.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"), F.max("n").alias("n")), "classes")
     links = link_classes(docs, classes, order, percent)
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     others = both.join(classes.select(F.col("sig").alias("b"), "class_size"), "b").groupBy(F.col("a").alias("sig")).agg(F.sum("class_size").alias("linked"))
