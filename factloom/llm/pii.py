@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from factloom.llm.blocks import LEAD, blocks
 from factloom.llm.shared import start
+from factloom.llm.spans import Taken
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
@@ -354,6 +355,7 @@ def find_pii(docs: DataFrame, field: Field | None = None) -> DataFrame:
             found = [base_spans(t) if t else [] for t in texts]
             more: list[list[tuple[int, int, int]]] = [[] for _ in texts]
             runs, owner, f = [], [], []
+            held: dict[int, Taken] = {}
             for i, words in marked_words(batch.column(1)):
                 for run, own in runs_of(words):
                     runs.append(run)
@@ -361,9 +363,9 @@ def find_pii(docs: DataFrame, field: Field | None = None) -> DataFrame:
                     f.append(own)
             for i, run, labels in zip(owner, runs, field.label(f), strict=True):
                 if labels.any():
-                    for k, a, b in labelled_spans(run, labels):
-                        if a < b and not any(s < b and a < e for _, s, e in found[i]):
-                            more[i].append((k, a, b))
+                    if i not in held:
+                        held[i] = Taken((s, e) for _, s, e in found[i])
+                    more[i] += [(k, a, b) for k, a, b in labelled_spans(run, labels) if a < b and not held[i].overlaps(a, b)]
             counts = np.array([[sum(s[0] == k for s in spans) for k in range(4)] for spans in found], np.int64).reshape(-1, 4)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0), **{f"n_{name}": pa.array(counts[:, k]) for k, name in enumerate(KINDS)},

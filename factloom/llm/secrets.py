@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from factloom.llm.blocks import trim
 from factloom.llm.shared import start, written
+from factloom.llm.spans import Taken
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']? *[:=] *["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -104,10 +105,10 @@ def length_class(n: int) -> int:
 
 def candidates(text: str, taken: Sequence[tuple[int, int, int]]) -> tuple[list[tuple[int, int, int, int]], list[tuple[int, int]]]:
     """(start, end, length class, score bin) of tokens apart from taken spans, and (length class, score bin) of their decoys."""
-    found, decoys = [], []
+    found, decoys, held = [], [], Taken((s, e) for _, s, e in taken)
     for m in RUN.finditer(text):
         a, b = m.span()
-        if not plausible(m.group()) or any(s < b and a < e for _, s, e in taken):
+        if not plausible(m.group()) or held.overlaps(a, b):
             continue
         n = len(m.group().rstrip("="))
         found.append((a, b, length_class(n), _bin(battery(m.group()))))

@@ -52,3 +52,11 @@ def test_salted_join(spark):
     small = spark.range(7).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
     got = sorted(tuple(r) for r in salted_join(big, small, "k", F.col("id"), hot_rows=100).select("k", "id", "v").collect())
     assert got == sorted(tuple(r) for r in big.join(small, "k").select("k", "id", "v").collect())
+
+
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(1, 6)), max_size=8), st.integers(0, 30), st.integers(1, 6))
+def test_taken(spans, a, n):
+    from factloom.llm.spans import Taken
+
+    spans = [(s, s + k) for s, k in spans]
+    assert Taken(spans).overlaps(a, a + n) == any(s < a + n and a < e for s, e in spans)
