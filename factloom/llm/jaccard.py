@@ -131,7 +131,7 @@ class Order:
         found = written(found, "gram-counts")
         self.total = float(found.where("kind = 2").agg(F.sum("c")).first()[0] or 0)
         self.words, self.grams = self._top(found, 0, TOP_WORDS), self._top(found, 1, TOP_GRAMS)
-        self.rare = float(self.words.count.min()) if len(self.words.h) == TOP_WORDS else max(1.0, self.total * LEAST / COUNT_WORDS / 2)
+        self.rare = float(self.words.count.min()) if 2 * len(self.words.h) > TOP_WORDS else max(1.0, self.total * LEAST / COUNT_WORDS / 2)
 
     def release(self) -> None:
         """Drop the tables that were built here; a worker outlives its task."""
@@ -141,7 +141,15 @@ class Order:
 
     @staticmethod
     def _top(found: DataFrame, kind: int, most: int) -> Counts:
-        rows = found.where(F.col("kind") == kind).orderBy(F.desc("c"), "h").limit(most).select("h", "c").toArrow()
+        """The largest counts: all from a bound on, which a small histogram gives, so that no more than `most` rows leave the tasks."""
+        rows = found.where(F.col("kind") == kind).withColumn("size", F.floor(F.log2("c") * 16))
+        total, least = 0, None
+        for size, n in sorted(rows.groupBy("size").count().collect(), reverse=True):
+            total += n
+            if total > most:
+                break
+            least = size
+        rows = rows.where(F.col("size") >= (least if least is not None else 1 << 20)).select("h", "c").toArrow()
         return Counts(rows["h"].to_numpy().astype(np.int64).view(U), rows["c"].to_numpy())
 
     def sets(self, b: Block) -> Iterator[tuple[int, np.ndarray]]:
