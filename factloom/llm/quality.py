@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from factloom.llm.blocks import LEAD, SPACE, Block, U, blocks, grams, mix, span_hashes, text_of
-from factloom.llm.shared import start, written
+from factloom.llm.shared import smallest_hashes, start, written
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 EXTRA = ("n_lines", "n_upper", "n_lower", "n_digits", "n_marks", "n_short")
@@ -205,7 +205,7 @@ class Judge:
 def calibrated(stats: DataFrame, labels: DataFrame, trees: int, sample: int, fit_rows: int, most_wrong: float, min_words: int, seed: int) -> Judge:
     base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     marks = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
-    seen = stats.where(~base).join(marks, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *COUNTS, *EXTRA).limit(fit_rows)
+    seen = smallest_hashes(stats.where(~base).join(marks, "doc_id"), "doc_id", fit_rows).orderBy(F.xxhash64("doc_id"), "doc_id", *COUNTS, *EXTRA).limit(fit_rows)
     return Judge(seen.toArrow().to_pandas(), trees, sample, most_wrong, min_words, seed)
 
 
@@ -239,7 +239,8 @@ def keep_rows(
     """The rows of docs that quality_rules keeps, with their columns. Statistics are worked out for labelled rows to fit on, and then
     for each row where it is judged, so that texts are not shuffled. Cases are as in quality_rules."""
     start(docs)
-    known = F.broadcast(labels.where("doc_id is not null and quality is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * fit_rows))
+    named = labels.where("doc_id is not null and quality is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    known = F.broadcast(smallest_hashes(named, "doc_id", fit_rows).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * fit_rows))
     some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known, "doc_id", "left_semi")
     judge = calibrated(written(rule_stats(some), "rule-stats"), labels, trees, sample, fit_rows, most_wrong, min_words, seed)
 

@@ -71,3 +71,12 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, salt_of: Column, how
     left = big.join(F.broadcast(hot), key, "left").withColumn("_salt", F.pmod(F.xxhash64(salt_of), salts).cast("int")).drop("_salts")
     right = small.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
     return left.join(right, [key, "_salt"], how).drop("_salt")
+
+
+def smallest_hashes(df: DataFrame, column: str, rows: int) -> DataFrame:
+    """Rows with the smallest hashes of a column, about twice as many as `rows`, or all of a smaller table: a bound on the hash instead of an
+    order, so that no task passes on more than its share."""
+    total = df.count()
+    if total <= 2 * rows:
+        return df
+    return df.where(F.xxhash64(column) <= int(-(2**63) + 2 * rows / total * 2**64))
