@@ -1,9 +1,11 @@
 """Line dedup by pairwise alignment.
 
-Documents that share a line meet through it: each with the first document that holds it, so a line of n documents makes n - 1 pairs and
-not n^2 / 2, and no line is too common to count. A pair is aligned by patience diff on its rare lines (once in each of both),
-which gives common blocks; blocks of enough words are deleted from the later document. Documents of the same lines form a class that is
-aligned once; later copies in a class go altogether.
+Documents meet through windows: the shortest runs of lines with enough words for a block, so two documents without a common window have no
+common block. Each document is first aligned with the first holder of each of its windows, which settles most of them with n - 1 pairs for n holders.
+A window with a line that is not deleted yet then meets all its other earlier holders, but those that look alike to the document (equal after
+each run of lines that it lacks is taken as one) are aligned once; so the result is that of alignment with all earlier documents. A pair is aligned by patience diff on its rare lines
+(once in each of both), which gives common blocks; blocks of enough words are deleted from the later document. Documents of the same
+lines form a class that is aligned once; later copies in a class go altogether.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from factloom.llm.blocks import Block, U, blocks, mix, span_hashes
 from factloom.llm.shared import salted_join, start, written
 
 LINES = "doc_id long, sig long, lines binary, words binary"
+#: So many holders of a window, and documents that it is open in, meet in one task; more are cut into blocks that all meet.
+BLOCK = 10_000
 
 
 def _bounds(b: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -134,6 +138,118 @@ def common_blocks(a: np.ndarray, b: np.ndarray, words: np.ndarray, min_words: in
     return out
 
 
+def windows(h: np.ndarray, words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first line of each window, the one after its last, and its hash. A window is a run of lines (without those that have no words) of
+    at least min_words words, as short as it can be from its first line or from its last one. The windows in a block cover it."""
+    rows = np.flatnonzero(h)
+    h, least = h[rows], max(min_words, 1)
+    c = np.concatenate([[0], np.cumsum(words[rows], dtype=np.int64)])
+    ends, starts = np.searchsorted(c, c[:-1] + least), np.searchsorted(c, c[1:] - least, "right") - 1
+    a = np.concatenate([np.flatnonzero(ends < len(c)), starts[starts >= 0]])
+    b = np.concatenate([ends[ends < len(c)], np.flatnonzero(starts >= 0) + 1])
+    out = np.zeros(len(a), U)
+    for k in range(int((b - a).max(initial=0))):
+        on = a + k < b
+        out[on] = mix(out[on] * U(3) + h[a[on] + k] + U(k))
+    return rows[a], rows[b - 1] + 1, out
+
+
+def _members(min_words: int):  # noqa: ANN202
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sigs, ids, hashes = [], [], [np.zeros(0, np.int64)]
+            for sig, first, raw, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                h = np.unique(windows(np.frombuffer(raw, U), np.frombuffer(words, np.int32), min_words)[2]).view(np.int64)
+                sigs += [sig] * len(h)
+                ids += [first] * len(h)
+                hashes.append(h)
+            yield pa.RecordBatch.from_pydict({"sig": pa.array(sigs, pa.int64()), "first_id": pa.array(ids, pa.int64()), "line": pa.array(np.concatenate(hashes), pa.int64())})
+
+    return members
+
+
+def _open(min_words: int):  # noqa: ANN202
+    """Of the windows of each class those with a line that is not deleted."""
+
+    def still(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in batches:
+            sigs, out = [], [np.zeros(0, np.int64)]
+            for sig, held, raw, w, removed in zip(p.sig, p.held, p.lines, p.words, p.removed, strict=True):
+                h = np.frombuffer(raw, U)
+                left = h != 0
+                for part in removed if removed is not None else []:
+                    left[np.frombuffer(part, np.int32)] = False
+                a, b, name = windows(h, np.frombuffer(w, np.int32), min_words)
+                c = np.append(0, np.cumsum(left))
+                name = np.intersect1d(name[c[b] > c[a]].view(np.int64), np.asarray(held, np.int64))
+                sigs.append(np.full(len(name), sig))
+                out.append(name)
+            yield pd.DataFrame({"sig": np.concatenate([out[0], *sigs]), "line": np.concatenate(out)})
+
+    return still
+
+
+def _seen(lines: Sequence[int], own: set[int]) -> tuple[int, ...]:
+    """Lines as a document with the lines `own` meets them: each run of others is one 0."""
+    out: list[int] = []
+    for x in lines:
+        if x in own:
+            out.append(x)
+        elif not out or out[-1]:
+            out.append(0)
+    return tuple(out)
+
+
+def _rest(min_words: int):  # noqa: ANN202
+    """The documents (right) in which a window is open against its earlier holders (left)."""
+
+    def rest(holders: pd.DataFrame, docs: pd.DataFrame) -> pd.DataFrame:
+        sigs, removed = [], []
+        if len(holders) and len(docs):
+            rank = lambda p: [(pd.isna(i), 0 if pd.isna(i) else int(i), s) for i, s in zip(p.first_id, p.sig, strict=True)]
+            name = np.array([docs.line[0]], np.int64).view(U)[0]
+            todo = []
+            for r, sig, raw, w in zip(rank(docs), docs.sig, docs.lines, docs.words, strict=True):
+                h, words = np.frombuffer(raw, U), np.frombuffer(w, np.int32)
+                a, b, names = windows(h, words, min_words)
+                spots = {k for i in np.flatnonzero(names == name) for k in range(a[i], b[i]) if h[k]}
+                todo.append((r, sig, h, words, set(h[h != 0].tolist()), spots, {int(h[k]) for k in spots}))
+            known = set().union(*[x[4] for x in todo])
+            other = next(i for i in range(1, len(known) + 2) if i not in known)
+            # Holders that look alike to all of these documents count once, as the first of them.
+            shapes: dict[tuple[int, ...], tuple] = {}
+            for r, raw in sorted(zip(rank(holders), holders.lines, strict=True)):
+                h = np.frombuffer(raw, U)
+                shapes.setdefault(_seen(h[h != 0].tolist(), known), r)
+            shape, ranks = list(shapes), list(shapes.values())
+            post: dict[int, list[int]] = {}
+            for i, x in enumerate(shape):
+                for line in set(x):
+                    post.setdefault(line, []).append(i)
+            plain: dict[frozenset, dict[tuple[int, ...], list[int]]] = {}
+            for r, sig, h, words, own, spots, its in todo:
+                end = bisect_left(ranks, r)
+                if (key := frozenset(its)) not in plain:
+                    plain[key] = {}
+                    for i, x in enumerate(shape):
+                        plain[key].setdefault(_seen(x, its), []).append(i)
+                # Holders with more than the window in common are looked at one by one, of the others one for each look.
+                more = {i for line in own - its for i in post.get(line, ())[: bisect_left(post.get(line, ()), end)]}
+                looks = {_seen(shape[i], own) for i in more}
+                looks |= {x for x, held in plain[key].items() if next((i for i in held if i not in more), end) < end}
+                gone: set[int] = set()
+                for x in sorted(looks):
+                    gone.update(common_blocks(np.array([y or other for y in x], U), h, words, min_words))
+                    if spots <= gone:
+                        break
+                if gone:
+                    sigs.append(sig)
+                    removed.append(np.array(sorted(gone), np.int32).tobytes())
+        return pd.DataFrame({"sig": np.array(sigs, np.int64), "removed": removed})
+
+    return rest
+
+
 def _aligned(min_words: int):  # noqa: ANN202
     def aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
@@ -154,7 +270,7 @@ def _aligned(min_words: int):  # noqa: ANN202
     return aligned
 
 
-def removals(docs: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame]:
+def removals(docs: DataFrame, min_words: int, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """The lines of docs (doc_id, text), and for each class (sig) the positions of lines to delete from its first document; both written."""
     lined = written(docs.mapInArrow(_lines, LINES), "lines")
     # One row for each class: the lines of its first document. No group is gathered: min_by is combined before the shuffle.
@@ -162,26 +278,30 @@ def removals(docs: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame]:
     classes = lined.where("sig <> 0").groupBy("sig").agg(F.min_by(F.struct("lines", "words"), order).alias("x"), F.min(order).alias("o"), F.count("*").alias("n"))
     classes = written(classes.select("sig", F.col("o.doc_id").alias("first_id"), "x.lines", "x.words", "n"), "line-classes")
 
-    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sigs, ids, hashes = [], [], []
-            for sig, first, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                h = np.unique(np.frombuffer(raw, U))
-                h = h[h != 0].view(np.int64)  # 0: a line without words
-                sigs += [sig] * len(h)
-                ids += [first] * len(h)
-                hashes.append(h)
-            yield pa.RecordBatch.from_pydict({"sig": pa.array(sigs, pa.int64()), "first_id": pa.array(ids, pa.int64()), "line": pa.array(np.concatenate(hashes) if hashes else np.zeros(0, np.int64), pa.int64())})
-
-    held = written(classes.select("sig", "first_id", "lines").mapInArrow(members, "sig long, first_id long, line long"), "held-lines")
+    held = written(classes.select("sig", "first_id", "lines", "words").mapInArrow(_members(min_words), "sig long, first_id long, line long"), "held-lines")
     rank = F.struct(F.col("first_id").isNull(), "first_id", "sig")
-    first = held.groupBy("line").agg(F.min(rank)["sig"].alias("first_sig"), F.count("*").alias("df")).where("df > 1").select("line", "first_sig")
-    met = salted_join(held, first, "line", F.col("sig")).where("sig <> first_sig").select("sig", "first_sig").distinct()
-    pairs = written(met, "line-pairs")
+    first = held.groupBy("line").agg(F.min(rank)["sig"].alias("first_sig"), F.count("*").alias("df")).where("df > 1")
+    met = written(salted_join(held, first, "line", F.col("sig")).where("sig <> first_sig").select("sig", "line", "first_sig", "df"), "met-lines")
+
+    pairs = written(met.select("sig", "first_sig").distinct(), "line-pairs")
     # The first holder of a very common line meets very many; its lines are then repeated over salts.
     left = salted_join(pairs, classes.select(F.col("sig").alias("first_sig"), F.col("lines").alias("first_lines")), "first_sig", F.col("sig"), hot_rows=20_000)
     both = left.join(classes.select("sig", "lines", "words"), "sig").select("sig", "first_lines", "lines", "words")
-    found = both.mapInPandas(_aligned(min_words), "sig long, removed binary").groupBy("sig").agg(F.collect_list("removed").alias("removed"))
+    found = written(both.mapInPandas(_aligned(min_words), "sig long, removed binary"), "found")
+    # Where there are two holders, the later one has met the other.
+    state = met.where("df > 2").groupBy("sig").agg(F.collect_list("line").alias("held")).join(classes.select("sig", "lines", "words"), "sig")
+    state = state.join(found.groupBy("sig").agg(F.collect_list("removed").alias("removed")), "sig", "left")
+    state = written(state.mapInPandas(_open(min_words), "sig long, line long"), "open-lines")
+    if state.take(1):
+        size = lambda df, name: df.groupBy("line").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
+        holders = held.select("line", "sig").join(state.select("line").distinct(), "line", "left_semi")
+        grid = written(size(holders, "n_i").join(size(state, "n_j"), "line"), "open-grid")
+        place, every = lambda n: F.pmod(F.xxhash64("sig"), n).cast("int"), lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        old = holders.join(classes.select("sig", "first_id", "lines"), "sig").join(grid, "line").withColumns({"i": place("n_i"), "j": every("n_j")})
+        new = state.join(classes.select("sig", "first_id", "lines", "words"), "sig").join(grid, "line").withColumns({"i": every("n_i"), "j": place("n_j")})
+        old, new = (x.select(*[F.col(c).alias(c) for c in x.columns if c not in ("n_i", "n_j")]).groupBy("line", "i", "j") for x in (old, new))
+        found = found.union(written(old.cogroup(new).applyInPandas(_rest(min_words), "sig long, removed binary"), "found"))
+    found = found.groupBy("sig").agg(F.collect_list("removed").alias("removed"))
     return lined, written(classes.select("sig", "first_id", "n").join(found, "sig", "left").where("removed is not null or n > 1"), "removals")
 
 
@@ -266,7 +386,7 @@ def dedup_lines(docs: DataFrame, min_words: int = 5, broadcast_bytes: int = 32 <
     """The rows of docs with the aligned common blocks of earlier documents deleted from text, and n_lines, removed_lines, n_words and
     removed_words (lines without words don't count). Columns of docs with these names are replaced.
 
-    Earlier is of smaller doc_id; null is last. Lines are equal up to outer white space. A block has min_words words or more in all. All
+    The result is that of alignment with each earlier document. Earlier is of smaller doc_id; null is last. Lines are equal up to outer white space. A block has min_words words or more in all. All
     lines of a later copy (of the same lines) go, however short; rows that repeat the first one's doc_id and lines stay, all
     of them. A null text stays null. An empty table gives an empty result. Sequences of lines are named by 63-bit hashes.
     What is to be deleted goes to the workers where it has at most broadcast_bytes, else it is joined, with hot classes salted.
