@@ -9,11 +9,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 
-def units(df: DataFrame, key: list[str], position: list[str], value: str, width: int, prefix: str) -> DataFrame:
-    """One row for each key with columns prefix_00, prefix_01, ...: width is stated, so no pass over the data finds the columns."""
+def positions(df: DataFrame, key: list[str], position: list[str], value: str) -> DataFrame:
+    """key, position (from 0 in the order of the columns `position`) and value of every row; nulls are left out."""
+    at = (F.row_number().over(W.partitionBy(*key).orderBy(*position)) - 1).alias("position")
+    return df.select(*key, at, F.col(value).alias("value")).where("value is not null")
+
+
+def units(df: DataFrame, key: list[str], position: list[str], value: str, width: int | None, prefix: str) -> DataFrame:
+    """One row for each key with columns prefix_00, prefix_01, ...: as many as the largest key has rows, found by a small aggregate; or the
+    first ones only, where width is stated."""
+    if width is None:
+        width = df.groupBy(*key).count().agg(F.max("count")).first()[0] or 0
     at = F.row_number().over(W.partitionBy(*key).orderBy(*position)) - 1
     rows = df.withColumn("_at", at)
-    return rows.groupBy(*key).agg(*[F.max(F.when(F.col("_at") == i, F.col(value))).alias(f"{prefix}_{i:02d}") for i in range(width)])
+    columns = [F.max(F.when(F.col("_at") == i, F.col(value))).alias(f"{prefix}_{i:02d}") for i in range(width)]
+    return rows.groupBy(*key).agg(*columns) if columns else rows.select(*key).distinct()
 
 
 def unpivot(df: DataFrame, key: list[str], prefix: str, width: int) -> DataFrame:

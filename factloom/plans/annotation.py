@@ -39,6 +39,24 @@ def unit_unpivot(spark: SparkSession, d: str) -> DataFrame:
     return annotation.unpivot(wide, ["l_orderkey"], "fe", 5)
 
 
+@query(
+    """PIVOT (SELECT l_orderkey, l_returnflag || '-' || l_linenumber AS v, 'chunk_' || lpad(CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) - 1 AS VARCHAR), 2, '0') AS c FROM lineitem)
+ON c USING max(v) GROUP BY l_orderkey"""
+)
+def unit_pivot_all(spark: SparkSession, d: str) -> DataFrame:
+    """As many columns as the widest unit has; unit_pivot has the four that its SQL states."""
+    rows = table(spark, d, "lineitem").select("l_orderkey", *LINE, F.concat_ws("-", "l_returnflag", F.col("l_linenumber").cast("string")).alias("chunk"))
+    return annotation.units(rows, ["l_orderkey"], LINE, "chunk", None, "chunk")
+
+
+@query(
+    """SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) - 1 AS INTEGER) AS position, l_returnflag AS value FROM lineitem"""
+)
+def unit_unpivot_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every position of a unit; unit_unpivot has the first five that its SQL states."""
+    return annotation.positions(table(spark, d, "lineitem"), ["l_orderkey"], LINE, "l_returnflag")
+
+
 @query("SELECT l_orderkey FROM lineitem GROUP BY l_orderkey HAVING count(DISTINCT l_returnflag) > 1")
 def unit_check(spark: SparkSession, d: str) -> DataFrame:
     return annotation.constant(table(spark, d, "lineitem"), "l_orderkey", "l_returnflag").select("l_orderkey")
