@@ -16,7 +16,7 @@ BLOCK = 4096
 
 def knn(queries: DataFrame, base: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
     """Exact k nearest rows of base to each query by Euclidean distance, and the most frequent label of them. Queries are taken in blocks;
-    each block goes to all rows, and each task keeps k rows of its own for a query."""
+    each block goes to all rows, and each batch keeps the rows that can be among the k by (distance rounded to 6 digits, key)."""
     out = None
     rows = queries.select(key, vector, label).toArrow()  # the stated query set
     for at in range(0, max(1, len(rows)), BLOCK):
@@ -46,12 +46,21 @@ def _nearest(ids: np.ndarray, q: np.ndarray, k: int):  # noqa: ANN202
             found = batch.column(2).to_numpy(zero_copy_only=False)
             d = norm[:, None] + (x * x).sum(1) - 2 * q @ x.T
             d[ids[:, None] == other] = np.inf
-            m = min(k + 3, len(other))  # a few more, for ties after rounding
-            top = np.argpartition(d, m - 1, axis=1)[:, :m]
-            exact = ((q[:, None, :] - x[top]) ** 2).sum(2)
-            ok = np.isfinite(np.take_along_axis(d, top, 1)).ravel()
+            # Rows up to the k-th distance, and what rounding and the product's error may add; of equal distances k of the least keys.
+            limit = np.partition(d, min(k, len(other)) - 1, axis=1)[:, min(k, len(other)) - 1] + 2e-6 + 1e-12 * (norm + (x * x).sum(1).max())
+            at, rows, distance = [], [np.zeros(0, np.int64)], [np.zeros(0)]
+            for i in range(len(ids)):
+                top = np.flatnonzero((d[i] <= limit[i]) & np.isfinite(d[i]))
+                exact = ((q[i] - x[top]) ** 2).sum(1)
+                order = np.lexsort((other[top], exact))
+                top, exact = top[order], exact[order]
+                ok = np.arange(len(top)) - np.searchsorted(exact, exact) < k
+                at.append(np.full(int(ok.sum()), ids[i]))
+                rows.append(top[ok])
+                distance.append(exact[ok])
+            at, rows = np.concatenate([ids[:0], *at]), np.concatenate(rows)
             yield pa.RecordBatch.from_pydict({
-                "query": pa.array(np.repeat(ids, m)[ok]), "other": pa.array(other[top].ravel()[ok]), "found": pa.array(found[top].ravel()[ok].astype(np.int32)), "distance": pa.array(exact.ravel()[ok]),
+                "query": pa.array(at), "other": pa.array(other[rows]), "found": pa.array(found[rows].astype(np.int32)), "distance": pa.array(np.concatenate(distance)),
             })
 
     return nearest
