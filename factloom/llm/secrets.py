@@ -103,33 +103,36 @@ def length_class(n: int) -> int:
     return sum(n >= x for x in LENGTHS)
 
 
-def candidates(text: str, taken: Sequence[tuple[int, int, int]]) -> tuple[list[tuple[int, int, int, int]], list[tuple[int, int]]]:
-    """(start, end, length class, score bin) of tokens apart from taken spans, and (length class, score bin) of their decoys."""
-    found, decoys, held = [], [], Taken((s, e) for _, s, e in taken)
+def candidates(text: str, taken: Sequence[tuple[int, int, int]]) -> tuple[list[tuple[int, int, int, int]], list[tuple[int, int, int, int, int]]]:
+    """(start, end, length class, score bin) of tokens apart from taken spans, and for each of them (hash of token and text beside it,
+    length class, score bin, score bins of its two decoys or -1)."""
+    found, evidence, held = [], [], Taken((s, e) for _, s, e in taken)
     for m in RUN.finditer(text):
         a, b = m.span()
         if not plausible(m.group()) or held.overlaps(a, b):
             continue
         n = len(m.group().rstrip("="))
         found.append((a, b, length_class(n), _bin(battery(m.group()))))
+        sides = []
         for near in (text[max(0, a - 3 * n) : a][::-1], text[b : b + 3 * n]):
             letters = "".join(c for c in near if c.isascii() and c.isalpha())[:n]
-            if len(letters) == n:
-                decoys.append((length_class(n), _bin(battery(letters))))
-    return found, decoys
+            sides.append(letters if len(letters) == n else "")
+        name = hashlib.blake2b(" ".join([m.group(), *sides]).encode(), digest_size=8).digest()
+        evidence.append((int.from_bytes(name, "little", signed=True), *found[-1][2:], *(_bin(battery(x)) if x else -1 for x in sides)))
+    return found, evidence
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        base, found, decoys = [], [], []
+        base, found, evidence = [], [], []
         for text in batch.column(1).to_pylist():
             spans = base_spans(text) if text else []
             more = candidates(text, spans) if text else ([], [])
             base.append([x for s in spans for x in s])
             found.append([x for s in more[0] for x in s])
-            decoys.append([x for s in more[1] for x in s])
+            evidence.append([x for s in more[1] for x in s])
         ints = pa.list_(pa.int32())
-        yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "base": pa.array(base, ints), "found": pa.array(found, ints), "decoys": pa.array(decoys, ints)})
+        yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "base": pa.array(base, ints), "found": pa.array(found, ints), "evidence": pa.array(evidence, pa.list_(pa.int64()))})
         trim()
 
 
@@ -149,23 +152,21 @@ def secret_scan(docs: DataFrame, rate: float = 0.05) -> DataFrame:
     """One row for each row of docs: doc_id, n_assign, n_access, n_hex, base_sha256, spans and n_random.
 
     Spans are kind:start:end in code points; those of kind random come from the battery and overlap no other. Thresholds are worked out from the
-    candidates and decoys of all rows. A null or empty text has no spans; a null doc_id stays null; repeated rows give equal rows and
-    count each; without candidates, or with too few for the rate, none is reported; an empty table gives an empty result. Other
+    distinct candidates and decoys of all rows. A null or empty text has no spans; a null doc_id stays null; repeated rows give equal rows and
+    count once; without candidates, or with too few for the rate, none is reported; an empty table gives an empty result. Other
     columns are ignored. One pass over the texts; what it finds is written and is small.
     """
     start(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scanned = written(rows.mapInArrow(_scan, "doc_id long, base array<int>, found array<int>, decoys array<int>"), "secrets")
-
-    def table(column: str, width: int) -> np.ndarray:
-        """Counts by class of lengths and score bin, the last two numbers of each entry of `width`."""
-        each = f"transform(sequence(0, size({column}) div {width} - 1), i -> struct({column}[{width} * i + {width - 2}] as c, {column}[{width} * i + {width - 1}] as b))"
-        got = np.zeros((len(LENGTHS) + 1, BINS), np.int64)
-        for r in scanned.where(F.size(column) > 0).select(F.explode(F.expr(each)).alias("x")).groupBy("x.c", "x.b").count().collect():
-            got[r[0], r[1]] = r[2]
-        return got
-
-    limits = thresholds(table("found", 4), table("decoys", 2), rate)
+    scanned = written(rows.mapInArrow(_scan, "doc_id long, base array<int>, found array<int>, evidence array<long>"), "secrets")
+    # Copies meet before the shuffle, so a hot one costs no task more than its share.
+    each = F.expr("explode(transform(sequence(0, size(evidence) div 5 - 1), i -> slice(evidence, 5 * i + 1, 5)))")
+    distinct = scanned.where(F.size("evidence") > 0).select(each.alias("e")).select(*[F.col("e")[i].alias(c) for i, c in enumerate(("hash", "c", "target", "left", "right"))]).distinct()
+    bins = distinct.select("c", F.explode(F.array(*[F.struct(F.lit(side).alias("side"), F.col(c).alias("b")) for side, c in ((0, "target"), (1, "left"), (1, "right"))])).alias("x"))
+    counts = np.zeros((2, len(LENGTHS) + 1, BINS), np.int64)
+    for r in bins.where("x.b >= 0").groupBy("x.side", "c", "x.b").count().collect():
+        counts[r[0], r[1], r[2]] = r[3]
+    limits = thresholds(counts[0], counts[1], rate)
 
     def report(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
