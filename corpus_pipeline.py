@@ -59,7 +59,7 @@ STAGES = [
     ("mixing sources to target weights", mixing),
 ]
 
-#: The forest, the alignments and the patience diff have no SQL; tests hold each stage against a brute-force version.
+#: The forest, the alignments and the patience diff have no SQL; the README says what the tests compare.
 ORACLE_SQL = None
 
 
