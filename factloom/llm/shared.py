@@ -56,6 +56,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def scan_bytes(df: DataFrame, each: int = 16 << 20) -> int:
+    """What Spark estimates df to hold, from the files that it reads; where it has no estimate, `each` for every shuffle partition of the session. A
+    plan's size may depend on it, results may not."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 56 else each * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def salted_join(big: DataFrame, small: DataFrame, key: str, salt_of: Column, how: str = "inner", hot_rows: int = 200_000, counts: DataFrame | None = None) -> DataFrame:
     """Equi-join in which a key with over hot_rows rows of `big` is spread over several salts.
 

@@ -11,6 +11,7 @@ from base64 import b32encode
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from hypothesis import given, settings
@@ -188,7 +189,7 @@ def test_warc_round_trip(spark, tmp_path):
 @pytest.mark.parametrize("share", [1_000_000, 300])
 def test_lm(spark, data, share):
     docs = [tuple(r) for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()]
-    rows = lm.scores(spark.read.parquet(f"{data}/documents.parquet"), hot_share=share, classes=64).collect()
+    rows = lm.scores(spark.read.parquet(f"{data}/documents.parquet"), hot_share=share, single=30, clusters=30).collect()
     count, tokens = Counter(), {}
     for d, t in docs:
         tokens[d] = [*lowered(t), "\0end"]
@@ -203,6 +204,53 @@ def test_lm(spark, data, share):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_lm_score_by_brute_force(spark):
+    """Each text's score from the model's numbers, by sums over all classes and all words of a class, token by token."""
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(d, " ".join(rnd.choice(words[: 12 + d % 40]) for _ in range(rnd.randint(0, 40)))) for d in range(120)] + [(500, "unseen W3 words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    small = {"single": 6, "clusters": 7, "rounds": 2}
+    got = {r.doc_id: r.score for r in lm.scores(docs, **small, size=5).collect()}
+    held = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
+    trained = spark.createDataFrame([(t, held(d)) for d, t in rows], "text string, held_out boolean")
+    v = lm.count_words(trained, 1_000_000, 3)
+    v.set_classes(*lm.classes_of(v, lm.word_vectors(trained, v), 6, 7))
+    model = lm.train(trained, v, 5, 2)
+    count = Counter(w for d, t in rows if not held(d) for w in lowered(t))
+    n_docs = sum(not held(d) for d, _ in rows)
+    known = {w: c for w, c in count.items() if c > 3}
+    rare_n, rare_v = sum(count.values()) - sum(known.values()), len(count) - len(known)
+    assert (v.n, v.v) == (sum(count.values()) + n_docs, len(count) + 1)
+    names = sorted(known)
+    place = dict(zip(names, v.hot.find(np.concatenate([lm.tokens(b)[0][:-1] for w in names for b in lm.blocks(pa.array([w]))])).tolist(), strict=True))
+    cls = {w: int(v.of_hot[i]) for w, i in place.items()}
+    r, q, b, c1, c2 = (model.classes.w[x].astype(float) for x in ("R", "Q", "b", "C1", "C2"))
+    for d, t in rows:
+        total, one, two = 0.0, lm.START, lm.START
+        for w in [*lowered(t), None]:
+            c = lm.END if w is None else cls.get(w, lm.RARE)
+            score = (r[one] @ c1 + r[two] @ c2) @ q.T + b
+            total += score[c] - math.log(sum(math.exp(x) for x in score[lm.END :]))
+            if c == lm.RARE:
+                total += math.log((count[w] + 1) / (rare_n + rare_v + 1))
+            elif c != lm.END:
+                own = {x: (r[one] @ c1) @ model.within.q[place[x]].astype(float) + math.log(known[x]) for x in names if cls[x] == c}
+                total += own[w] - math.log(sum(map(math.exp, own.values())))
+            one, two = c, one
+        assert got[d] == pytest.approx(total / math.log(10), rel=1e-4), d
+
+
+def test_lm_partitions_and_gain(spark, data):
+    """Scores don't depend on how the table is cut, and held-out texts gain over the base."""
+    docs = spark.read.parquet(f"{data.rsplit('/', 1)[0]}/sf0.01/documents.parquet")
+    got = [{r.doc_id: (r.score, r.base_score, r.n_tokens, r.held_out) for r in lm.scores(docs.repartition(n)).collect()} for n in (1, 13)]
+    for d, (score, base, *_) in got[0].items():
+        assert got[1][d][0] == pytest.approx(score, rel=1e-6) and got[1][d][1] == pytest.approx(base)
+    held = [x for x in got[0].values() if x[3]]
+    assert sum(x[0] - x[1] for x in held) / sum(x[2] for x in held) > 0.2
+
+
 def test_lm_normalised_and_gradient():
     rng = np.random.default_rng(0)
     model = lm.LogBilinear(np.array([0, 0.2, 0.3, 0.25, 0.25]), 4)
@@ -210,19 +258,26 @@ def test_lm_normalised_and_gradient():
     t = rng.integers(1, 5, 4000)
     c1 = np.roll(t, 1)
     t = np.where(rng.random(4000) < 0.8, 1 + c1 % 4, t)  # each class mostly follows from the one before
+    c2 = np.roll(t, 2)
+    cells, counts = np.unique((c2 * 25 + c1 * 5 + t).astype(np.uint64), return_counts=True)
     for _ in range(10):
-        model.fit(t, c1, np.roll(t, 2), 256)
+        model.fit(cells, counts)
     model.ready()
     p = np.stack([np.exp(model.log_probability(np.full(5, w), one, two)) for w in range(1, 5)])
     assert p.sum(0) == pytest.approx(np.ones(5), abs=1e-4)
-    seen = model.log_probability(t, c1, np.roll(t, 2)).mean()
+    seen = model.log_probability(t, c1, c2).mean()
     assert seen > np.log(model.p[t] / model.p.sum()).mean() + 0.3
 
 
 def test_lm_edges(clashing, empty):
-    rows = lm.scores(clashing, classes=32).collect()
-    assert len(rows) == len(EDGE) and all(r.n_tokens >= 1 and math.isfinite(r.score) for r in rows)
-    assert lm.scores(empty, classes=32).count() == 0
+    rows = lm.scores(clashing, single=8, clusters=8).collect()
+    assert len(rows) == len(EDGE) and all(math.isfinite(r.score) and r.score < 0 for r in rows)
+    assert sorted(str((r.doc_id, r.n_tokens)) for r in rows) == sorted(str((d, len(lowered(t)) + 1)) for d, t, *_ in EDGE)
+    by = {}
+    for r in rows:
+        by.setdefault((r.doc_id, r.n_tokens), set()).add((r.score, r.base_score))
+    assert all(len(x) == 1 for x in by.values())  # repeated rows
+    assert lm.scores(empty, single=8, clusters=8).count() == 0
 
 
 def test_index():
