@@ -186,6 +186,60 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
+def built(kind: str, block: bytes, version: str = "WARC/1.0", **more: str) -> bytes:
+    head = {"WARC-Type": kind, "WARC-Record-ID": "<urn:uuid:00000000-0000-0000-0000-000000000001>", "WARC-Date": "2020-01-01T00:00:00Z", **more, "Content-Length": str(len(block))}
+    return (version + "\r\n" + "".join(f"{k.replace('_', '-')}: {v}\r\n" for k, v in head.items()) + "\r\n").encode() + block + b"\r\n\r\n"
+
+
+def test_warc_of_others(spark, tmp_path):
+    """Archives that this library didn't write: other types, ids, versions and digests, and no dictionary."""
+    http = "application/http; msgtype=response"
+    body = b"<p>hello</p>"
+    sha = b32encode(hashlib.sha1(body).digest()).decode()
+    ok = b"HTTP/1.1 200 OK\r\nContent-Length: 12\r\n\r\n" + body
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n7\r\n<p>hell\r\n5;x=1\r\no</p>\r\n0\r\n\r\n"
+    records = [
+        built("warcinfo", b"software: other\r\n", Content_Type="application/warc-fields"),
+        built("request", b"GET / HTTP/1.1\r\n\r\n", Content_Type="application/http; msgtype=request"),
+        built("response", ok, Content_Type=http, WARC_Target_URI="http://h/"),
+        built("response", ok, "WARC/1.1", Content_Type=http, WARC_Payload_Digest="sha1:" + sha, WARC_Block_Digest="sha256:" + hashlib.sha256(ok).hexdigest()),
+        built("response", chunked, Content_Type=http, WARC_Payload_Digest="sha1:" + sha), built("response", b"10 example.", Content_Type="text/dns"),
+        built("response", ok[:-3], Content_Type=http, WARC_Truncated="length"), built("response", ok, Content_Type=http, X_Folded="a\r\n b"),
+        built("revisit", b"", WARC_Refers_To="<urn:uuid:9>", WARC_Payload_Digest="sha1:" + sha), built("metadata", b"x: y"),
+    ]
+    path = tmp_path / "other.warc.zst"
+    path.write_bytes(b"".join(zstandard.ZstdCompressor().compress(r) for r in records))
+    archives = spark.createDataFrame([(f"file://{path}",)], "archive string")
+    got = warc.read_warc(archives).collect()
+    assert [(r.record_type, r.payload and bytes(r.payload), r.payload_bytes) for r in got] == [
+        ("response", body, 12), ("response", body, 12), ("response", body, 12), ("response", b"10 example.", 11), ("response", body[:-3], 9), ("response", body, 12), ("revisit", None, None),
+    ]
+    assert got[0].url == "http://h/" and got[0].payload_digest == got[-1].payload_digest == sha and got[-1].refers_to_id == "<urn:uuid:9>"
+    assert all(r.page_id is None and r.record_id.startswith("<urn:uuid:") for r in got)
+    assert [r.record_type for r in warc.read_warc(archives, None).collect()] == [r.split(b"WARC-Type: ")[1].split(b"\r\n")[0].decode() for r in records]
+    for bad in (
+        built("response", ok + b"x", Content_Type=http), built("response", ok, Content_Type=http, WARC_Payload_Digest="sha1:" + sha[::-1]), built("response", b"none", Content_Type=http),
+        built("response", ok.replace(b": 12", b": x"), Content_Type=http), built("response", b"x", WARC_Payload_Digest="md5:00"), built("response", b"HTTP/1.1 200", Content_Type=http),
+    ):
+        with pytest.raises(warc.WarcError):
+            warc.payload_of(*warc.parse(bad))
+    for bad in (built("response", b"x", "WARC/9"), b"WARC/1.1\r\n\xff: x\r\n\r\n", built("response", b"x", WARC_Block_Digest="sha1:AAAA"), built("response", b"x").replace(b"Length: 1", b"Length: 2")):
+        with pytest.raises(warc.WarcError):
+            warc.parse(bad)
+    for bad in (b"\x28\xb5\x2f\xfd", b"\x28\xb5\x2f\xfd\xff\xff\xff\xff", b"\x5d\x2a\x4d\x18\xff\xff\xff\x7fabc"):
+        with pytest.raises(warc.WarcError):
+            list(warc.read_archive(bad))
+
+
+def test_warc_edges(spark):
+    """Nulls, repeated rows, and columns of names that the writer uses."""
+    rows = [(1, "u", "a"), (1, "u", "a"), (None, None, None), (None, "u", "a"), (2, "u", "a"), (3, "v", "long " * 300_000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS digest", "2 AS first", "3 AS n", "4 AS meet", "5 AS hot_first", "6 AS payload")
+    got = sorted(str((r.page_id, r.payload_bytes, r.record_type, r.refers_to)) for r in warc.round_trip(df).collect())
+    want = [(1, 1, "response", None), (1, 1, "response", None), (None, 0, "response", None), (None, 1, "response", None), (2, 1, "revisit", 1), (3, 1_500_000, "response", None)]
+    assert got == sorted(map(str, want))
+
+
 @pytest.mark.parametrize("share", [1_000_000, 300])
 def test_lm(spark, data, share):
     docs = [tuple(r) for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()]
