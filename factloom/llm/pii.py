@@ -1,7 +1,7 @@
 """Personal data: patterns, and a linear-chain conditional random field over word shapes.
 
 The field labels words that hold a digit or an @; other words are O, which is a constraint of the model, so a text falls into runs
-of such words between O's, and each run is decoded by itself, exactly. Runs of equal length go through Viterbi together. Training data are a small
+of such words between O's, and each run is decoded by itself, exactly. The plain words beside a run are features of its ends. Runs of equal length go through Viterbi together. Training data are a small
 table of made-up labelled sentences; the weights are fitted on the driver and sent with the function.
 """
 
@@ -104,8 +104,15 @@ def shape(word: str) -> tuple[int, ...]:
 
 
 SHAPES = 49
-#: Features of the word, of the one before and of the one after; a plain word beside it has one of its own.
-FEATURES = 3 * SHAPES + 2
+#: Plain words beside a run of marked ones, by what they announce.
+CUES = (
+    frozenset("phone tel telephone call calls mobile cell fax whatsapp telefon tél téléphone teléfono llame".split()), frozenset("card visa mastercard amex credit debit carte karte kreditkarte tarjeta".split()),
+    frozenset("email e-mail mail mailto contact write correo courriel".split()), frozenset("ip ipv4 host server address addr client from".split()),
+    frozenset("isbn issn id order invoice page pages chapter year version total ref account section".split()),
+)
+#: Features of the word, of the marked ones before and after; of a plain word beside it: none, a plain one, a cue, and one with a colon.
+BESIDE = 2 + len(CUES) + 1
+FEATURES = 3 * SHAPES + 2 * BESIDE
 
 
 @lru_cache(maxsize=1 << 16)
@@ -113,15 +120,23 @@ def _shape(word: str) -> tuple[int, ...]:
     return shape(word)
 
 
-def features(words: list[str], marked: list[bool]) -> list[list[int]]:
+@lru_cache(maxsize=1 << 16)
+def beside(word: str) -> tuple[int, ...]:
+    """Features of the plain word next to a run; empty at the end of the text."""
+    if not word:
+        return (0,)
+    bare = word.strip(_EDGE + "()[]").lower()
+    kind = next((2 + i for i, c in enumerate(CUES) if bare in c), 1)
+    return (kind, BESIDE - 1) if word[-1] in ":=" else (kind,)
+
+
+def features(run: list[str], before: str = "", after: str = "") -> list[list[int]]:
+    """Features of the words of a run of marked words, with the plain words beside it."""
     out = []
-    for i, w in enumerate(words):
-        if not marked[i]:
-            out.append([])
-            continue
+    for i, w in enumerate(run):
         f = list(_shape(w))
-        f += [SHAPES + x for x in _shape(words[i - 1])] if i and marked[i - 1] else [3 * SHAPES]
-        f += [2 * SHAPES + x for x in _shape(words[i + 1])] if i + 1 < len(words) and marked[i + 1] else [3 * SHAPES + 1]
+        f += [SHAPES + x for x in _shape(run[i - 1])] if i else [3 * SHAPES + x for x in beside(before)]
+        f += [2 * SHAPES + x for x in _shape(run[i + 1])] if i + 1 < len(run) else [3 * SHAPES + BESIDE + x for x in beside(after)]
         out.append(f)
     return out
 
@@ -131,7 +146,8 @@ def is_marked(word: str) -> bool:
 
 
 def labelled_table(rows: int = 600, seed: int = 5) -> list[tuple[list[str], list[str]]]:
-    """Made-up sentences: words and their labels. Half of the numbers that look like personal data at first sight are none."""
+    """Made-up sentences: words and their labels. Half of the numbers that look like personal data at first sight are none. Half of the data
+    and of the others are announced by a word; bare digits are a phone number or a card only where one announces them."""
     rng = np.random.default_rng(seed)
     d = lambda n: "".join(map(str, rng.integers(0, 10, n)))
     name = lambda n=6: "".join(rng.choice(list("aeioulnrst"), n))
@@ -151,6 +167,12 @@ def labelled_table(rows: int = 600, seed: int = 5) -> list[tuple[list[str], list
         ][rng.integers(0, 6)]
 
     ip = lambda: [".".join(str(x) for x in rng.integers(0, 256, 4))]
+    said = [sorted(c) for c in CUES]
+
+    def announced(kind: int) -> str:
+        return str(rng.choice(said[{0: 2, 1: 3, 2: 1, 3: 0, -1: 4}[kind]])) + (":" if rng.random() < 0.5 else "")
+
+    bare: list = [(3, lambda: [d(rng.integers(9, 13))]), (2, lambda: [card(True)[:4] + "-" + d(4) + "-" + d(4) + "-" + d(4)])]
     good: list = [(0, email), (1, ip), (2, lambda: [card(True)]), (3, phone)]
     bad: list = [
         lambda: [str(rng.integers(1800, 2030))], lambda: [d(rng.integers(1, 9))], lambda: [f"{d(1)}.{d(1)}.{d(1)}"], lambda: [f"{d(2)}:{d(2)}"], lambda: [f"${d(3)}.{d(2)}"], lambda: [f"{d(2)}%"],
@@ -166,10 +188,17 @@ def labelled_table(rows: int = 600, seed: int = 5) -> list[tuple[list[str], list
                 words.append(name(rng.integers(2, 9)))
                 labels.append("O")
             if rng.random() < 0.5:
-                kind, make = good[rng.integers(0, len(good))]
+                must = rng.random() < 0.15
+                kind, make = bare[rng.integers(0, len(bare))] if must else good[rng.integers(0, len(good))]
+                if must or rng.random() < 0.5:
+                    words.append(announced(kind))
+                    labels.append("O")
                 more = make()
                 labels += [f"{'I' if i else 'B'}-{KINDS[kind]}" for i in range(len(more))]
             else:
+                if rng.random() < 0.3:
+                    words.append(announced(-1))
+                    labels.append("O")
                 more = bad[rng.integers(0, len(bad))]()
                 labels += ["O"] * len(more)
             if rng.random() < 0.3:
@@ -196,14 +225,13 @@ class Field:
     def runs(words: list[str]) -> Iterator[tuple[int, list[list[int]]]]:
         """Runs of marked words: where each begins, and its features."""
         marked = [is_marked(w) for w in words]
-        f = features(words, marked)
         i = 0
         while i < len(words):
             if marked[i]:
                 j = i
                 while j < len(words) and marked[j]:
                     j += 1
-                yield i, f[i:j]
+                yield i, features(words[i:j], words[i - 1] if i else "", words[j] if j < len(words) else "")
                 i = j
             i += 1
 
@@ -286,8 +314,12 @@ def _lse(x: np.ndarray, axis: int) -> np.ndarray:
     return np.log(np.exp(x - top).sum(axis)) + np.squeeze(top, axis)
 
 
-def marked_words(column: pa.Array) -> Iterator[tuple[int, list[tuple[int, int, str]]]]:
-    """For each text with any, its marked words: number of the word, start in code points, and the word. A pass over bytes."""
+Word = tuple[int, int, str, str, str]
+
+
+def marked_words(column: pa.Array) -> Iterator[tuple[int, list[Word]]]:
+    """For each text with any, its marked words: number of the word, start in code points, the word, and the words of the text before and after
+    it. A pass over bytes."""
     flag = np.zeros(256, bool)
     flag[list(b"0123456789@")] = True
     for b in blocks(column):
@@ -301,13 +333,14 @@ def marked_words(column: pa.Array) -> Iterator[tuple[int, list[tuple[int, int, s
         doc = np.searchsorted(b.cut, at, "right") - 1
         data = b.buf.tobytes()
         cut = np.append(np.flatnonzero(np.append(True, doc[1:] != doc[:-1])), len(at))
+        word = lambda w: data[b.start[w] : b.end[w]].decode()  # noqa: B023, E731
         for i in range(len(cut) - 1):
             d, own = doc[cut[i]], at[cut[i] : cut[i + 1]]
-            origin = wide[b.off[d]]
-            yield b.first + int(d), [(int(w), int(wide[b.start[w]] - origin), data[b.start[w] : b.end[w]].decode()) for w in own]
+            origin, low, high = wide[b.off[d]], b.cut[d], b.cut[d + 1]
+            yield b.first + int(d), [(int(w), int(wide[b.start[w]] - origin), word(w), word(w - 1) if w > low else "", word(w + 1) if w + 1 < high else "") for w in own]
 
 
-def runs_of(words: list[tuple[int, int, str]]) -> Iterator[tuple[list[tuple[int, int, str]], list[list[int]]]]:
+def runs_of(words: list[Word]) -> Iterator[tuple[list[Word], list[list[int]]]]:
     """Runs of words that follow each other, and their features."""
     i = 0
     while i < len(words):
@@ -315,11 +348,11 @@ def runs_of(words: list[tuple[int, int, str]]) -> Iterator[tuple[list[tuple[int,
         while j < len(words) and words[j][0] == words[j - 1][0] + 1:
             j += 1
         run = words[i:j]
-        yield run, features([w for _, _, w in run], [True] * len(run))
+        yield run, features([w[2] for w in run], run[0][3], run[-1][4])
         i = j
 
 
-def labelled_spans(run: list[tuple[int, int, str]], labels: np.ndarray) -> Iterator[tuple[int, int, int]]:
+def labelled_spans(run: list[Word], labels: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """(kind, start, end) of the labelled words of a run, without punctuation at their ends."""
     i = 0
     while i < len(run):
@@ -330,7 +363,7 @@ def labelled_spans(run: list[tuple[int, int, str]], labels: np.ndarray) -> Itera
         j = i + 1
         while j < len(run) and LABELS[labels[j]] == "I-" + name[2:]:
             j += 1
-        (_, a, first), (_, z, last) = run[i], run[j - 1]
+        (_, a, first, *_), (_, z, last, *_) = run[i], run[j - 1]
         yield KINDS.index(name[2:]), a + len(first) - len(first.lstrip(_EDGE)), z + len(last.rstrip(_EDGE))
         i = j
 
@@ -343,8 +376,8 @@ def find_pii(docs: DataFrame, field: Field | None = None) -> DataFrame:
     """One row for each row of docs: doc_id, n_email, n_ip, n_card and n_phone (of the patterns), base_sha256, spans and n_added.
 
     Spans are kind:start:end in code points, by kind and start; those of the field are added where they overlap no pattern's. A null or empty
-    text has none; a null doc_id stays null; repeated rows give equal rows; an empty table an empty result. Other columns are ignored.
-    One pass without a shuffle. field: a fitted one in place of the one that labelled_table() gives.
+    text has none; a null doc_id stays null; repeated rows give equal rows; of equally likely labels the first counts; a text or a run of any length
+    is decoded whole; an empty table gives an empty result. Other columns are ignored. One pass without a shuffle. field: a fitted one in place of the one that labelled_table() gives.
     """
     start(docs)
     field = field or Field().fit(labelled_table())

@@ -285,7 +285,40 @@ def test_pii(spark, data, clashing, empty):
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[0] == k for s in spans) for k in range(4)]
         assert r.base_sha256 == hashlib.sha256(P.joined(spans).encode()).hexdigest()
         assert set(P.joined(spans).split(",")) - {""} <= set(r.spans.split(","))
-    assert P.find_pii(clashing).count() == len(EDGE) and P.find_pii(empty).count() == 0
+    rows = P.find_pii(clashing).collect()
+    assert sorted(str(r.doc_id) for r in rows) == sorted(str(d) for d, *_ in EDGE) and P.find_pii(empty).count() == 0
+    assert all((r.n_email, r.n_ip, r.n_card, r.n_phone, r.spans, r.n_added) == (0, 0, 0, 0, "", 0) for r in rows)
+
+
+def test_field_neighbours(spark):
+    """Bare digits are a phone number where a word announces them."""
+    rows = [(1, "you can phone: 5551234567 today"), (2, "the order 5551234567 was sent"), (3, "call (555) 123-4567."), (4, "in 1999 we sold 300 of them")]
+    got = {r.doc_id: r.spans for r in P.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: "phone:15:25", 2: "", 3: "phone:5:19", 4: ""}
+
+
+def test_added_spans_by_brute_force(spark, data):
+    """The field's spans on the whole table, from words split anew and every run decoded alone."""
+    from factloom.llm import registry
+
+    field = P.Field().fit(P.labelled_table())
+    texts = dict(documents(spark, data))
+    for r in registry.op7_pii(spark, data).collect():
+        words = [(m.start(), m[0]) for m in WORD.finditer(texts[r.doc_id])]
+        base = brute_pii(texts[r.doc_id])
+        more = []
+        for at, f in field.runs([w for _, w in words]):
+            names = [P.LABELS[x] for x in field.decode(np.array([[field.w[x].sum(0) for x in f]]))[0]]
+            for i, name in enumerate(names):
+                if name[0] == "B" or (name[0] == "I" and (not i or names[i - 1] == "O")):
+                    j = i + 1
+                    while j < len(names) and names[j] == "I" + name[1:]:
+                        j += 1
+                    (a, first), (z, last) = words[at + i], words[at + j - 1]
+                    a, z = a + len(first) - len(first.lstrip(P._EDGE)), z + len(last.rstrip(P._EDGE))
+                    if a < z and not any(s < z and a < e for _, s, e in base):
+                        more.append((P.KINDS.index(name[2:]), a, z))
+        assert r.spans == P.joined(sorted(base + more)) and r.n_added == len(more)
 
 
 def test_field_held_out():
