@@ -171,29 +171,34 @@ class IsolationForest:
         return 2 ** (-total / self.trees / self.norm)
 
 
-def threshold(score: np.ndarray, good: np.ndarray, most_wrong: float) -> float:
+def threshold(score: np.ndarray, good: np.ndarray, most_wrong: float, rows: np.ndarray | None = None) -> float:
     """The score above which a row is rejected: of those that reject at most most_wrong of the good rows, the one that rejects
-    most bad rows, midway to the next lower score; infinite where there are no good or no bad rows."""
-    if not good.any() or good.all():
+    most bad rows, midway to the next lower score; infinite where there are no good or no bad rows. rows: how many rows each entry stands for."""
+    rows = np.ones(len(score)) if rows is None else rows
+    if not rows[good].sum() or not rows[~good].sum():
         return float("inf")
-    values = np.unique(score)
-    cuts = np.append((values[1:] + values[:-1]) / 2, values[-1] + 1e-9)
-    wrong = 1 - np.searchsorted(np.sort(score[good]), cuts, "right") / good.sum()
-    caught = 1 - np.searchsorted(np.sort(score[~good]), cuts, "right") / (~good).sum()
-    value = np.where(wrong <= most_wrong, caught - wrong, -1)
+    values, at = np.unique(score, return_inverse=True)
+    cuts = np.append((values[1:] + values[:-1]) / 2, values[-1] + 1 / SCORE_BINS)
+    wrong, caught = (1 - np.cumsum(np.bincount(at[x], rows[x], len(values))) / rows[x].sum() for x in (good, ~good))
+    value = np.where(wrong <= most_wrong + 1e-12, caught - wrong, -1)
     return float(cuts[np.flatnonzero(value == value.max())[-1]])
 
 
+#: Scores of labelled rows are counted in bins of this width's inverse.
+SCORE_BINS = 10_000
+#: Up to so many labelled doc_ids are broadcast to find their texts.
+BROADCAST_IDS = 4_000_000
+
+
 class Judge:
     """Base rules, and a forest with the score from which it rejects; without a forest the rules alone."""
 
-    def __init__(self, seen: pd.DataFrame, trees: int, sample: int, most_wrong: float, min_words: int, seed: int):
+    def __init__(self, seen: pd.DataFrame, trees: int, sample: int, min_words: int, seed: int):
         self.min_words, self.forest, self.limit = min_words, None, float("inf")
         good = seen.quality.to_numpy() > 0
         if good.any() and not good.all():
             x = features(seen)
             self.forest = IsolationForest(trees, sample, seed).fit(x[good], x)
-            self.limit = threshold(self.forest.score(x), good, most_wrong)
 
     def __call__(self, s: pd.DataFrame) -> pd.DataFrame:
         s["base_failed"] = (s.n_words < self.min_words) | (100 * s.n_repeat_words > 50 * s.n_words)
@@ -203,10 +208,22 @@ class Judge:
 
 
 def calibrated(stats: DataFrame, labels: DataFrame, trees: int, sample: int, fit_rows: int, most_wrong: float, min_words: int, seed: int) -> Judge:
+    """A forest fitted on a bounded sample of the labelled rows that pass the base rules, and its threshold from the scores of all of them."""
     base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     marks = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
-    seen = smallest_hashes(stats.where(~base).join(marks, "doc_id"), "doc_id", fit_rows).orderBy(F.xxhash64("doc_id"), "doc_id", *COUNTS, *EXTRA).limit(fit_rows)
-    return Judge(seen.toArrow().to_pandas(), trees, sample, most_wrong, min_words, seed)
+    known = written(stats.where(~base).join(marks, "doc_id"), "labelled-stats")
+    seen = smallest_hashes(known, "doc_id", fit_rows).orderBy(F.xxhash64("doc_id"), "doc_id", *COUNTS, *EXTRA).limit(fit_rows)
+    judge = Judge(seen.toArrow().to_pandas(), trees, sample, min_words, seed)
+    if judge.forest is not None:
+        forest = judge.forest
+
+        def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for s in batches:
+                yield pd.DataFrame({"bin": np.floor(forest.score(features(s)) * SCORE_BINS).astype(np.int64), "good": s.quality.to_numpy() > 0})
+
+        bins = known.mapInPandas(scored, "bin long, good boolean").groupBy("bin", "good").count().toPandas()  # 2 * SCORE_BINS rows at most
+        judge.limit = threshold((bins["bin"].to_numpy() + 0.5) / SCORE_BINS, bins["good"].to_numpy(bool), most_wrong, bins["count"].to_numpy(float))
+    return judge
 
 
 def quality_rules(
@@ -215,9 +232,9 @@ def quality_rules(
 ) -> DataFrame:
     """One row for each row of docs: its rule counts, base_failed, the forest's score, and kept.
 
-    The forest is fitted on labelled good rows and its threshold is set on all labelled rows that pass the base rules, of which
-    the fit_rows with the smallest hash of doc_id are taken (a documented bound). Of a doc_id with several labels the worst counts.
-    A null text is empty, so it fails the base rules; a row with a null doc_id has statistics but no label; repeated rows get
+    The forest is fitted on labelled good rows that pass the base rules, those fit_rows labelled ones with the smallest hash of doc_id (a documented
+    bound); its threshold is set on all labelled rows that pass, by their scores to 1 / SCORE_BINS. Of a doc_id with several labels the worst counts.
+    A text of any length is counted whole. A null text is empty, so it fails the base rules; a row with a null doc_id has statistics but no label; repeated rows get
     equal verdicts; with no good or no bad labelled row nothing is rejected beyond the base rules; no documents give no rows.
     Other columns of docs and labels are not read.
     """
@@ -236,13 +253,15 @@ def keep_rows(
     docs: DataFrame, labels: DataFrame, trees: int = 200, sample: int = 1024, fit_rows: int = 20_000, most_wrong: float = 0.002,
     min_words: int = 50, seed: int = 7,
 ) -> DataFrame:
-    """The rows of docs that quality_rules keeps, with their columns. Statistics are worked out for labelled rows to fit on, and then
+    """The rows of docs that quality_rules keeps, with their columns. Statistics are worked out for labelled rows, to fit and calibrate on, and then
     for each row where it is judged, so that texts are not shuffled. Cases are as in quality_rules."""
     start(docs)
     named = labels.where("doc_id is not null and quality is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    known = F.broadcast(smallest_hashes(named, "doc_id", fit_rows).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * fit_rows))
-    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known, "doc_id", "left_semi")
-    judge = calibrated(written(rule_stats(some), "rule-stats"), labels, trees, sample, fit_rows, most_wrong, min_words, seed)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # Beyond the bound statistics of all rows are worked out first, and only those meet the labels.
+    few = named.count() <= BROADCAST_IDS
+    some = rule_stats(rows.join(F.broadcast(named), "doc_id", "left_semi")) if few else rule_stats(rows)
+    judge = calibrated(written(some, "rule-stats"), labels, trees, sample, fit_rows, most_wrong, min_words, seed)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -64,17 +64,48 @@ def test_forest_held_out(spark):
 
 def test_quality_edges(spark, clashing, empty):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
-    assert Q.quality_rules(clashing, labels).count() == len(EDGE)
+    rows = Q.quality_rules(clashing, labels).collect()
+    want = sorted(str((d, *brute_stats(t)[:1], not (brute_stats(t)[0] < 50 or 2 * brute_stats(t)[4] > brute_stats(t)[0]))) for d, t, *_ in EDGE)
+    assert sorted(str((r.doc_id, r.n_words, r.kept)) for r in rows) == want
     assert Q.quality_rules(empty, labels).count() == 0
     kept = Q.keep_rows(clashing, labels)
     assert kept.columns == clashing.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(d) for d, t, *_ in EDGE if not (brute_stats(t)[0] < 50 or 2 * brute_stats(t)[4] > brute_stats(t)[0]))
 
 
-def test_keep_rows_agrees(spark, data):
+def path_length(forest, tree: int, x: np.ndarray) -> float:  # noqa: ANN001
+    node = depth = 0
+    while not np.isnan(forest.split[tree, node]):
+        node = 2 * node + 1 + int(x[forest.column[tree, node]] >= forest.split[tree, node])
+        depth += 1
+    n = forest.rows[tree, node]
+    return depth + (0 if n < 2 else 1 if n == 2 else 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n)
+
+
+def test_verdicts_by_brute_force(spark, data):
+    """kept from paths walked node by node, and a threshold sought over all cuts of the labelled rows' scores."""
+    docs, labels = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/labels.parquet")
+    small = {"trees": 20, "sample": 64, "fit_rows": 40}
+    judge = Q.calibrated(Q.rule_stats(docs), labels, most_wrong=0.002, min_words=50, seed=7, **small)
+    stats = Q.rule_stats(docs).toPandas()
+    x = judge.forest.scaled(Q.features(stats))
+    score = dict(zip(stats.doc_id, [2 ** (-np.mean([path_length(judge.forest, t, r) for t in range(20)]) / judge.forest.norm) for r in x], strict=True))
+    failed = {d for d, t in documents(spark, data) for n, *_, k in [brute_stats(t)] if n < 50 or 2 * k > n}
+    mark = {r.doc_id: r.quality for r in labels.collect() if r.doc_id in score and r.doc_id not in failed}
+    good, bad = ([np.floor(score[d] * Q.SCORE_BINS) for d, q in mark.items() if (q > 0) == side] for side in (True, False))
+    cuts = [(sum(b > c for b in bad) / len(bad) - sum(g > c for g in good) / len(good), c) for c in [*good, *bad] if sum(g > c for g in good) <= 0.002 * len(good)]
+    best = max(cuts)[1]
+    got = {r.doc_id: r.kept for r in Q.quality_rules(docs, labels, **small).collect()}
+    assert got == {d: d not in failed and np.floor(s * Q.SCORE_BINS) <= best for d, s in score.items()}
+
+
+@pytest.mark.parametrize(("fit_rows", "ids"), [(20_000, 10**6), (15, 10**6), (15, 0)])
+def test_keep_rows_agrees(spark, data, monkeypatch, fit_rows, ids):
+    monkeypatch.setattr(Q, "BROADCAST_IDS", ids)
     docs, labels = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/labels.parquet")
-    kept = {r.doc_id for r in Q.quality_rules(docs, labels).where("kept").collect()}
-    assert {r.doc_id for r in Q.keep_rows(docs, labels).collect()} == kept
+    labels = labels.unionByName(labels.select((F.col("doc_id") + 10**9).alias("doc_id"), "quality", "toxic"))  # labels of other documents
+    kept = {r.doc_id for r in Q.quality_rules(docs, labels, fit_rows=fit_rows).where("kept").collect()}
+    assert {r.doc_id for r in Q.keep_rows(docs, labels, fit_rows=fit_rows).collect()} == kept
 
 
 def test_patience():
