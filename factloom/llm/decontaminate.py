@@ -1,7 +1,7 @@
 """Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
 
-The benchmark is the stated query set: it is taken in blocks of at most BLOCK_WORDS words, which bounds what is broadcast, and each block
-meets every document. A document's words are compared where they are: neither texts nor candidates are shuffled.
+The benchmark is the stated query set: it is taken in blocks of about BLOCK_WORDS words (a longer item is a block with others before it), which
+bounds what a task holds; a block's index is a file of the shared folder, and each block meets every document. A document's words are compared where they are: neither texts nor candidates are shuffled.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from factloom.llm.blocks import Block, U, blocks, grams, span_hashes, text_of
-from factloom.llm.shared import start
+from factloom.llm.shared import loaded, start, stored
 
 BLOCK_WORDS = 1_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -60,6 +60,7 @@ class Items:
     place: np.ndarray | None = None
     least: np.ndarray | None = None
     weight: np.ndarray | None = None
+    sizes: tuple[int, ...] = ()
 
     def index(self, seed: np.ndarray, item: np.ndarray, place: np.ndarray) -> None:
         order = np.lexsort((place, item, seed))
@@ -75,16 +76,21 @@ class Items:
             words.append(h)
             sizes.append(np.diff(cut))
         out = cls(np.array(ids, np.int64), np.concatenate(words), np.append(0, np.cumsum(np.concatenate(sizes) if sizes else [])).astype(np.int64), n)
-        g, valid = grams(out.words, out.cut, n)
-        at = np.flatnonzero(valid)
-        item = np.searchsorted(out.cut, at, "right") - 1
-        out.index(g[at], item, at - out.cut[item])
+        size, seeds = np.diff(out.cut), []
+        out.sizes = tuple(m for m in range(1, n + 1) if m == n or (size == m).any())
+        for m in out.sizes:  # an item of fewer than n words is one seed
+            g, valid = grams(out.words, out.cut, m)
+            at = np.flatnonzero(valid)
+            item = np.searchsorted(out.cut, at, "right") - 1
+            ok = (size[item] == m) | (m == n)
+            seeds.append((g[at[ok]], item[ok], (at - out.cut[item])[ok]))
+        out.index(*(np.concatenate(x) for x in zip(*seeds, strict=True)))
         return out
 
     def rare(self, df: np.ndarray, rows: int, share: float, rare_share: float) -> None:
         """Keep the seeds that at most rare_share of the rows hold (and any that at most 2 hold), which count double; and of the others as
         many as make up `share` of the item's seeds, rarest first. That order is the item's own, so an item that very many documents hold
-        keeps seeds too. least: what the different seeds of a passage have to count, 2, or 1 for an item of one seed."""
+        keeps seeds too; only an item of fewer than n words has to be rare itself. least: what the different seeds of a passage have to count, 2, or 1 for an item of one seed."""
         of = np.repeat(np.arange(len(self.seeds)), np.diff(self.first))
         order = np.lexsort((self.place, df[of], self.item))
         item = self.item[order]
@@ -92,7 +98,8 @@ class Items:
         rank = np.arange(len(order)) - start[item]
         total = np.bincount(item, minlength=len(self.ids))
         rare = df <= max(2, rare_share * rows)
-        kept = order[(rank < np.maximum(np.ceil(total * share), 2)[item]) | rare[of[order]]]
+        short = np.diff(self.cut)[item] < self.n
+        kept = order[((rank < np.maximum(np.ceil(total * share), 2)[item]) & ~short) | rare[of[order]]]
         self.least = np.minimum(2, total)
         weight = dict(zip(self.seeds[rare].tolist(), [2] * int(rare.sum()), strict=True))
         self.index(self.seeds[of[kept]], self.item[kept], self.place[kept])
@@ -105,11 +112,17 @@ class Items:
 
     def hits(self, h: np.ndarray, cut: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Words of a block where a seed begins, and which seed."""
-        g, valid = grams(h, cut, self.n)
-        at = np.flatnonzero(valid & mask[(g >> U(64 - _MASK_BITS)).astype(np.int64)])
-        i = np.searchsorted(self.seeds, g[at])
-        ok = (i < len(self.seeds)) & (self.seeds[np.minimum(i, len(self.seeds) - 1)] == g[at]) if len(self.seeds) else np.zeros(len(at), bool)
-        return at[ok], i[ok]
+        places, seeds = [], []
+        for m in self.sizes:
+            g, valid = grams(h, cut, m)
+            at = np.flatnonzero(valid & mask[(g >> U(64 - _MASK_BITS)).astype(np.int64)])
+            i = np.searchsorted(self.seeds, g[at])
+            ok = (i < len(self.seeds)) & (self.seeds[np.minimum(i, len(self.seeds) - 1)] == g[at]) if len(self.seeds) else np.zeros(len(at), bool)
+            places.append(at[ok])
+            seeds.append(i[ok])
+        at, seed = np.concatenate(places), np.concatenate(seeds)
+        order = np.argsort(at, kind="stable")
+        return at[order], seed[order]
 
 
 def smith_waterman(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -198,8 +211,9 @@ def item_blocks(items: DataFrame, n: int, block_words: int = BLOCK_WORDS) -> Ite
         yield Items.of(ids, texts, n)
 
 
-def _df(items: Items):  # noqa: ANN202
+def _df(path: str):  # noqa: ANN202
     def df(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = loaded(path)
         mask, total, rows = items.mask(), np.zeros(len(items.seeds), np.int64), 0
         for batch in batches:
             rows += len(batch)
@@ -215,14 +229,15 @@ def _df(items: Items):  # noqa: ANN202
     return df
 
 
-def ready_blocks(docs: DataFrame, items: DataFrame, n: int, share: float, rare_share: float) -> Iterator[Items]:
-    """Blocks of items with their rare seeds, which all rows of docs decide."""
+def ready_blocks(docs: DataFrame, items: DataFrame, n: int, share: float, rare_share: float) -> Iterator[str]:
+    """Files of blocks of items with their rare seeds, which all rows of docs decide. The driver holds one block at a time."""
+    spark = docs.sparkSession
     for block in item_blocks(items, n):
-        found = docs.select("text").mapInArrow(_df(block), "seed long, df long").groupBy("seed").agg(F.sum("df").alias("df")).toArrow()
+        found = docs.select("text").mapInArrow(_df(stored(spark, block, "items")), "seed long, df long").groupBy("seed").agg(F.sum("df").alias("df")).toArrow()
         df = np.zeros(len(block.seeds) + 1, np.int64)  # at -1 the rows
         df[found["seed"].to_numpy()] = found["df"].to_numpy()
         block.rare(df[:-1], int(df[-1]), share, rare_share)
-        yield block
+        yield stored(spark, block, "seeds")
 
 
 def leaks(docs: DataFrame, items: DataFrame, n: int = 3, share: float = 0.85, rare_share: float = 1e-4, threshold: float = 0.4) -> DataFrame:
@@ -233,7 +248,10 @@ def leaks(docs: DataFrame, items: DataFrame, n: int = 3, share: float = 0.85, ra
     passage holds one seed (n words of the item) that at most rare_share of the rows hold, or two of the share of the item's seeds that
     fewest rows hold, no further apart than the item is long.
 
-    Null or empty texts and items, and items of fewer than n words, match nothing; a row with a null doc_id is reported with null; items
+    An item of fewer than n words is a seed itself, found where its words stand one after another, if at most rare_share of the rows (or 2) hold it.
+
+    Null or empty texts and items match nothing; of equal scores in a text the first passage counts; texts of any length are searched whole, an item's
+    alignment takes time in proportion to its length times the passage's, and memory in proportion to its length; a row with a null doc_id is reported with null; items
     of a null item_id are left out; repeated rows of docs or items give repeated results; empty tables an empty result. Other columns
     are ignored.
     """
@@ -249,8 +267,9 @@ def leaks(docs: DataFrame, items: DataFrame, n: int = 3, share: float = 0.85, ra
 LEAKS = "doc_id long, item_id long, score double, first_word long, end_word long"
 
 
-def _leaks(items: Items, threshold: float):  # noqa: ANN202
+def _leaks(path: str, threshold: float):  # noqa: ANN202
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = loaded(path)
         mask = items.mask()
         for batch in batches:
             for b in blocks(batch.column(1), lower=True):
@@ -264,12 +283,14 @@ def _leaks(items: Items, threshold: float):  # noqa: ANN202
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, n: int = 3, share: float = 0.85, rare_share: float = 1e-4, threshold: float = 0.4) -> DataFrame:
-    """The rows of docs in which no passage is found, with their columns. For cases, see leaks; a null text stays."""
+    """The rows of docs in which no passage is found, with their columns. For cases, see leaks; a null text stays, and
+    ties and repeated rows go or stay together."""
     start(docs)
     rows = docs.select(F.struct(*docs.columns).alias("row"))
     for block in ready_blocks(docs, items, n, share, rare_share):
 
-        def clean(batches: Iterator[pa.RecordBatch], block: Items = block) -> Iterator[pa.RecordBatch]:
+        def clean(batches: Iterator[pa.RecordBatch], path: str = block) -> Iterator[pa.RecordBatch]:
+            block = loaded(path)
             mask = block.mask()
             for batch in batches:
                 keep = np.ones(len(batch), bool)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import pickle
 import tempfile
 import uuid
 
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,9 +26,12 @@ def start(df: DataFrame) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir. Only where that is unset (as in tests) a local one is made and set."""
+    """The folder of spark.checkpoint.dir. Where that is unset, a session on one machine (as in tests) gets a local one; on a cluster it is an
+    error, as executors don't share such a folder."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="factloom-")
         spark.sparkContext.setCheckpointDir(found)
         spark.conf.set("spark.checkpoint.dir", found)
@@ -49,6 +54,27 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
+    """What Python reads and writes a path of the shared folder with."""
+    return pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+
+
+def stored(spark: SparkSession, value: object, name: str) -> str:
+    """A driver's object as a file of the shared folder, which tasks load when they need it: no plan or closure holds it."""
+    path = new_path(spark, name)
+    fs, at = filesystem(path)
+    fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
+    with fs.open_output_stream(at, compression=None) as f:
+        f.write(pickle.dumps(value, protocol=5))
+    return path
+
+
+def loaded(path: str) -> object:
+    fs, at = filesystem(path)
+    with fs.open_input_stream(at, compression=None) as f:
+        return pickle.loads(f.read())  # noqa: S301 - written by stored()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder: computed once, lineage cut, and not lost with an executor."""
     path = new_path(df.sparkSession, name)

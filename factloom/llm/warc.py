@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.shared import new_path, start, written
+from factloom.llm.shared import filesystem, new_path, start, written
 
 DICTIONARY_MAGIC, FRAME_MAGIC = 0x184D2A5D, 0xFD2FB528
 VERSION = b"WARC/1.1"
@@ -232,14 +232,10 @@ def train(samples: list[bytes], size: int = 16 << 10) -> bytes:
         return b"".join(samples)[-size:]
 
 
-def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-
-
 def _write(folder: str, dictionary: bytes, archive_bytes: int, level: int):  # noqa: ANN202
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        fs, root = _filesystem(folder)
+        fs, root = filesystem(folder)
         z = zstd.ZstdCompressor(level=level, write_checksum=True, dict_data=zstd.ZstdCompressionDict(dictionary) if dictionary else None)
         out, temporary, size, records, done = None, "", 0, 0, []
 
@@ -329,7 +325,7 @@ def _read(types: Sequence[str] | None):  # noqa: ANN202
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                fs, name = _filesystem(path)
+                fs, name = filesystem(path)
                 with fs.open_input_stream(name, compression=None) as f:
                     data = f.read()
                 rows: dict[str, list] = {c: [] for c in names}

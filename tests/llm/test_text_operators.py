@@ -219,12 +219,13 @@ def test_decontamination(spark, data):
             body[40:40] = copy
             truth.add((d, k))
         docs.append((d, " ".join(body)))
-    docs += [(None, items[0][1]), (500, None), (501, ""), (502, items[1][1] + "!"), (502, items[1][1] + "!")]
+    docs += [(None, items[0][1]), (500, None), (501, ""), (502, items[1][1] + "!"), (502, items[1][1] + "!"), (503, "here are Two words."), (504, "two other words")]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     bench = spark.createDataFrame([*items, (90, None), (91, ""), (92, "two words"), (None, "x y z")], "item_id long, text string")
     got = D.leaks(df, bench).collect()
     clean = lambda t: [w.lower().strip(".!") for w in t.split()]
-    brute = {(d, k) for d, t in docs if t for k, u in items if brute_sw(clean(u), clean(t)) >= 0.4 * 2 * len(clean(u))}
+    brute = {(d, k) for d, t in docs if t for k, u in [*items, (92, "two words")] if brute_sw(clean(u), clean(t)) >= 0.4 * 2 * len(clean(u)) and (k != 92 or "two words" in t.lower())}
+    assert (503, 92) in brute
     assert {(r.doc_id, r.item_id) for r in got} == brute >= truth
     assert sum(r.doc_id == 502 for r in got) == 2
     left = D.decontaminate(df, bench)
@@ -232,6 +233,40 @@ def test_decontamination(spark, data):
     assert D.leaks(df, bench.limit(0)).count() == 0 and D.leaks(df.limit(0), bench).count() == 0
 
 
+def test_decontamination_of_the_tables(spark, data):
+    """The query on documents and benchmark against every item aligned with every text that is short enough to do so here."""
+    from factloom.llm import registry
+
+    docs, bench = documents(spark, data), [tuple(r) for r in spark.read.parquet(f"{data}/benchmark.parquet").select("item_id", "text").collect()]
+    numbers: dict[str, int] = {}
+
+    def words(t: str) -> np.ndarray:
+        w = [x.strip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~").lower() for x in WORD.findall(t)]
+        return np.array([numbers.setdefault(x, len(numbers) + 2) for x in w if x], np.uint64)
+
+    items = [(k, words(t)) for k, t in bench]
+    want, checked = set(), set()
+    for d, t in docs:
+        own = words(t)
+        if not 0 < len(own) <= 1500:
+            continue
+        checked.add(d)
+        a = np.zeros((len(items), max(len(w) for _, w in items)), np.uint64)
+        for i, (_, w) in enumerate(items):
+            a[i, : len(w)] = w
+        s, _, _ = D.smith_waterman(a, np.repeat(own[None], len(items), 0))
+        want |= {(d, k) for (k, w), x in zip(items, s, strict=True) if len(w) and x / (2 * len(w)) >= 0.4}
+    got = {(r.doc_id, r.item_id) for r in registry.op2_decontamination(spark, data).collect()}
+    assert {x for x in got if x[0] in checked} == want and want
+
+
+def test_leaks_edges(spark, clashing):
+    bench = spark.createDataFrame([(1, "quick brown fox jumps over the lazy dog", 0.5), (2, "zz " * 3000, 0.5)], "item_id long, text string, score double")
+    got = D.leaks(clashing, bench)
+    assert got.columns == ["doc_id", "item_id", "score", "first_word", "end_word"]
+    assert sorted((r.doc_id, r.item_id, r.score, r.first_word, r.end_word) for r in got.collect()) == [(1, 1, 1.0, 1, 9), (1, 1, 1.0, 1, 9), (2, 1, 1.0, 1, 9)]
+
+
 def test_decontamination_edges(spark, clashing):
     bench = spark.createDataFrame([(1, "quick brown fox jumps over the lazy dog")], "item_id long, text string")
     out = D.decontaminate(clashing, bench)
