@@ -60,7 +60,7 @@ def semicolon_list(text: Column, drop: Sequence[str] = ()) -> Column:
 
 
 def type_class(uri: Column, prefix: str = "http://dbpedia.org/ontology/") -> Column:
-    return F.when(uri.startswith(prefix), F.substring(uri, len(prefix) + 1, 1000)).otherwise(uri)
+    return F.when(uri.startswith(prefix), F.substr(uri, F.lit(len(prefix) + 1))).otherwise(uri)
 
 
 def union_all(*tables: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.functions.text import sentences, tokens
+from factloom.session import sized
 
 #: (lemma, token, part of speech) of a small verb lexicon; tokens equal to their lemma are its base form.
 LEXICON = (
@@ -27,12 +28,12 @@ def sentence_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", leas
 
 
 def many_to_many(sents: DataFrame, units: DataFrame, base_form: bool = False) -> DataFrame:
-    """A row for each sentence, lexical unit and matching token; base forms match only if asked for. The lexicon is a fixed small table."""
+    """A row for each sentence, lexical unit and matching token; base forms match only if asked for."""
     units = units.select("lemma", "token").distinct()
     if not base_form:
         units = units.where("lemma <> token")
     words = sents.select("*", F.explode(F.array_distinct(tokens("sentence", lower=True))).alias("token"))
-    return words.join(F.broadcast(units), "token")
+    return words.join(sized(units), "token")
 
 
 def verbs_per_sentence(sents: DataFrame, units: DataFrame, dropped: Sequence[str] = ("be", "have")) -> DataFrame:

@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from factloom.session import sized
+
 
 def first_frame(tags: DataFrame, frames: DataFrame, key: list[str], position: str) -> DataFrame:
-    """For each sentence the first tag that evokes a frame: lemma equal, and part of speech beginning with the frame's. frames: a small dimension."""
-    met = tags.join(F.broadcast(frames.withColumnRenamed("pos", "frame_pos")), "lemma").where(F.col("pos").startswith(F.col("frame_pos")))
+    """For each sentence the first tag that evokes a frame: lemma equal, and part of speech beginning with the frame's."""
+    met = tags.join(sized(frames.withColumnRenamed("pos", "frame_pos")), "lemma").where(F.col("pos").startswith(F.col("frame_pos")))
     return met.withColumn("_n", F.row_number().over(W.partitionBy(*key).orderBy(position, "frame"))).where("_n = 1").drop("_n", "frame_pos")
 
 
@@ -17,7 +19,7 @@ def assign_elements(entities: DataFrame, elements: DataFrame, key: list[str], en
     """entities (with types array) joined with elements (fe, core, class): of an entity's types the first that the frame knows counts, core
     elements come before others, then the least name; entities with more types are ranked first."""
     each = entities.select("*", F.posexplode("types").alias("type_no", "class"))
-    met = each.join(F.broadcast(elements), "class")
+    met = each.join(sized(elements), "class")
     w = W.partitionBy(*key, entity).orderBy("type_no", F.desc("core"), "fe")
     out = met.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "type_no")
     return out.withColumn("entity_rank", F.row_number().over(W.partitionBy(*key).orderBy(F.desc(F.size("types")), entity)))

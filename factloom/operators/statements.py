@@ -10,6 +10,7 @@ from pyspark.sql.window import Window as W
 
 from factloom.functions.dates import format_date
 from factloom.functions.text import literal, title_case
+from factloom.session import sized
 
 Resolver = Callable[[Column], Column]
 _RESOLVERS: dict[str, Resolver] = {}
@@ -63,8 +64,8 @@ def reference(url: Column) -> list[Column]:
 
 
 def from_fields(records: DataFrame, subject: str, fields: str, properties: DataFrame, url: str) -> tuple[DataFrame, DataFrame]:
-    """Statements from a map of fields, and what could not be resolved: all mapped fields are in one of the two. properties (field, property): small."""
-    each = records.select(subject, url, F.explode(fields).alias("field", "chunk")).join(F.broadcast(properties), "field")
+    """Statements from a map of fields, and what could not be resolved: all mapped fields are in one of the two. properties (field, property)."""
+    each = records.select(subject, url, F.explode(fields).alias("field", "chunk")).join(sized(properties), "field")
     done = each.withColumn("value", resolve(F.col("property"), F.col("chunk")))
     good = done.where("value is not null").select(subject, "property", statement(F.col(subject), F.col("property"), F.col("value"), *reference(F.col(url))).alias("statement"))
     return good, done.where("value is null").select(subject, "property", "chunk", url)

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from factloom.session import sized
+
 TAGGED = "array<struct<word:string,pos:string,lemma:string>>"
 UNKNOWN = "<unknown>"
 _CLOSED = {
@@ -95,13 +97,13 @@ def grammar_extract(sents: DataFrame, units: DataFrame, tagger: Tagger = tag) ->
     """A row for each chunk of a sentence and lexical unit with a token in it."""
     each = sents.withColumn("chunk", F.explode(chunks(tagged("sentence", tagger))))
     words = each.withColumn("token", F.explode(F.array_distinct(F.split(F.lower("chunk"), " "))))
-    return words.join(F.broadcast(units.select("lemma", "token").distinct()), "token")
+    return words.join(sized(units.select("lemma", "token").distinct()), "token")
 
 
 def clause_extract(sents: DataFrame, units: DataFrame) -> DataFrame:
     """Clauses with exactly one token of the lexical units."""
     each = sents.withColumn("clause", F.explode(clauses("sentence")))
     words = each.withColumn("token", F.explode(F.array_distinct(F.split(F.lower("clause"), r"[^\p{L}\p{N}]+"))))
-    met = words.join(F.broadcast(units.select("lemma", "token").distinct()), "token")
+    met = words.join(sized(units.select("lemma", "token").distinct()), "token")
     keys = [c for c in each.columns if c != "clause"]
     return met.groupBy(*keys, "clause").agg(F.count("*").alias("_n"), F.min("lemma").alias("lemma"), F.min("token").alias("token")).where("_n = 1").drop("_n")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from factloom.plans import annotation, corpus, facts, joins, learning, live, web  # noqa: F401 - they register queries
+from factloom.plans import annotation, corpus, facts, flow, joins, learning, live, web  # noqa: F401 - they register queries
 from factloom.plans.base import QUERIES, SQL, Query
 
 

@@ -8,6 +8,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 PACKAGE = Path(__file__).resolve().parent
 _shipped: set[str] = set()
@@ -45,6 +46,23 @@ def local_session(cpus: int | str = "*", partitions: int = 8, name: str = "factl
     return spark
 
 
+def sized(df: DataFrame, most: int = 200_000) -> DataFrame:
+    """df, to be broadcast if it has at most `most` rows: they are counted, up to one more. Else Spark joins it as it finds best."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; a session on one machine gets a local one where that is unset."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="factloom-")
+        spark.sparkContext.setCheckpointDir(found)
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables in a directory."""
     ship(spark)

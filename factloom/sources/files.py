@@ -124,17 +124,17 @@ def values_of(other: Column) -> Column:
 
 
 def lexicon_rows(lexical: dict) -> list[tuple]:
-    """A lexical database (unit -> frame, pos, core_fes, extra_fes) as rows lu, frame, pos, fe, core, class, property."""
+    """A lexical database (unit -> frame, pos, core_fes, extra_fes) as rows lu, frame, pos, fe, core, class, property, qualifiers."""
     out = []
     for lu, entry in lexical.items():
         for core in (True, False):
             for fe in entry.get("core_fes" if core else "extra_fes") or []:
                 for cls in fe.get("dbpedia_classes") or [None]:
-                    out.append((lu, entry.get("frame"), entry.get("pos"), fe.get("fe"), core, cls, (fe.get("mapping") or {}).get("id")))
+                    out.append((lu, entry.get("frame"), entry.get("pos"), fe.get("fe"), core, cls, (fe.get("mapping") or {}).get("id"), fe.get("qualifiers") or []))
     return out
 
 
 def lexicon(spark: SparkSession, path: str) -> DataFrame:
     """A lexical database from a JSON file; it is a dimension that the driver holds."""
     text = spark.read.text(path, wholetext=True).first()[0]
-    return spark.createDataFrame(lexicon_rows(json.loads(text)), "lu string, frame string, pos string, fe string, core boolean, class string, property string")
+    return spark.createDataFrame(lexicon_rows(json.loads(text)), "lu string, frame string, pos string, fe string, core boolean, class string, property string, qualifiers array<string>")
