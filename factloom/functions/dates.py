@@ -57,6 +57,7 @@ class Rule:
     category: str
     pattern: re.Pattern
     priority: int
+    needs: tuple[str, ...]
 
     def value(self, m: re.Match) -> dict:
         g = {k: v for k, v in m.groupdict().items() if v}
@@ -65,7 +66,7 @@ class Rule:
             if "year" in g:
                 out["year"] = int(g["year"])
             if "month" in g:
-                out["month"] = _NUMBER[g["month"]]
+                out["month"] = _NUMBER[g["month"].casefold()]
             if "day" in g:
                 out["day"] = int(g["day"])
             return out
@@ -80,30 +81,36 @@ class Rule:
 
 
 _MONTH = "(?P<month>" + "|".join(sorted(_NUMBER, key=len, reverse=True)) + r")\b"
+_DIGIT = re.compile(r"\d")
 _ADVERB = r"(?:(?:the\s*)?(?:early|late|mid)\s*-?\s*)?"
 _Y = r"\d{4}"
+_CUES = tuple(m[:3] for m in MONTHS)
 #: Fixed rules in order of priority; nothing is evaluated at run time.
 RULES = tuple(
-    Rule(c, re.compile(p), i)
-    for i, (c, p) in enumerate([
-        ("Duration", rf"\bfrom\s*(?P<first>{_Y})\s*(?:to|until|till|-)\s*(?P<last>{_Y})\b"),
-        ("Duration", rf"\bbetween\s*(?P<first>{_Y})\s*and\s*(?P<last>{_Y})\b"),
-        ("Duration", rf"\bduring\s*(?:the\s*)?{_ADVERB}(?P<whole>{_Y})(?P<decade>\s*-?\s*s)?\b"),
-        ("Duration", rf"\b(?:until|till)\s*(?P<last>{_Y})\b"),
-        ("Duration", rf"\b(?:began\s*in|started\s*in|from|since)\s*{_ADVERB}(?P<first>{_Y})s?\b"),
-        ("Time", rf"\b(?:in|by)\s*{_ADVERB}(?:{_MONTH}\s*)?(?P<year>{_Y})\b"),
-        ("Time", rf"\b(?P<day>[0-3]?\d)\s*(?:st|nd|rd|th)?\s*(?:of\s*)?{_MONTH}(?:\s*,?\s*(?P<year>{_Y})\b)?"),
-        ("Time", rf"\b{_MONTH}\s*(?P<year>{_Y})\b"),
-        ("Time", rf"\b{_MONTH}\s*(?P<day>[0-3]?\d)(?!\d)\s*(?:st|nd|rd|th)?(?:\s*,?\s*(?P<year>{_Y})\b)?"),
-        ("Time", rf"(?:\b(?:on|about|the|of|circa|around|year)\b|\bc\.)\s*{_ADVERB}(?P<year>{_Y})\b"),
+    Rule(c, re.compile(p, re.IGNORECASE), i, needs)
+    for i, (c, p, *needs) in enumerate([
+        ("Duration", rf"\bfrom\s*(?P<first>{_Y})\s*(?:to|until|till|-)\s*(?P<last>{_Y})\b", "from"),
+        ("Duration", rf"\bbetween\s*(?P<first>{_Y})\s*and\s*(?P<last>{_Y})\b", "between"),
+        ("Duration", rf"\bduring\s*(?:the\s*)?{_ADVERB}(?P<whole>{_Y})(?P<decade>\s*-?\s*s)?\b", "during"),
+        ("Duration", rf"\b(?:until|till)\s*(?P<last>{_Y})\b", "until", "till"),
+        ("Duration", rf"\b(?:began\s*in|started\s*in|from|since)\s*{_ADVERB}(?P<first>{_Y})s?\b", "began", "started", "from", "since"),
+        ("Time", rf"\b(?:in|by)\s*{_ADVERB}(?:{_MONTH}\s*)?(?P<year>{_Y})\b", "in", "by"),
+        ("Time", rf"\b(?P<day>[0-3]?\d)\s*(?:st|nd|rd|th)?\s*(?:of\s*)?{_MONTH}(?:\s*,?\s*(?P<year>{_Y})\b)?", *_CUES),
+        ("Time", rf"\b{_MONTH}\s*(?P<year>{_Y})\b", *_CUES),
+        ("Time", rf"\b{_MONTH}\s*(?P<day>[0-3]?\d)(?!\d)\s*(?:st|nd|rd|th)?(?:\s*,?\s*(?P<year>{_Y})\b)?", *_CUES),
+        ("Time", rf"(?:\b(?:on|about|the|of|circa|around|year)\b|\bc\.)\s*{_ADVERB}(?P<year>{_Y})\b", "on", "about", "the", "of", "circa", "around", "year", "c."),
     ])
 )
 
 
 def normalize_all(text: str) -> list[tuple[int, int, str, dict]]:
     """(start, end, category, value) of all expressions: leftmost first, of those the longest, of those the first rule; none overlap."""
-    t = text.lower()
-    found = sorted(((m.start(), -m.end(), r.priority, r, m) for r in RULES for m in r.pattern.finditer(t)), key=lambda x: x[:3])
+    if not _DIGIT.search(text):  # every rule has a number
+        return []
+    # Rules whose words aren't there are passed over. Positions are those of the text itself: its lower-case form can be longer.
+    low = text.casefold()
+    rules = [r for r in RULES if any(n in low for n in r.needs)]
+    found = sorted(((m.start(), -m.end(), r.priority, r, m) for r in rules for m in r.pattern.finditer(text)), key=lambda x: x[:3])
     out, floor = [], 0
     for a, z, _, rule, m in found:
         if a >= floor:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from factloom.functions.text import tokens
 
@@ -16,8 +17,21 @@ def ngrams(docs: DataFrame, key: str, text: str, most: int) -> DataFrame:
     return at.select(key, F.inline(runs))
 
 
-def link(docs: DataFrame, gazetteer: DataFrame, key: str = "doc_id", text: str = "text", most: int = 3, min_confidence: float = 0.25) -> DataFrame:
-    """key, position, chunk, entity and confidence (1 / entities of the alias) of aliases in a text. Spark broadcasts the gazetteer if it is small."""
+def link(docs: DataFrame, gazetteer: DataFrame, key: str = "doc_id", text: str = "text", most: int = 3, min_confidence: float = 0.25, held: int = 100_000) -> DataFrame:
+    """key, position, chunk, entity and confidence (1 / entities of the alias) of aliases in a text. Where the gazetteer is small enough to be broadcast, only
+    places where the first word of an alias stands are looked at; else all runs of words meet it in a join."""
     names = gazetteer.select(F.lower("alias").alias("chunk"), "entity")
-    share = names.groupBy("chunk").agg((1 / F.count("*")).alias("confidence"))
+    names = names.withColumn("confidence", 1 / F.count("*").over(W.partitionBy("chunk"))).where(F.col("confidence") >= min_confidence)
+    if names.limit(held + 1).count() <= held:
+        words = F.split("chunk", " ")
+        starts = names.select("*", F.element_at(words, 1).alias("_first"), F.size(words).alias("_n")).where(F.col("_n") <= most)
+        firsts = [r[0] for r in starts.select("_first").distinct().limit(65).collect()]
+        each = docs.select(key, tokens(text, lower=True).alias("_w"))
+        if len(firsts) <= 64:  # a few words are told apart before rows are made
+            each = each.where(F.arrays_overlap("_w", F.array(*[F.lit(x) for x in firsts]).cast("array<string>")))
+        at = each.select(key, "_w", F.posexplode("_w").alias("position", "_first"))
+        met = at.join(F.broadcast(starts), "_first").where((F.col("_n") == 1) | (F.array_join(F.slice("_w", F.col("position") + 1, F.col("_n")), " ") == F.col("chunk")))
+        return met.select(key, "position", "chunk", "entity", "confidence")
+    share = names.groupBy("chunk").agg(F.max("confidence").alias("confidence"))
+    names = names.drop("confidence")
     return ngrams(docs, key, text, most).join(names.join(share, "chunk"), "chunk").where(F.col("confidence") >= min_confidence).select(key, "position", "chunk", "entity", "confidence")

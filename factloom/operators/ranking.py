@@ -1,40 +1,121 @@
-"""Rankings of terms: TF-IDF, popularity and their combination."""
+"""Rankings of terms: TF-IDF, popularity and their combination.
+
+A document's terms are counted where it is read, by Arrow batches of tokens, and batches pass on sums by term: what is shuffled are terms with
+sums, not documents' terms. A document is a row.
+"""
 
 from __future__ import annotations
 
+import pickle
+import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from factloom.functions.text import tokens
+from factloom.session import shared_dir
+
+#: Up to so many terms every task holds the table of their weights; beyond that documents' terms meet it in a join.
+HELD_TERMS = 2_000_000
+
+
+def _counted(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Terms of two characters or more in a batch of token lists, and for each row and term of it: row, number of the term, count."""
+    flat = column.flatten()
+    rows = np.repeat(np.arange(len(column)), pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))
+    keep = pc.greater_equal(pc.utf8_length(flat), 2)
+    rows, code = rows[keep.to_numpy(zero_copy_only=False)], pc.dictionary_encode(flat.filter(keep))
+    key, n = np.unique(rows * max(1, len(code.dictionary)) + code.indices.to_numpy(zero_copy_only=False), return_counts=True)
+    return code.dictionary, key // max(1, len(code.dictionary)), key % max(1, len(code.dictionary)), n
+
+
+def _term_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        terms, _, code, n = _counted(batch.column(0))
+        if len(terms):
+            yield pa.RecordBatch.from_pydict({"term": terms, "df": pa.array(np.bincount(code, minlength=len(terms))), "n": pa.array(np.bincount(code, n, len(terms)).astype(np.int64))})
+
+
+def term_stats(docs: DataFrame, text: str = "text") -> DataFrame:
+    """term, df and n: documents that hold it and how often it comes; lower-case terms of two characters or more."""
+    each = docs.select(tokens(text, lower=True).alias("t")).mapInArrow(_term_sums, "term string, df long, n long")
+    return each.groupBy("term").agg(F.sum("df").alias("df"), F.sum("n").alias("n"))
+
+
+def _scored(path: str | None, n: int):  # noqa: ANN202
+    """Sums of scores by term, or with no path counts of each row's terms."""
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, at = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+        with fs.open_input_stream(at, compression=None) as f:
+            known, df = pickle.loads(f.read())  # noqa: S301 - written below
+        for batch in batches:
+            terms, row, code, tf = _counted(batch.column(0))
+            if not len(terms):
+                continue
+            place = pc.index_in(terms, value_set=known).to_numpy(zero_copy_only=False)
+            raw = tf * (np.log((1 + n) / (1 + df[place]))[code] + 1)
+            score = raw / np.sqrt(np.bincount(row, raw * raw))[row]
+            k = len(terms)
+            yield pa.RecordBatch.from_pydict({"term": terms, "df": pa.array(np.bincount(code, minlength=k)), "s": pa.array(np.bincount(code, score, k)), "q": pa.array(np.bincount(code, score * score, k))})
+
+    return scored
 
 
 def term_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc, term, tf of lower-case terms of two characters or more."""
-    each = docs.select(F.col(key).alias("doc"), F.explode(tokens(text, lower=True)).alias("term"))
-    return each.where(F.length("term") >= 2).groupBy("doc", "term").agg(F.count("*").alias("tf"))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms, row, code, n = _counted(batch.column(1))
+            yield pa.RecordBatch.from_pydict({"doc": batch.column(0).take(pa.array(row)), "term": terms.take(pa.array(code)), "tf": pa.array(n)})
+
+    kind = docs.schema[key].dataType.simpleString()
+    return docs.select(F.col(key).alias("doc"), tokens(text, lower=True).alias("t")).mapInArrow(counted, f"doc {kind}, term string, tf long")
 
 
 def tfidf(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc, term, score: tf * (ln((1 + n) / (1 + df)) + 1), each document's scores of length 1. n counts all documents."""
+    """doc, term, n, score: tf * (ln((1 + n) / (1 + df)) + 1), each document's scores of length 1. n counts all documents; doc is unique."""
     tf = term_counts(docs, key, text)
-    df = tf.groupBy("term").agg(F.count("*").alias("df"))
+    df = term_stats(docs, text).select("term", "df")
     n = docs.agg(F.count(F.lit(1)).alias("n"))  # one row
     raw = tf.join(df, "term").crossJoin(F.broadcast(n)).withColumn("raw", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy("doc")))  # a window, so that raw isn't worked out twice
     return raw.select("doc", "term", "n", (F.col("raw") / norm).alias("score"))
 
 
-def tfidf_rank(docs: DataFrame, least: int = 1) -> DataFrame:
+def _sums(docs: DataFrame, stats: DataFrame, held: int) -> tuple[DataFrame, int]:
+    """term, df, s and q: sums of its scores and of their squares; and the number of documents."""
+    n = docs.count()
+    if stats.limit(held + 1).count() > held:
+        each = tfidf(docs).groupBy("term")
+        return each.agg(F.count("*").alias("df"), F.sum("score").alias("s"), F.sum(F.col("score") * F.col("score")).alias("q")), n
+    table = stats.select("term", "df").toArrow()  # at most `held` rows
+    path = f"{shared_dir(docs.sparkSession)}/factloom-terms-{uuid.uuid4().hex}"
+    fs, at = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
+    with fs.open_output_stream(at, compression=None) as f:
+        f.write(pickle.dumps((table["term"].combine_chunks(), table["df"].to_numpy()), protocol=5))
+    each = docs.select(tokens("text", lower=True).alias("t")).mapInArrow(_scored(path, n), "term string, df long, s double, q double")
+    return each.groupBy("term").agg(F.sum("df").alias("df"), F.sum("s").alias("s"), F.sum("q").alias("q")), n
+
+
+def tfidf_rank(docs: DataFrame, least: int = 1, held: int = HELD_TERMS) -> DataFrame:
     """term, df, avg_score (over documents with the term) and sd_score (population, over all documents with zeros)."""
-    by = tfidf(docs).groupBy("term").agg(F.count("*").alias("df"), F.avg("score").alias("avg_score"), F.sum("score").alias("s"), F.sum(F.col("score") * F.col("score")).alias("q"), F.max("n").alias("n"))
-    sd = F.sqrt(F.greatest(F.lit(0.0), F.col("q") / F.col("n") - (F.col("s") / F.col("n")) * (F.col("s") / F.col("n"))))
-    return by.where(F.col("df") >= least).select("term", "df", "avg_score", sd.alias("sd_score"))
+    by, n = _sums(docs, term_stats(docs), held)
+    sd = F.sqrt(F.greatest(F.lit(0.0), F.col("q") / n - (F.col("s") / n) * (F.col("s") / n)))
+    return by.where(F.col("df") >= least).select("term", "df", (F.col("s") / F.col("df")).alias("avg_score"), sd.alias("sd_score"))
 
 
 def popularity(docs: DataFrame, least: int = 1) -> DataFrame:
     """term, n and n over the largest n."""
-    by = docs.select(F.explode(tokens("text", lower=True)).alias("term")).where(F.length("term") >= 2).groupBy("term").agg(F.count("*").alias("n"))
+    by = term_stats(docs).select("term", "n")
     top = by.agg(F.max("n").alias("top"))
     return by.where(F.col("n") >= least).crossJoin(F.broadcast(top)).select("term", "n", (F.col("n") / F.col("top")).alias("popularity"))
 
@@ -46,6 +127,29 @@ def harmonic(docs: DataFrame, least: int = 1) -> DataFrame:
     return both.select("term", "avg_score", "sd_score", "popularity", (3 * a * b * c / (1 + a + b + c)).alias("score"))
 
 
+def lemma_scores(docs: DataFrame, lemmas: DataFrame) -> DataFrame:
+    """lemma, avg_score and sd_score over its tokens (lemmas: lemma, token): the mean of all scores that are not zero, pooled over the tokens, and the mean
+    over the tokens of their deviations (population, over all documents with zeros). Lemmas without a score have none."""
+    by, n = _sums(docs, term_stats(docs), HELD_TERMS)
+    sd = F.sqrt(F.greatest(F.lit(0.0), F.col("q") / n - (F.col("s") / n) * (F.col("s") / n)))
+    each = lemmas.select("lemma", F.lower("token").alias("term")).distinct().join(by.withColumn("sd", sd), "term")
+    return each.groupBy("lemma").agg((F.sum("s") / F.sum("df")).alias("avg_score"), F.avg("sd").alias("sd_score"))
+
+
+def lemma_popularity(docs: DataFrame, lemmas: DataFrame) -> DataFrame:
+    """lemma, n and n over the largest n: how often its tokens come."""
+    each = lemmas.select("lemma", F.lower("token").alias("term")).distinct().join(term_stats(docs).select("term", "n"), "term")
+    by = each.groupBy("lemma").agg(F.sum("n").alias("n"))
+    return by.crossJoin(F.broadcast(by.agg(F.max("n").alias("top")))).select("lemma", "n", (F.col("n") / F.col("top")).alias("popularity"))
+
+
+def frame_ranking(scores: DataFrame, units: DataFrame) -> DataFrame:
+    """Scored lemmas with the frames they evoke, best first: lemma, score, lu, frame and rank. units (lu, frame): lu is a lemma before its dot."""
+    met = scores.join(units.select("lu", "frame", F.element_at(F.split("lu", r"\."), 1).alias("lemma")), "lemma")
+    groups = met.groupBy("lemma", "score").agg(F.array_join(F.sort_array(F.collect_set("lu")), " ").alias("lus"), F.array_join(F.sort_array(F.collect_set("frame")), " ").alias("frames"))
+    return groups.orderBy(F.desc("score"), "lemma")
+
+
 def top_per_group(df: DataFrame, group: list[str], order: list, n: int) -> DataFrame:
     """The n first rows of each group; Spark keeps n of each before the shuffle where it can."""
     return df.withColumn("rank", F.row_number().over(W.partitionBy(*group).orderBy(*order))).where(F.col("rank") <= n)

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -15,64 +16,81 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 HIDDEN = frozenset(("script", "style"))
 
 
+Steps = list[tuple[str, str, str]]
+
+
 class _Finder(HTMLParser):
-    """Collects the text, or an attribute, of elements that match tag[.class][#id] or a chain of them by spaces."""
+    """One pass over a page for several selectors: the text, or an attribute, of elements that match tag[.class][#id] or a chain of them by spaces, with the places
+    from which and to which matches count."""
 
-    def __init__(self, steps: list[tuple[str, str, str]], attribute: str | None):
+    def __init__(self, wanted: list[tuple[Steps, str | None]]):
         super().__init__(convert_charrefs=True)
-        self.steps, self.attribute, self.out = steps, attribute, []
-        self.stack: list[tuple[str, dict, list | None]] = []
+        self.wanted, self.out = wanted, [[] for _ in wanted]
+        self.stack: list[tuple[str, dict, list]] = []
+        self.open = 0
 
-    def _matches(self, tag: str, attrs: dict) -> bool:
-        path = [(t, a) for t, a, _ in self.stack] + [(tag, attrs)]
-        want = len(self.steps) - 1
-        if not _fits(*path[-1], self.steps[want]):
+    def _matches(self, steps: Steps, tag: str, attrs: dict) -> bool:
+        want = len(steps) - 1
+        if not _fits(tag, attrs, steps[want]):
             return False
-        for t, a in reversed(path[:-1]):
-            if want and _fits(t, a, self.steps[want - 1]):
+        for t, a, _ in reversed(self.stack):
+            if want and _fits(t, a, steps[want - 1]):
                 want -= 1
         return want == 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         attrs = dict(attrs)
-        text = None
-        if self._matches(tag, attrs):
-            if self.attribute:
-                if attrs.get(self.attribute) is not None:
-                    self.out.append(attrs[self.attribute])
-            else:
-                text = []
-                self.out.append(text)
+        texts = []
+        for (steps, attribute), out in zip(self.wanted, self.out, strict=True):
+            if self._matches(steps, tag, attrs):
+                if attribute:
+                    if attrs.get(attribute) is not None:
+                        out.append(attrs[attribute])
+                else:
+                    texts.append([])
+                    out.append(texts[-1])
         if tag not in VOID:
-            self.stack.append((tag, attrs, text))
+            self.stack.append((tag, attrs, texts))
+            self.open += len(texts)
 
     def handle_endtag(self, tag: str) -> None:
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
+                self.open -= sum(len(x[2]) for x in self.stack[i:])
                 del self.stack[i:]
                 return
 
     def handle_data(self, data: str) -> None:
-        if self.stack and self.stack[-1][0] in HIDDEN:
+        if not self.open or (self.stack and self.stack[-1][0] in HIDDEN):
             return
-        for _, _, text in self.stack:
-            if text is not None:
+        for _, _, texts in self.stack:
+            for text in texts:
                 text.append(data)
 
 
+@lru_cache(maxsize=1024)
+def _parsed(selector: str) -> tuple[Steps, str | None, slice]:
+    m = re.fullmatch(r"(.*?)(?:\[(-?\d*):(-?\d*)\])?(?:::attr\(([\w-]+)\))?", selector)
+    steps = [tuple(x or "" for x in re.fullmatch(r"([\w-]*)(?:\.([\w-]+))?(?:#([\w-]+))?", s).groups()) for s in m[1].split()]
+    return steps, m[4], slice(*(int(x) if x else None for x in m.group(2, 3)))
+
+
 def _fits(tag: str, attrs: dict, step: tuple[str, str, str]) -> bool:
     name, cls, ident = step
     return (not name or tag == name) and (not cls or cls in (attrs.get("class") or "").split()) and (not ident or attrs.get("id") == ident)
 
 
-def select(html: str, selector: str) -> list[str]:
-    """Texts of the elements of a selector like "article p.lead", or with ::attr(name) its attributes."""
-    m = re.fullmatch(r"(.*?)(?:::attr\(([\w-]+)\))?", selector)
-    steps = [tuple(x or "" for x in re.fullmatch(r"([\w-]*)(?:\.([\w-]+))?(?:#([\w-]+))?", s).groups()) for s in m[1].split()]
-    finder = _Finder(steps, m[2])
+def select_all(html: str, selectors: Sequence[str]) -> list[list[str]]:
+    """For each selector the texts of its elements, in one pass: "article p.lead", with ::attr(name) an attribute, with [1:3] before that the second and third only."""
+    wanted = [_parsed(s) for s in selectors]
+    finder = _Finder([w[:2] for w in wanted])
     finder.feed(html)
     finder.close()
-    return [x if isinstance(x, str) else "".join(x) for x in finder.out]
+    return [[x if isinstance(x, str) else "".join(x) for x in out[w[2]]] for out, w in zip(finder.out, wanted, strict=True)]
+
+
+def select(html: str, selector: str) -> list[str]:
+    return select_all(html, [selector])[0]
 
 
 def clean(parts: list[str], separator: str = " ") -> str | None:
@@ -91,7 +109,7 @@ def extract(pages: DataFrame, fields: dict[str, str], refine: Refine | None = No
         for batch in batches:
             rows = []
             for k, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                row = {name: clean(select(page or "", s)) for name, s in fields.items()}
+                row = {name: clean(found) for name, found in zip(fields, select_all(page or "", tuple(fields.values())), strict=True)}
                 row = refine(row) if refine else row
                 if row is not None:
                     rows.append({key: k} | {name: row.get(name) for name in fields})
@@ -122,7 +140,25 @@ def _join(base: str | None, href: str) -> str:
         return href
 
 
+def _without_dots(path: Column) -> Column:
+    """A path that begins with / without its . and .. segments; one of them at the end leaves the slash."""
+    parts = F.split(F.substr(path, F.lit(2)), "/")
+    step = lambda acc, x: F.when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).when(x == ".", acc).otherwise(F.concat(acc, F.array(x)))
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    tail = F.when(F.element_at(parts, -1).isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(F.size(kept) > 0, tail).otherwise(F.lit("")))
+
+
 def absolute(base: Column, href: Column) -> Column:
-    """Targets of links that are absolute paths or whole URLs, without Python."""
-    root = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    return F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href).when(href.startswith("/"), F.concat(root, href)).otherwise(F.concat(root, F.lit("/"), href))
+    """The target of a link on a page, without Python: whole URLs, //host, absolute and relative paths with dot segments, ?query and #fragment alone."""
+    href = F.trim(href)
+    scheme, root = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    folder = F.regexp_replace(F.when(path == "", F.lit("/")).otherwise(path), "[^/]*$", "")
+    own, rest = F.regexp_extract(href, r"^([^?#]*)", 1), F.regexp_extract(href, r"^[^?#]*(.*)$", 1)
+    joined = F.concat(root, _without_dots(F.when(own.startswith("/"), own).otherwise(F.concat(folder, own))), rest)
+    whole = href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:")
+    return (
+        F.when(whole, href).when(href.startswith("//"), F.concat(scheme, href)).when(href == "", base).when(href.startswith("#"), F.concat(F.regexp_replace(base, "#.*$", ""), href))
+        .when(href.startswith("?"), F.concat(F.regexp_replace(base, "[?#].*$", ""), href)).otherwise(joined)
+    )
