@@ -63,7 +63,7 @@ def _scored(path: str | None, n: int):  # noqa: ANN202
             raw = tf * (np.log((1 + n) / (1 + df[place]))[code] + 1)
             score = raw / np.sqrt(np.bincount(row, raw * raw))[row]
             k = len(terms)
-            yield pa.RecordBatch.from_pydict({"term": terms, "df": pa.array(np.bincount(code, minlength=k)), "s": pa.array(np.bincount(code, score, k)), "q": pa.array(np.bincount(code, score * score, k))})
+            yield pa.RecordBatch.from_pydict({"term": terms, "df": pa.array(np.bincount(code, minlength=k)), "n": pa.array(np.bincount(code, tf, k).astype(np.int64)), "s": pa.array(np.bincount(code, score, k)), "q": pa.array(np.bincount(code, score * score, k))})
 
     return scored
 
@@ -81,36 +81,40 @@ def term_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
 
 def tfidf(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc, term, n, score: tf * (ln((1 + n) / (1 + df)) + 1), each document's scores of length 1. n counts all documents; doc is unique."""
+    """doc, term, tf, n, score: tf * (ln((1 + n) / (1 + df)) + 1), each document's scores of length 1. n counts all documents; doc is unique."""
     tf = term_counts(docs, key, text)
     df = term_stats(docs, text).select("term", "df")
     n = docs.agg(F.count(F.lit(1)).alias("n"))  # one row
     raw = tf.join(df, "term").crossJoin(F.broadcast(n)).withColumn("raw", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy("doc")))  # a window, so that raw isn't worked out twice
-    return raw.select("doc", "term", "n", (F.col("raw") / norm).alias("score"))
+    return raw.select("doc", "term", "tf", "n", (F.col("raw") / norm).alias("score"))
 
 
-def _sums(docs: DataFrame, stats: DataFrame, held: int) -> tuple[DataFrame, int]:
-    """term, df, s and q: sums of its scores and of their squares; and the number of documents."""
+def _sums(docs: DataFrame, held: int) -> tuple[DataFrame, int]:
+    """term, df, n, s and q: documents with it, how often it comes, sums of its scores and of their squares; and the number of documents."""
     n = docs.count()
-    if stats.limit(held + 1).count() > held:
+    table = term_stats(docs).select("term", "df").limit(held + 1).toArrow()
+    if len(table) > held:
         each = tfidf(docs).groupBy("term")
-        return each.agg(F.count("*").alias("df"), F.sum("score").alias("s"), F.sum(F.col("score") * F.col("score")).alias("q")), n
-    table = stats.select("term", "df").toArrow()  # at most `held` rows
+        return each.agg(F.count("*").alias("df"), F.sum("tf").alias("n"), F.sum("score").alias("s"), F.sum(F.col("score") * F.col("score")).alias("q")), n
     path = f"{shared_dir(docs.sparkSession)}/factloom-terms-{uuid.uuid4().hex}"
     fs, at = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
     fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
     with fs.open_output_stream(at, compression=None) as f:
         f.write(pickle.dumps((table["term"].combine_chunks(), table["df"].to_numpy()), protocol=5))
-    each = docs.select(tokens("text", lower=True).alias("t")).mapInArrow(_scored(path, n), "term string, df long, s double, q double")
-    return each.groupBy("term").agg(F.sum("df").alias("df"), F.sum("s").alias("s"), F.sum("q").alias("q")), n
+    each = docs.select(tokens("text", lower=True).alias("t")).mapInArrow(_scored(path, n), "term string, df long, n long, s double, q double")
+    return each.groupBy("term").agg(F.sum("df").alias("df"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")), n
 
 
 def tfidf_rank(docs: DataFrame, least: int = 1, held: int = HELD_TERMS) -> DataFrame:
     """term, df, avg_score (over documents with the term) and sd_score (population, over all documents with zeros)."""
-    by, n = _sums(docs, term_stats(docs), held)
+    return _ranked(docs, held).where(F.col("df") >= least).drop("n")
+
+
+def _ranked(docs: DataFrame, held: int) -> DataFrame:
+    by, n = _sums(docs, held)
     sd = F.sqrt(F.greatest(F.lit(0.0), F.col("q") / n - (F.col("s") / n) * (F.col("s") / n)))
-    return by.where(F.col("df") >= least).select("term", "df", (F.col("s") / F.col("df")).alias("avg_score"), sd.alias("sd_score"))
+    return by.select("term", "df", "n", (F.col("s") / F.col("df")).alias("avg_score"), sd.alias("sd_score"))
 
 
 def popularity(docs: DataFrame, least: int = 1) -> DataFrame:
@@ -120,9 +124,11 @@ def popularity(docs: DataFrame, least: int = 1) -> DataFrame:
     return by.where(F.col("n") >= least).crossJoin(F.broadcast(top)).select("term", "n", (F.col("n") / F.col("top")).alias("popularity"))
 
 
-def harmonic(docs: DataFrame, least: int = 1) -> DataFrame:
+def harmonic(docs: DataFrame, least: int = 1, held: int = HELD_TERMS) -> DataFrame:
     """term with its three scores and k * product / (1 + sum) of them."""
-    both = tfidf_rank(docs, least).join(popularity(docs), "term")
+    every = _ranked(docs, held)
+    top = every.agg(F.max("n").alias("top"))
+    both = every.where(F.col("df") >= least).crossJoin(F.broadcast(top)).withColumn("popularity", F.col("n") / F.col("top"))
     a, b, c = (F.col(x) for x in ("avg_score", "sd_score", "popularity"))
     return both.select("term", "avg_score", "sd_score", "popularity", (3 * a * b * c / (1 + a + b + c)).alias("score"))
 
@@ -130,7 +136,7 @@ def harmonic(docs: DataFrame, least: int = 1) -> DataFrame:
 def lemma_scores(docs: DataFrame, lemmas: DataFrame) -> DataFrame:
     """lemma, avg_score and sd_score over its tokens (lemmas: lemma, token): the mean of all scores that are not zero, pooled over the tokens, and the mean
     over the tokens of their deviations (population, over all documents with zeros). Lemmas without a score have none."""
-    by, n = _sums(docs, term_stats(docs), HELD_TERMS)
+    by, n = _sums(docs, HELD_TERMS)
     sd = F.sqrt(F.greatest(F.lit(0.0), F.col("q") / n - (F.col("s") / n) * (F.col("s") / n)))
     each = lemmas.select("lemma", F.lower("token").alias("term")).distinct().join(by.withColumn("sd", sd), "term")
     return each.groupBy("lemma").agg((F.sum("s") / F.sum("df")).alias("avg_score"), F.avg("sd").alias("sd_score"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from factloom.functions import text as T
 from factloom.operators import extraction, ordering, ranking, sampling, stats, tagging
 from factloom.plans.base import query
-from factloom.session import table
+from factloom.session import table, texts
 
 STOPWORDS = ("the", "of", "and", "to", "in", "is", "was", "a", "la", "de", "le", "der", "die", "und", "que", "et")
 _TOK = r"list_filter(regexp_split_to_array(text, '[^\p{L}\p{N}]+'), lambda x: x <> '')"
@@ -21,12 +21,12 @@ _STOP = "(" + ", ".join(f"'{w}'" for w in STOPWORDS) + ")"
 
 @query(f"SELECT doc_id, CAST(generate_subscripts(t, 1) - 1 AS INTEGER) AS pos, unnest(t) AS token FROM (SELECT doc_id, {_TOK} AS t FROM documents)")
 def tokenize_corpus(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", F.posexplode(T.tokens("text")).alias("pos", "token"))
+    return texts(spark, d).select("doc_id", F.posexplode(T.tokens("text")).alias("pos", "token"))
 
 
 @query(f"SELECT token, count(*) AS n FROM (SELECT unnest({_LOW}) AS token FROM documents) WHERE token NOT IN {_STOP} GROUP BY token")
 def stopword_filter(spark: SparkSession, d: str) -> DataFrame:
-    words = table(spark, d, "documents").select(F.explode(T.tokens("text", lower=True)).alias("token"))
+    words = texts(spark, d).select(F.explode(T.tokens("text", lower=True)).alias("token"))
     stop = spark.createDataFrame([(w,) for w in STOPWORDS], "token string")
     return words.join(F.broadcast(stop), "token", "left_anti").groupBy("token").agg(F.count("*").alias("n"))
 
@@ -43,13 +43,13 @@ ranked AS (SELECT term, df, avg_score, sqrt(greatest(0.0, q - m * m)) AS sd_scor
 
 @query(f"WITH {_TFIDF} SELECT term, df, round(avg_score, 6) AS avg_score, round(sd_score, 6) AS sd_score FROM ranked WHERE df >= 5")
 def term_tfidf(spark: SparkSession, d: str) -> DataFrame:
-    out = ranking.tfidf_rank(table(spark, d, "documents"), 5)
+    out = ranking.tfidf_rank(texts(spark, d), 5)
     return out.select("term", "df", F.round("avg_score", 6).alias("avg_score"), F.round("sd_score", 6).alias("sd_score"))
 
 
 @query(f"WITH {_TFIDF} SELECT term, round(avg_score, 6) AS avg_score FROM ranked WHERE df >= 5 ORDER BY round(avg_score, 6) DESC, term LIMIT 150")
 def term_tfidf_rank(spark: SparkSession, d: str) -> DataFrame:
-    out = ranking.tfidf_rank(table(spark, d, "documents"), 5).select("term", F.round("avg_score", 6).alias("avg_score"))
+    out = ranking.tfidf_rank(texts(spark, d), 5).select("term", F.round("avg_score", 6).alias("avg_score"))
     return out.orderBy(F.desc("avg_score"), "term").limit(150)
 
 
@@ -58,7 +58,7 @@ _POP = f"pop AS (SELECT term, count(*) AS n FROM (SELECT unnest({_LOW}) AS term
 
 @query(f"WITH {_POP} SELECT term, n, round(n / (SELECT max(n) FROM pop), 6) AS popularity FROM pop")
 def term_popularity_rank(spark: SparkSession, d: str) -> DataFrame:
-    return ranking.popularity(table(spark, d, "documents")).select("term", "n", F.round("popularity", 6).alias("popularity"))
+    return ranking.popularity(texts(spark, d)).select("term", "n", F.round("popularity", 6).alias("popularity"))
 
 
 @query(
@@ -66,12 +66,12 @@ def term_popularity_rank(spark: SparkSession, d: str) -> DataFrame:
 SELECT term, round(3 * a * b * c / (1 + a + b + c), 6) AS score FROM three"""
 )
 def harmonic_rank(spark: SparkSession, d: str) -> DataFrame:
-    return ranking.harmonic(table(spark, d, "documents"), 2).select("term", F.round("score", 6).alias("score"))
+    return ranking.harmonic(texts(spark, d), 2).select("term", F.round("score", 6).alias("score"))
 
 
 @query(f"WITH {_POP} SELECT term, n FROM pop ORDER BY n DESC, term LIMIT 150")
 def top_n_terms(spark: SparkSession, d: str) -> DataFrame:
-    return ranking.popularity(table(spark, d, "documents")).select("term", "n").orderBy(F.desc("n"), "term").limit(150)
+    return ranking.popularity(texts(spark, d)).select("term", "n").orderBy(F.desc("n"), "term").limit(150)
 
 
 @query(
@@ -79,7 +79,7 @@ def top_n_terms(spark: SparkSession, d: str) -> DataFrame:
 SELECT source, term, n, CAST(row_number() OVER (PARTITION BY source ORDER BY n DESC, term) AS INTEGER) AS rank FROM t QUALIFY rank <= 15"""
 )
 def top15_per_source(spark: SparkSession, d: str) -> DataFrame:
-    each = table(spark, d, "documents").select("source", F.explode(T.tokens("text", lower=True)).alias("term"))
+    each = texts(spark, d).select("source", F.explode(T.tokens("text", lower=True)).alias("term"))
     return ranking.top_per_group(each.groupBy("source", "term").agg(F.count("*").alias("n")), ["source"], [F.desc("n"), "term"], 15)
 
 
@@ -88,7 +88,7 @@ def top15_per_source(spark: SparkSession, d: str) -> DataFrame:
 SELECT lemma, string_agg(token, ' ' ORDER BY token) AS tokens, count(*) AS n_tokens FROM v WHERE lemma <> '' GROUP BY lemma"""
 )
 def lemma_tokens(spark: SparkSession, d: str) -> DataFrame:
-    return ranking.lemma_tokens(table(spark, d, "documents"))
+    return ranking.lemma_tokens(texts(spark, d))
 
 
 _HOST = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)"
@@ -127,18 +127,18 @@ def preprocess_sha1(spark: SparkSession, d: str) -> DataFrame:
 
 @query(r"SELECT doc_id, length(c) AS n, md5(c) AS md5 FROM (SELECT doc_id, regexp_replace(regexp_replace(text, '\s+(\s)', '\1', 'g'), '^\s+|\s+$', '', 'g') AS c FROM documents)")
 def clean_whitespace(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "documents").select("doc_id", T.clean_whitespace("text").alias("c"))
+    c = texts(spark, d).select("doc_id", T.clean_whitespace("text").alias("c"))
     return c.select("doc_id", F.length("c").cast("long").alias("n"), F.md5("c").alias("md5"))
 
 
 @query(f"SELECT doc_id, CAST(sent_no AS INTEGER) AS sent_no, sentence FROM ({_SENTS})")
 def split_sentences(spark: SparkSession, d: str) -> DataFrame:
-    return extraction.sentence_rows(table(spark, d, "documents"))
+    return extraction.sentence_rows(texts(spark, d))
 
 
 @query(f"SELECT doc_id, CAST(sent_no AS INTEGER) AS sent_no, row_number() OVER (ORDER BY doc_id, sent_no) - 1 AS id FROM ({_SENTS}) WHERE length(sentence) >= 5")
 def sentence_ids(spark: SparkSession, d: str) -> DataFrame:
-    sents = extraction.sentence_rows(table(spark, d, "documents"), least=5).select("doc_id", "sent_no")
+    sents = extraction.sentence_rows(texts(spark, d), least=5).select("doc_id", "sent_no")
     return ordering.global_index(sents, F.floor(F.col("doc_id") / 1000), ["doc_id", "sent_no"])
 
 
@@ -149,13 +149,13 @@ m AS (SELECT doc_id, CAST(sent_no AS INTEGER) AS sent_no, lemma, token FROM w JO
 
 @query(f"{_N2N} SELECT * FROM m")
 def n2n_extract(spark: SparkSession, d: str) -> DataFrame:
-    sents = extraction.sentence_rows(table(spark, d, "documents"))
+    sents = extraction.sentence_rows(texts(spark, d))
     return extraction.many_to_many(sents, extraction.lexicon(spark)).select("doc_id", "sent_no", "lemma", "token")
 
 
 @query(f"{_N2N}, u AS (SELECT DISTINCT doc_id, sent_no, lemma FROM m) SELECT doc_id, sent_no, arg_min(lemma, md5(doc_id || '|' || sent_no || '|' || lemma)) AS lemma FROM u GROUP BY ALL")
 def one_to_one_extract(spark: SparkSession, d: str) -> DataFrame:
-    units = extraction.many_to_many(extraction.sentence_rows(table(spark, d, "documents")), extraction.lexicon(spark))
+    units = extraction.many_to_many(extraction.sentence_rows(texts(spark, d)), extraction.lexicon(spark))
     return sampling.one_of(units.select("doc_id", "sent_no", "lemma").distinct(), ["doc_id", "sent_no"], "lemma")
 
 
@@ -164,7 +164,7 @@ def one_to_one_extract(spark: SparkSession, d: str) -> DataFrame:
 FROM ({_SENTS}) WHERE length(sentence) >= 5 GROUP BY 1"""
 )
 def verbs_per_sentence_hist(spark: SparkSession, d: str) -> DataFrame:
-    return extraction.verbs_per_sentence(extraction.sentence_rows(table(spark, d, "documents"), least=5), extraction.lexicon(spark))
+    return extraction.verbs_per_sentence(extraction.sentence_rows(texts(spark, d), least=5), extraction.lexicon(spark))
 
 
 def _events(spark: SparkSession, d: str) -> DataFrame:
@@ -216,16 +216,16 @@ def distinct_sources(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def pos_tagged_verbs(spark: SparkSession, d: str) -> DataFrame:
     """Verbs of the documents by lemma, from the rule tagger."""
-    tags = table(spark, d, "documents").select("doc_id", F.explode(tagging.verbs(tagging.known(tagging.tagged("text")))).alias("t"))
+    tags = texts(spark, d).select("doc_id", F.explode(tagging.verbs(tagging.known(tagging.tagged("text")))).alias("t"))
     return tags.groupBy("t.lemma").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("df"))
 
 
 @query()
 def grammar_chunks(spark: SparkSession, d: str) -> DataFrame:
-    sents = extraction.sentence_rows(table(spark, d, "documents"))
+    sents = extraction.sentence_rows(texts(spark, d))
     return tagging.grammar_extract(sents, extraction.lexicon(spark)).select("doc_id", "sent_no", "chunk", "lemma", "token")
 
 
 @query()
 def clause_extract(spark: SparkSession, d: str) -> DataFrame:
-    return tagging.clause_extract(extraction.sentence_rows(table(spark, d, "documents")), extraction.lexicon(spark)).select("doc_id", "sent_no", "clause", "lemma")
+    return tagging.clause_extract(extraction.sentence_rows(texts(spark, d)), extraction.lexicon(spark)).select("doc_id", "sent_no", "clause", "lemma")

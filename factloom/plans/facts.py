@@ -9,7 +9,7 @@ from factloom.functions import dates, filters
 from factloom.functions import text as T
 from factloom.operators import extraction, frames, kb, learning, linking, statements
 from factloom.plans.base import query
-from factloom.session import table
+from factloom.session import spread, table, texts
 
 _FMT = "printf('%+012d-%02d-%02dT00:00:00Z/%d', year(o_orderdate), month(o_orderdate), day(o_orderdate), 11)"
 
@@ -34,7 +34,7 @@ SELECT o_orderkey, 'Time' AS category, year(o_orderdate) AS y, month(o_orderdate
 SELECT o_orderkey, 'Duration', year(o_orderdate), NULL, year(o_orderdate) + 3 FROM orders)"""
 )
 def date_normalize(spark: SparkSession, d: str) -> DataFrame:
-    year, o = F.year("o_orderdate"), table(spark, d, "orders")
+    year, o = F.year("o_orderdate"), spread(table(spark, d, "orders"))
     phrase = F.concat(F.lit("Sent in "), F.date_format("o_orderdate", "MMMM yyyy"), F.lit(" and stored from "), year.cast("string"), F.lit(" to "), (year + 3).cast("string"), F.lit("."))
     each = o.select("o_orderkey", F.explode(dates.normalize(phrase)).alias("x"))
     return each.select("o_orderkey", "x.category", F.coalesce("x.time.year", "x.from.year").alias("year"), F.coalesce("x.time.month", F.lit(0)).alias("month"), F.coalesce("x.until.year", F.lit(0)).alias("end_year"))
@@ -171,7 +171,7 @@ SELECT doc_id, CAST(position AS INTEGER) AS position, chunk, entity, 1.0::DOUBLE
 )
 def entity_linking(spark: SparkSession, d: str) -> DataFrame:
     known = spark.createDataFrame(list(GAZETTEER), "alias string, entity string")
-    return linking.link(table(spark, d, "documents"), F.broadcast(known), most=2)
+    return linking.link(texts(spark, d), known, most=2)
 
 
 @query(

@@ -51,6 +51,13 @@ def sized(df: DataFrame, most: int = 200_000) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def spread(df: DataFrame, most: int = 32 << 20) -> DataFrame:
+    """A small table's rows dealt out to all cores: one of a single row group would be worked on by one task. Larger tables stay as they are read."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if size <= most and cores > 1 else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; a session on one machine gets a local one where that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -63,6 +70,11 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, for queries that work on their texts."""
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables in a directory."""
     ship(spark)
