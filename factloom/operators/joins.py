@@ -40,3 +40,25 @@ def overlapping_dates(a: DataFrame, b: DataFrame, key: str, parts: tuple[str, ..
 
 def weighted_overlap(ours: Column, theirs: Column, weight: float = 1.0) -> Column:
     return F.size(F.array_intersect(ours, theirs)) * F.lit(weight)
+
+
+def zipped(df: DataFrame, row: str, keys: str, values: str) -> DataFrame:
+    """row, key and value of two arrays side by side, as long as the shorter; of a key that comes twice in a row the last value stays. For arrays of any length;
+    text.zip_map is for those of a record."""
+    n = F.least(F.size(keys), F.size(values))
+    pairs = F.arrays_zip(F.slice(keys, 1, n).alias("key"), F.slice(values, 1, n).alias("value"))
+    each = df.select(row, F.posexplode(pairs).alias("_i", "_p"))
+    return each.groupBy(row, F.col("_p.key").alias("key")).agg(F.max_by("_p.value", "_i").alias("value"))
+
+
+def contained(rows: DataFrame, sequence: str, part: str, name: str = "position") -> DataFrame:
+    """rows with the first place (from 0) where the array `part` stands in the array `sequence`; null where it doesn't, or is empty."""
+    n = F.size(part)
+    starts = F.filter(F.sequence(F.lit(0), F.greatest(F.size(sequence) - n, F.lit(0))), lambda i: F.slice(sequence, i + 1, n) == F.col(part))
+    return rows.withColumn(name, F.when((n > 0) & (n <= F.size(sequence)), F.get(starts, F.lit(0))))
+
+
+def last_of_chunk(elements: DataFrame, linked: DataFrame, key: str, chunk: str, order: str) -> DataFrame:
+    """elements with the linked entity of their chunk, the last by order where several have it; null without one."""
+    last = linked.groupBy(key, chunk).agg(F.max_by(F.struct(*[c for c in linked.columns if c not in (key, chunk)]), order).alias("link"))
+    return elements.join(last, [key, chunk], "left")

@@ -2,66 +2,86 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-BLOCK = 4096
+from factloom.session import shared_dir
+
+#: Queries in a file, queries and rows compared at once: ROWS x QUERIES distances are 160 MB.
+BLOCK, QUERIES, ROWS = 4096, 1024, 20_000
 
 
 def knn(queries: DataFrame, base: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
-    """Exact k nearest rows of base to each query by Euclidean distance, and the most frequent label of them. Queries are taken in blocks;
-    each block goes to all rows, and each batch keeps the rows that can be among the k by (distance rounded to 6 digits, key)."""
-    out = None
-    rows = queries.select(key, vector, label).toArrow()  # the stated query set
-    for at in range(0, max(1, len(rows)), BLOCK):
-        part = rows.slice(at, BLOCK)
-        if not len(part):
-            break
-        ids, q = part[key].to_numpy(), np.stack(part[vector].to_numpy(zero_copy_only=False)).astype(np.float64)
-        near = base.select(key, vector, label).mapInArrow(_nearest(ids, q, k), "query long, other long, found int, distance double")
-        out = near if out is None else out.union(near)
+    """Exact k nearest rows of base to each query by Euclidean distance, and the most frequent label of them. Queries are written to the shared folder in files
+    of BLOCK rows; each task reads them file by file for every ROWS of its rows, and keeps the rows that can be among the k by (distance rounded to 6
+    digits, key). So neither driver nor task holds all queries."""
     spark = base.sparkSession
-    if out is None:
-        return spark.createDataFrame([], f"{key} long, {label} int, predicted int")
-    best = out.withColumn("_n", F.row_number().over(W.partitionBy("query").orderBy(F.round("distance", 6), "other"))).where(F.col("_n") <= k)
+    folder = f"{shared_dir(spark)}/factloom-queries-{uuid.uuid4().hex}"
+    queries.select(F.col(key).cast("long").alias(key), F.col(vector).cast("array<double>").alias(vector)).write.option("maxRecordsPerFile", BLOCK).parquet(folder)
+    near = base.select(F.col(key).cast("long"), F.col(vector).cast("array<double>"), F.col(label).cast("int")).mapInArrow(_nearest(folder, k), "query long, other long, found int, distance double")
+    best = near.withColumn("_n", F.row_number().over(W.partitionBy("query").orderBy(F.round("distance", 6), "other"))).where(F.col("_n") <= k)
     votes = best.groupBy("query", "found").agg(F.count("*").alias("votes"))
     first = votes.groupBy("query").agg(F.min_by("found", F.struct(-F.col("votes"), "found")).alias("predicted"))
     return first.join(queries.select(F.col(key).alias("query"), label), "query").select(F.col("query").alias(key), label, "predicted")
 
 
-def _nearest(ids: np.ndarray, q: np.ndarray, k: int):  # noqa: ANN202
-    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    flat = pa.array([], pa.float64()) if not len(column) else (column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).flatten()
+    return flat.to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _nearest(folder: str, k: int):  # noqa: ANN202
+    def near(ids: np.ndarray, q: np.ndarray, other: np.ndarray, x: np.ndarray, found: np.ndarray) -> pa.RecordBatch:
         norm = (q * q).sum(1)
+        d = norm[:, None] + (x * x).sum(1) - 2 * q @ x.T
+        d[ids[:, None] == other] = np.inf
+        # Rows up to the k-th distance, and what rounding and the product's error may add; of equal distances k of the least keys.
+        limit = np.partition(d, min(k, len(other)) - 1, axis=1)[:, min(k, len(other)) - 1] + 2e-6 + 1e-12 * (norm + (x * x).sum(1).max())
+        at, rows, distance = [], [np.zeros(0, np.int64)], [np.zeros(0)]
+        for i in range(len(ids)):
+            top = np.flatnonzero((d[i] <= limit[i]) & np.isfinite(d[i]))
+            exact = ((q[i] - x[top]) ** 2).sum(1)
+            order = np.lexsort((other[top], exact))
+            top, exact = top[order], exact[order]
+            ok = np.arange(len(top)) - np.searchsorted(exact, exact) < k
+            at.append(np.full(int(ok.sum()), ids[i]))
+            rows.append(top[ok])
+            distance.append(exact[ok])
+        at, rows = np.concatenate([ids[:0], *at]), np.concatenate(rows)
+        return pa.RecordBatch.from_pydict({"query": pa.array(at), "other": pa.array(other[rows]), "found": pa.array(found[rows].astype(np.int32)), "distance": pa.array(np.concatenate(distance))})
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, at = pafs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
+        files = sorted(f.path for f in fs.get_file_info(pafs.FileSelector(at)) if f.path.endswith(".parquet"))
+
+        def against(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(held)
+            other, x, found = rows.column(0).to_numpy(), _matrix(rows.column(1)), rows.column(2).to_numpy()
+            for path in files:
+                block = pq.read_table(path, filesystem=fs)
+                for i in range(0, len(block), QUERIES):
+                    part = block.slice(i, QUERIES)
+                    yield near(part.column(0).to_numpy(), _matrix(part.column(1)), other, x, found)
+
+        held, size = [], 0
         for batch in batches:
-            if not len(batch):
-                continue
-            other = batch.column(0).to_numpy()
-            x = np.stack(batch.column(1).to_numpy(zero_copy_only=False)).astype(np.float64)
-            found = batch.column(2).to_numpy(zero_copy_only=False)
-            d = norm[:, None] + (x * x).sum(1) - 2 * q @ x.T
-            d[ids[:, None] == other] = np.inf
-            # Rows up to the k-th distance, and what rounding and the product's error may add; of equal distances k of the least keys.
-            limit = np.partition(d, min(k, len(other)) - 1, axis=1)[:, min(k, len(other)) - 1] + 2e-6 + 1e-12 * (norm + (x * x).sum(1).max())
-            at, rows, distance = [], [np.zeros(0, np.int64)], [np.zeros(0)]
-            for i in range(len(ids)):
-                top = np.flatnonzero((d[i] <= limit[i]) & np.isfinite(d[i]))
-                exact = ((q[i] - x[top]) ** 2).sum(1)
-                order = np.lexsort((other[top], exact))
-                top, exact = top[order], exact[order]
-                ok = np.arange(len(top)) - np.searchsorted(exact, exact) < k
-                at.append(np.full(int(ok.sum()), ids[i]))
-                rows.append(top[ok])
-                distance.append(exact[ok])
-            at, rows = np.concatenate([ids[:0], *at]), np.concatenate(rows)
-            yield pa.RecordBatch.from_pydict({
-                "query": pa.array(at), "other": pa.array(other[rows]), "found": pa.array(found[rows].astype(np.int32)), "distance": pa.array(np.concatenate(distance)),
-            })
+            if len(batch):
+                held.append(batch)
+                size += len(batch)
+            if size >= ROWS:
+                yield from against(held)
+                held, size = [], 0
+        if held:
+            yield from against(held)
 
     return nearest
 

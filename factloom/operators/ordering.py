@@ -6,14 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+LEVEL = 4096
+
 
 def global_index(df: DataFrame, bucket: Column, order: list, name: str = "id") -> DataFrame:
-    """Rows numbered from 0 by (bucket, order). bucket: a monotonic coarse form of the order's first column, so that a bucket fits a task;
+    """Rows numbered from 0 by (bucket, order). bucket: a number, a monotonic coarse form of the order's first column, so that a bucket fits a task;
     sums of buckets are added up first, rows are numbered within theirs."""
     rows = df.withColumn("_bucket", bucket)
     counts = rows.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)  # one row for each bucket
-    starts = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    # Buckets are added up in groups of LEVEL first, so that no window holds more than LEVEL buckets, or all groups.
+    counts = counts.withColumn("_group", F.floor(F.col("_bucket") / LEVEL))
+    groups = counts.groupBy("_group").agg(F.sum("_n").alias("_g"))
+    groups = groups.select("_group", F.coalesce(F.sum("_g").over(W.orderBy("_group").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
+    before = W.partitionBy("_group").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.join(groups, "_group").select("_bucket", (F.col("_start") + F.coalesce(F.sum("_n").over(before), F.lit(0))).alias("_before"))
     own = F.row_number().over(W.partitionBy("_bucket").orderBy(*order))
     return rows.withColumn("_own", own).join(starts, "_bucket").withColumn(name, F.col("_before") + F.col("_own") - 1).drop("_bucket", "_own", "_before")
 

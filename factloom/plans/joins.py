@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from factloom.functions import text as T
 from factloom.operators import joins
 from factloom.plans.base import query
-from factloom.session import table
+from factloom.session import table, texts
 
 #: Adjectives of some nations; a small fixed dimension.
 NATIONALITY = tuple((f"adjective{i}", f" Nation_{i} ".strip()) for i in range(0, 25, 2))
@@ -120,14 +120,15 @@ def value_set_intersection(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """WITH w AS (SELECT doc_id, string_split(text, ' ')[1:6] AS k, string_split(text, ' ')[7:10] AS v FROM documents),
-z AS (SELECT doc_id, unnest(k[1:least(len(k), len(v))]) AS key, unnest(v[1:least(len(k), len(v))]) AS value, generate_subscripts(v[1:least(len(k), len(v))], 1) AS i FROM w)
+    """WITH w AS (SELECT doc_id, string_split(text, ' ') AS w FROM documents), h AS (SELECT doc_id, w, CAST((len(w) + 1) // 2 AS BIGINT) AS n FROM w),
+z AS (SELECT doc_id, unnest(w[1:len(w) - n]) AS key, unnest(w[n + 1:]) AS value, generate_subscripts(w[n + 1:], 1) AS i FROM h)
 SELECT doc_id, key, value FROM z QUALIFY row_number() OVER (PARTITION BY doc_id, key ORDER BY i DESC) = 1"""
 )
 def key_value_zip(spark: SparkSession, d: str) -> DataFrame:
-    words = F.split("text", " ")
-    both = table(spark, d, "documents").select("doc_id", F.slice(words, 1, 6).alias("k"), F.slice(words, 7, 4).alias("v"))
-    return both.select("doc_id", F.explode(T.zip_map(F.col("k"), F.col("v"))).alias("key", "value"))
+    """The first half of each text's words as keys of the second half, however long the text."""
+    words, half = F.split("text", " "), F.ceil(F.size("w") / 2).cast("int")
+    both = texts(spark, d).select("doc_id", words.alias("w")).select("doc_id", F.slice("w", 1, half).alias("k"), F.slice("w", half + 1, F.size("w")).alias("v"))
+    return joins.zipped(both, "doc_id", "k", "v")
 
 
 @query("SELECT n_name, r_name FROM nation, region")
