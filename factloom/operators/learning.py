@@ -14,10 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from factloom.session import shared_dir
+from factloom.operators.sampling import hash_fraction
+from factloom.session import shared_dir, sized
 
 #: Queries in a file, queries and rows compared at once: ROWS x QUERIES distances are 160 MB.
 BLOCK, QUERIES, ROWS = 4096, 1024, 20_000
+COMPONENTS = 1024
 
 
 def knn(queries: DataFrame, base: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
@@ -115,48 +117,114 @@ def window_features(tags: DataFrame, group: list[str], position: str, width: int
     return tags.withColumn("features", F.array_compact(F.array(*parts)))
 
 
-def classifier_bank(rows: DataFrame, unit: str, vector: str, target: str, key: str, rounds: int = 200, penalty: float = 0.01) -> DataFrame:
-    """A linear classifier with squared hinge loss for each unit, and its predictions: key, unit, target, predicted."""
+MODEL = "classes array<string>, weights array<array<double>>"
+
+
+def fit_bank(rows: DataFrame, unit: str, vector: str, target: str, key: str, fit_rows: int = 50_000, rounds: int = 200, penalty: float = 0.01) -> DataFrame:
+    """A linear classifier with squared hinge loss, one class against the others, for each unit: unit, classes and weights. Of a unit with more than fit_rows rows
+    about so many are fitted, chosen by the hash of their key; so no task gets an unbounded unit. A table to be kept as it is; see predict_bank."""
 
     def fit(p: pd.DataFrame) -> pd.DataFrame:
         x = np.column_stack([np.stack(p[vector]).astype(float), np.ones(len(p))])
-        y = np.where(p[target].to_numpy() > 0, 1.0, -1.0)
-        w, seen = np.zeros(x.shape[1]), np.full(x.shape[1], 1e-8)
+        names = sorted(p[target].astype(str).unique())
+        y = np.where(p[target].astype(str).to_numpy()[:, None] == np.array(names), 1.0, -1.0)
+        w, seen = np.zeros((x.shape[1], len(names))), np.full((x.shape[1], len(names)), 1e-8)
         for _ in range(rounds):
-            gap = np.maximum(0, 1 - y * (x @ w))
-            g = -2 * x.T @ (y * gap) / len(x) + penalty * w
+            g = -2 * x.T @ (y * np.maximum(0, 1 - y * (x @ w))) / len(x) + penalty * w
             seen += g * g
             w -= 0.5 * g / np.sqrt(seen)
-        return pd.DataFrame({key: p[key], unit: p[unit], target: p[target], "predicted": (x @ w > 0).astype(int)})
+        return pd.DataFrame({unit: [p[unit].iloc[0]], "classes": [names], "weights": [w.T.tolist()]})
+
+    sizes = rows.groupBy(unit).agg(F.least(F.lit(1.0), F.lit(float(fit_rows)) / F.count("*")).alias("_share"))
+    some = rows.select(key, unit, vector, target).where(F.col(target).isNotNull() & F.col(vector).isNotNull()).join(sized(sizes), unit).where(hash_fraction(F.col(key).cast("string")) < F.col("_share"))
+    kind = rows.schema[unit].dataType.simpleString()
+    return some.orderBy(key).drop("_share").groupBy(unit).applyInPandas(lambda p: fit(p.sort_values(key)), f"{unit} {kind}, {MODEL}")
+
+
+def predict_bank(rows: DataFrame, models: DataFrame, unit: str, vector: str) -> DataFrame:
+    """rows with predicted, by the model of their unit: products in the JVM. Null where the unit has no model; of equal scores the first class counts."""
+    dot = lambda w: F.aggregate(F.zip_with(w, F.concat(F.col(vector).cast("array<double>"), F.array(F.lit(1.0))), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+    scored = rows.join(sized(models), unit, "left").withColumn("_s", F.transform("weights", dot))
+    best = F.element_at("classes", F.array_position("_s", F.array_max("_s")).cast("int"))
+    return scored.withColumn("predicted", best).drop("_s", "classes", "weights")
+
+
+def to_elements(predictions: DataFrame, sentence: str, position: str, chunk: str, outside: str = "O") -> DataFrame:
+    """Predicted labels of chunks as elements of their sentence: sentence and fes (fe, chunk) by position; chunks outside are none, sentences without any are left out."""
+    kept = predictions.where(F.col("predicted").isNotNull() & (F.col("predicted") != outside))
+    item = F.struct(F.col(position).alias("at"), F.struct(F.col("predicted").alias("fe"), F.col(chunk).alias("chunk")).alias("x"))
+    return kept.groupBy(sentence).agg(F.transform(F.array_sort(F.collect_list(item)), lambda v: v["x"]).alias("fes"))
+
 
-    return rows.select(key, unit, target, vector).groupBy(unit).applyInPandas(fit, f"{key} long, {unit} int, {target} int, predicted int")
+def dummy(rows: DataFrame, target: str, key: str) -> DataFrame:
+    """rows with predicted: a class drawn by the classes' shares, from the hash of the key. What a classifier has to beat."""
+    by = rows.groupBy(target).agg(F.count("*").alias("_n"))
+    every = W.orderBy(target).rowsBetween(W.unboundedPreceding, 0)  # a row for each class
+    upto = by.select(F.col(target).alias("c"), (F.sum("_n").over(every) / F.sum("_n").over(W.partitionBy())).alias("u"))
+    table = upto.agg(F.array_sort(F.collect_list(F.struct("u", "c"))).alias("_classes"))
+    h = hash_fraction(F.col(key).cast("string"))
+    return rows.crossJoin(F.broadcast(table)).withColumn("predicted", F.get(F.filter("_classes", lambda x: h < x["u"]), F.lit(0))["c"]).drop("_classes")
 
 
-def model_selection(rows: DataFrame, vector: str, target: str, k: int = 3) -> DataFrame:
-    """Grids of linear and tree models, cross-validated; name and score of each family's best."""
+def random_features(rows: DataFrame, vector: str, size: int = 64, gamma: float = 0.5, seed: int = 1) -> DataFrame:
+    """rows with `vector` replaced by random Fourier features, whose products approximate the kernel exp(-gamma |x - y|^2): a kernel SVC as a linear one."""
+
+    def mapped(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            if not len(s):
+                yield s
+                continue
+            x = np.stack(s).astype(float)
+            rng = np.random.default_rng(seed)
+            w, b = rng.normal(0, np.sqrt(2 * gamma), (x.shape[1], size)), rng.uniform(0, 2 * np.pi, size)
+            yield pd.Series(list(np.sqrt(2 / size) * np.cos(x @ w + b)))
+
+    return rows.withColumn(vector, F.pandas_udf(mapped, "array<double>")(F.col(vector).cast("array<double>")))
+
+
+def model_selection(rows: DataFrame, vector: str, target: str, k: int = 3, key: str | None = None) -> DataFrame:
+    """Grids of linear, kernel and tree models, and of neighbours where rows have a key, cross-validated; name and score of each family's best."""
     from pyspark.ml.classification import LinearSVC, RandomForestClassifier
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
-    data = rows.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"), F.col(target).cast("double").alias("label")).persist()
+    def data(df: DataFrame) -> DataFrame:
+        return df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"), F.col(target).cast("double").alias("label")).persist()
+
+    plain, kernel = data(rows), data(random_features(rows, vector))
     scored = []
     svc, forest = LinearSVC(maxIter=10), RandomForestClassifier(numTrees=10, seed=1)
-    for name, model, grid in (
-        ("LinearSVC", svc, ParamGridBuilder().addGrid(svc.regParam, [0.01, 0.1]).build()),
-        ("RandomForest", forest, ParamGridBuilder().addGrid(forest.maxDepth, [3, 5]).build()),
-    ):
+    for name, df, model, grid in (
+        ("LinearSVC", plain, svc, ParamGridBuilder().addGrid(svc.regParam, [0.01, 0.1]).build()), ("SVC", kernel, svc, ParamGridBuilder().addGrid(svc.regParam, [0.01, 0.1]).build()),
+        ("RandomForest", plain, forest, ParamGridBuilder().addGrid(forest.maxDepth, [3, 5]).build()),
+    ):
         cv = CrossValidator(estimator=model, estimatorParamMaps=grid, evaluator=MulticlassClassificationEvaluator(metricName="f1"), numFolds=k, seed=1, parallelism=2)
-        scored.append((name, float(max(cv.fit(data).avgMetrics))))
-    data.unpersist()
+        scored.append((name, float(max(cv.fit(df).avgMetrics))))
+    plain.unpersist()
+    kernel.unpersist()
+    if key:
+        parts = folds(rows.withColumn(target, F.col(target).cast("int")), F.col(key).cast("string"), k)
+        best = 0.0
+        for n in (3, 5):
+            got = [knn(parts.where(F.col("fold") == i), parts.where(F.col("fold") != i), n, key, vector, target) for i in range(k)]
+            best = max(best, sum(f1(g, "predicted", target).first()["weighted_f1"] or 0.0 for g in got) / k)
+        scored.append(("KNN", float(best)))
     return rows.sparkSession.createDataFrame(scored, "model string, score double")
 
 
+def gazetteer_features(tokens: DataFrame, index: DataFrame, token: str = "token", name: str = "gazetteer") -> DataFrame:
+    """tokens with the feature of the gazetteer (chunk, features) for them, the last of several; null without one."""
+    known = index.groupBy(F.lower("chunk").alias("_chunk")).agg(F.array_max(F.flatten(F.collect_list("features"))).alias(name))
+    return tokens.withColumn("_chunk", F.lower(token)).join(known, "_chunk", "left").drop("_chunk")
+
+
 def vectorized(rows: DataFrame, features: str, size: int = 1 << 18, reduce_to: int | None = None) -> DataFrame:
-    """Arrays of features as sparse vectors by hashing, which needs no pass for a vocabulary; reduce_to: principal components of them."""
+    """Arrays of features as sparse vectors by hashing, which needs no pass for a vocabulary; reduce_to: principal components of them, for which they
+    are hashed to COMPONENTS columns at most, as the columns' covariance has to be held."""
     from pyspark.ml.feature import PCA, HashingTF
 
-    out = HashingTF(inputCol=features, outputCol="vector", numFeatures=size, binary=True).transform(rows)
+    out = HashingTF(inputCol=features, outputCol="vector", numFeatures=min(size, COMPONENTS) if reduce_to else size, binary=True).transform(rows)
     if reduce_to:
         out = PCA(k=reduce_to, inputCol="vector", outputCol="reduced").fit(out).transform(out)
     return out

@@ -91,6 +91,26 @@ def lemma_tokens(spark: SparkSession, d: str) -> DataFrame:
     return ranking.lemma_tokens(texts(spark, d))
 
 
+_LEMMAS = r"lem AS (SELECT DISTINCT term, regexp_replace(term, '(ing|ed|es|s)$', '') AS lemma FROM pop WHERE regexp_matches(term, '(ing|ed)$'))"
+
+
+@query(
+    f"""WITH {_TFIDF}, {_POP}, {_LEMMAS} SELECT lemma, round(sum(avg_score * df) / sum(df), 6) AS avg_score, round(avg(sd_score), 6) AS sd_score FROM lem JOIN ranked USING (term) WHERE lemma <> '' GROUP BY lemma"""
+)
+def lemma_rank(spark: SparkSession, d: str) -> DataFrame:
+    """Scores of verbs' lemmas, pooled over their tokens."""
+    docs = texts(spark, d)
+    out = ranking.lemma_scores(docs, ranking.lemma_tokens(docs).select("lemma", F.explode(F.split("tokens", " ")).alias("token")))
+    return out.select("lemma", F.round("avg_score", 6).alias("avg_score"), F.round("sd_score", 6).alias("sd_score"))
+
+
+@query(f"WITH {_POP}, {_LEMMAS}, b AS (SELECT lemma, CAST(sum(n) AS BIGINT) AS n FROM lem JOIN pop USING (term) WHERE lemma <> '' GROUP BY lemma) SELECT lemma, n, round(n / (SELECT max(n) FROM b), 6) AS popularity FROM b")
+def lemma_popularity_rank(spark: SparkSession, d: str) -> DataFrame:
+    docs = texts(spark, d)
+    out = ranking.lemma_popularity(docs, ranking.lemma_tokens(docs).select("lemma", F.explode(F.split("tokens", " ")).alias("token")))
+    return out.select("lemma", "n", F.round("popularity", 6).alias("popularity"))
+
+
 _HOST = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)"
 
 
@@ -167,6 +187,20 @@ def verbs_per_sentence_hist(spark: SparkSession, d: str) -> DataFrame:
     return extraction.verbs_per_sentence(extraction.sentence_rows(texts(spark, d), least=5), extraction.lexicon(spark))
 
 
+_CLAUSES = r"list_filter(list_transform(regexp_split_to_array(sentence, '[,;:]\s+|\s+(?:and|but|which|who|while|because)\s+'), lambda x: trim(x)), lambda x: length(x) >= 5)"
+
+
+@query(
+    rf"""WITH c AS (SELECT unnest({_CLAUSES}) AS clause FROM ({_SENTS}) WHERE length(sentence) >= 5)
+SELECT CAST(len(list_intersect(list_distinct(list_filter(regexp_split_to_array(lower(clause), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')), (SELECT list(DISTINCT token) FROM {_LEX} WHERE lemma NOT IN ('be', 'have')))) AS INTEGER) AS n_verbs, count(*) AS n
+FROM c GROUP BY 1"""
+)
+def verbs_per_clause_hist(spark: SparkSession, d: str) -> DataFrame:
+    """As verbs_per_sentence_hist, over the clauses of sentences."""
+    clauses = extraction.sentence_rows(texts(spark, d), least=5).select(F.explode(tagging.clauses("sentence")).alias("sentence"))
+    return extraction.verbs_per_sentence(clauses, extraction.lexicon(spark))
+
+
 def _events(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").withColumn("source", F.concat(F.lit("s"), (F.col("user_id") % 20).cast("string")))
 

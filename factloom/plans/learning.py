@@ -55,15 +55,25 @@ def gazetteer_reverse(spark: SparkSession, d: str) -> DataFrame:
     return learning.reverse(index, "feature", "chunks").select("chunk", F.array_join("features", " ").alias("features"))
 
 
+@query(
+    """WITH h AS (SELECT doc_id, quality, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS h FROM labels),
+c AS (SELECT quality AS c, sum(count(*)) OVER (ORDER BY quality) / sum(count(*)) OVER () AS u FROM labels GROUP BY quality)
+SELECT doc_id, quality, (SELECT min(c) FROM c WHERE h.h < u) AS predicted FROM h"""
+)
+def dummy_baseline(spark: SparkSession, d: str) -> DataFrame:
+    return learning.dummy(table(spark, d, "labels").select("doc_id", "quality"), "quality", "doc_id")
+
+
 @query()
 def svm_per_group(spark: SparkSession, d: str) -> DataFrame:
-    """Linear classifiers of each group's rows, one task a group; groups are labels' halves by id."""
-    rows = table(spark, d, "embeddings").withColumn("unit", (F.col("vec_id") % 4).cast("int")).withColumn("target", (F.col("label") % 2).cast("int"))
-    return learning.classifier_bank(rows, "unit", "embedding", "target", "vec_id")
+    """Linear classifiers of each group, fitted on four folds of its rows and asked for the fifth."""
+    rows = learning.folds(table(spark, d, "embeddings").withColumn("unit", (F.col("vec_id") % 4).cast("int")), F.col("vec_id").cast("string"), 5)
+    models = learning.fit_bank(rows.where("fold <> 0"), "unit", "embedding", "label", "vec_id")
+    return learning.predict_bank(rows.where("fold = 0"), models, "unit", "embedding").select("vec_id", "unit", F.col("label").cast("int").alias("label"), F.col("predicted").cast("int").alias("predicted"))
 
 
 @query()
 def grid_search(spark: SparkSession, d: str) -> DataFrame:
-    """Cross-validated estimators of pyspark.ml over embeddings, and the best of each."""
+    """Cross-validated estimators over embeddings, and the best of each family."""
     rows = table(spark, d, "embeddings").withColumn("target", (F.col("label") % 2).cast("double"))
-    return learning.model_selection(rows, "embedding", "target")
+    return learning.model_selection(rows, "embedding", "target", key="vec_id")
