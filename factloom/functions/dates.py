@@ -52,6 +52,17 @@ def lenient_date(text: str) -> dict | None:
     return {"year": int(m[1])} if m else None
 
 
+def lenient(text: Column) -> Column:
+    """lenient_date of a column: year, month and day as far as they are there, by Arrow batches; null without any."""
+
+    def parsed(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for s in texts:
+            found = [(lenient_date(t) if t else None) or {} for t in s]
+            yield pd.DataFrame({k: pd.array([f.get(k) for f in found], dtype="Int32") for k in ("year", "month", "day")})
+
+    return F.pandas_udf(parsed, PART)(text)
+
+
 @dataclass(frozen=True)
 class Rule:
     category: str

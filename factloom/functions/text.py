@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,6 +23,38 @@ def sentences(text: Column | str) -> Column:
     return F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")
 
 
+#: What may stand before a dot inside a sentence, by language; initials may in all of them.
+ABBREVIATIONS = {
+    "en": "mr mrs ms dr prof rev hon st jr sr vs etc e.g i.e no vol pp fig capt col gen lt sgt inc ltd co", "de": "dr prof hr fr z.b d.h u.a bzw usw ca nr st bd s vgl", "fr": "m mm mme mlle dr pr etc p ex cf av apr no st ste",
+    "es": "sr sra srta dr dra prof etc p.ej ud uds núm av", "it": "sig dott prof ing avv ecc es n pag s vol", "nl": "dr prof dhr mevr bijv enz nr ca", "pt": "sr sra dr dra prof etc p.ex nº av", "da": "dr hr fr f.eks osv nr ca", "sv": "dr hr fr t.ex osv nr ca", "no": "dr hr fr f.eks osv nr ca",
+    "fi": "esim mm ym jne nro", "pl": "dr prof np itd itp nr ul", "cs": "dr prof např atd č ul", "sl": "dr prof npr itd št", "et": "dr prof nt jne nr", "el": "κ κα δρ π.χ κ.λπ", "tr": "dr prof vb vs no sn",
+}
+
+
+def language_sentences(text: Column | str, lang: str = "en") -> Column:
+    """Lines, cut after . ! or ? and closing quotes before white space, but not after an initial or an abbreviation of the language; trimmed, empty ones dropped. Languages
+    without a list know initials only."""
+    short = "|".join(re.escape(a) for a in ABBREVIATIONS.get(lang, "").split())
+    held = rf"(?<!(?<![\p{{L}}.])(?i:{short}))" if short else ""
+    close = r"[\"'»”’)\]]*"
+    cut = rf"(?<!(?<![\p{{L}}])\p{{Lu}}){held}(\.{close})\s+|((?:[!?]|\.\.){close})\s+"
+    parts = F.split(F.regexp_replace(text, cut, "$1$2\n"), "\n")
+    return F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")
+
+
+def token_sentences(words: Column) -> Column:
+    """Tokens in runs that end with a token . ! or ?; what is left at the end is one too."""
+    ends = F.filter(F.transform(words, lambda x, i: F.when(x.isin(".", "!", "?"), i + 1)), lambda i: i.isNotNull())
+    ends = F.concat(F.array(F.lit(0)), ends, F.when(F.coalesce(F.array_max(ends), F.lit(0)) < F.size(words), F.array(F.size(words))).otherwise(F.array().cast("array<int>")))
+    runs = F.transform(F.sequence(F.lit(1), F.size(ends) - 1), lambda k: F.slice(words, F.element_at(ends, k) + 1, F.element_at(ends, k + 1) - F.element_at(ends, k)))
+    return F.when(F.size(words) > 0, runs).otherwise(F.array().cast("array<array<string>>"))
+
+
+def spaced(name: Column | str) -> Column:
+    """Underscores as spaces."""
+    return F.replace(F.col(name) if isinstance(name, str) else name, F.lit("_"), F.lit(" "))
+
+
 def clean_whitespace(text: Column | str) -> Column:
     """Runs of two or more white-space characters become the last of them; the ends are trimmed."""
     return F.regexp_replace(F.regexp_replace(text, r"(?:\s){1,}(\s)", "$1"), r"^\s+|\s+$", "")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.functions.text import sentences, tokens
@@ -36,6 +36,29 @@ def many_to_many(sents: DataFrame, units: DataFrame, base_form: bool = False) ->
     return words.join(sized(units), "token")
 
 
+def extract(docs: DataFrame, units: DataFrame, strategy: str = "n2n", key: str = "doc_id", text: str = "text", carry: Sequence[str] = ("url", "name"), bucket: Column | None = None, least: int = 1) -> DataFrame:
+    """Sentences with lexical units by a strategy, with what documents carry: id, key, carry, sent_no, lu and text. n2n: a row for each unit and token, 121: one unit for a
+    sentence, grammar: chunks of the grammar, syntactic: clauses of one unit. bucket: a coarse form of the key by which rows are numbered (see ordering.global_index)."""
+    from factloom.operators import ordering, sampling, tagging
+
+    carry = [c for c in carry if c in docs.columns]
+    each = docs.select(key, *carry, F.posexplode(sentences(text)).alias("sent_no", "sentence")).where(F.length("sentence") >= least)
+    keys = [key, *carry, "sent_no"]
+    if strategy == "n2n":
+        out = many_to_many(each, units).select(*keys, F.col("lemma").alias("lu"), F.col("sentence").alias("text"), "token")
+    elif strategy == "121":
+        found = many_to_many(each, units).select(*keys, "sentence", "lemma").distinct()
+        out = sampling.one_of(found, [*keys, "sentence"], "lemma").select(*keys, F.col("lemma").alias("lu"), F.col("sentence").alias("text"), F.lit("").alias("token"))
+    elif strategy == "grammar":
+        out = tagging.grammar_extract(each, units).select(*keys, F.col("lemma").alias("lu"), F.col("chunk").alias("text"), "token")
+    elif strategy == "syntactic":
+        out = tagging.clause_extract(each, units).select(*keys, F.col("lemma").alias("lu"), F.col("clause").alias("text"), "token")
+    else:
+        raise ValueError(f"no strategy {strategy}")
+    at = F.floor(F.col(key) / 1000) if bucket is None else bucket
+    return ordering.global_index(out, at, [key, "sent_no", "text", "lu", "token"]).drop("token")
+
+
 def verbs_per_sentence(sents: DataFrame, units: DataFrame, dropped: Sequence[str] = ("be", "have")) -> DataFrame:
     """How many sentences hold how many different verb tokens; units in `dropped` don't count."""
     verbs = units.where(~F.col("lemma").isin(*dropped)).agg(F.collect_set("token").alias("verbs"))

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -9,6 +14,9 @@ from pyspark.sql.window import Window as W
 from factloom.functions.text import tokens
 
 
+_WORD = regex.compile(r"[\p{L}\p{N}]+")
+
+
 def ngrams(docs: DataFrame, key: str, text: str, most: int) -> DataFrame:
     """key, position and chunk of all runs of 1 to most words."""
     words = docs.select(key, tokens(text, lower=True).alias("_w"))
@@ -17,6 +25,28 @@ def ngrams(docs: DataFrame, key: str, text: str, most: int) -> DataFrame:
     return at.select(key, F.inline(runs))
 
 
+LINKED = "array<struct<chunk:string,start:int,end:int,uri:string,confidence:double,types:array<string>,alternate_names:array<string>>>"
+
+
+def linked_entities(docs: DataFrame, gazetteer: DataFrame, things: DataFrame, key: str = "doc_id", text: str = "text", most: int = 3, min_confidence: float = 0.25) -> DataFrame:
+    """docs with `linked`, the entities of each text in its order: chunk as written, start and end in characters, uri, confidence, types and alternate names. things
+    (entity, uri, types, alternate_names): what is known of the gazetteer's entities. Texts without entities have an empty array; keys are unique."""
+    hits = link(docs, gazetteer, key, text, most, min_confidence).join(things, "entity", "left")
+    item = F.struct("position", F.size(F.split("chunk", " ")).alias("n"), "uri", "confidence", "types", "alternate_names")
+    by = hits.groupBy(key).agg(F.to_json(F.array_sort(F.collect_list(item))).alias("_hits"))
+
+    def placed(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, found in batches:
+            out = []
+            for t, h in zip(texts, found, strict=True):
+                at = [m.span() for m in _WORD.finditer(t)] if h else []
+                spans = [(at[x["position"]][0], at[x["position"] + x["n"] - 1][1], x) for x in json.loads(h)] if h else []
+                out.append([{"chunk": t[a:z], "start": a, "end": z, **{c: x.get(c) for c in ("uri", "confidence", "types", "alternate_names")}} for a, z, x in spans])
+            yield pd.Series(out)
+
+    return docs.join(by, key, "left").withColumn("linked", F.pandas_udf(placed, LINKED)(F.col(text), F.col("_hits"))).drop("_hits")
+
+
 def link(docs: DataFrame, gazetteer: DataFrame, key: str = "doc_id", text: str = "text", most: int = 3, min_confidence: float = 0.25, held: int = 100_000) -> DataFrame:
     """key, position, chunk, entity and confidence (1 / entities of the alias) of aliases in a text. Where the gazetteer is small enough to be broadcast, only
     places where the first word of an alias stands are looked at; else all runs of words meet it in a join."""

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from factloom.functions.dates import format_date
+from factloom.functions.dates import format_date, lenient, parse_date
 from factloom.functions.text import literal, title_case
 from factloom.session import sized
 
@@ -42,8 +42,38 @@ def gender(value: Column) -> Column:
 def date(value: Column) -> Column:
     bare = F.trim(F.regexp_replace(F.lower(value), r"\((?:circa|probable|presumed)\)|c\.", ""))
     full = F.regexp_extract(bare, r"^(\d{4})(?:-(\d{1,2}))?(?:-(\d{1,2}))?$", 1)
+    other = lenient(F.when(full == "", bare))
     part = lambda g: F.nullif(F.regexp_extract(bare, r"^(\d{4})(?:-(\d{1,2}))?(?:-(\d{1,2}))?$", g), F.lit("")).cast("int")
-    return F.when(full != "", format_date(part(1), part(2), part(3)))
+    return F.when(full != "", format_date(part(1), part(2), part(3))).otherwise(format_date(other["year"], other["month"], other["day"]))
+
+
+HONORIFICS = {
+    "prof": "Q121594", "dr": "Q4618975", "phd": "Q4618975", "bishop": "Q611644", "st": "Q43115", "hon": "Q2746176", "rev": "Q42603", "miss": "Q13359947", "mrs": "Q313549", "mister": "Q177053",
+    "mr": "Q177053", "sir": "Q209690",
+}
+
+
+@resolver("P1035")
+def honorific(value: Column) -> Column:
+    return F.create_map(*[F.lit(x) for kv in HONORIFICS.items() for x in kv])[F.regexp_replace(F.lower(F.trim(value)), r"\.$", "")]
+
+
+#: Types that a thing may have to be the value of a property that is searched for by name.
+PLACES = {"P19": ("city", "country"), "P20": ("city", "country"), "P1444": ("city", "country"), "P27": ("country",), "P106": ("profession",)}
+
+
+def searched(rows: DataFrame, things: DataFrame, nationalities: DataFrame) -> DataFrame:
+    """property, value and id of distinct rows (property, value) whose property is one of PLACES, as far as things (label, id, type) name them: a nationality by its country
+    (adjective, country), a profession by the first of its parts between slashes that exactly one thing has, others by the least id."""
+    want = rows.select("property", "value").where(F.col("property").isin(*PLACES) & F.col("value").isNotNull()).distinct()
+    each = want.select("property", "value", F.posexplode(F.when(F.col("property") == "P106", F.split("value", "/")).otherwise(F.array("value"))).alias("part", "term"))
+    known = nationalities.groupBy(F.lower("adjective").alias("term")).agg(F.min("country").alias("country"))
+    each = each.withColumn("term", F.lower(F.trim("term"))).join(known, "term", "left")
+    each = each.withColumn("term", F.when(F.col("property") == "P27", F.lower("country")).otherwise(F.col("term")))
+    types = F.create_map(*[x for p, kinds in PLACES.items() for x in (F.lit(p), F.array(*[F.lit(k) for k in kinds]))])
+    met = each.join(things.select(F.lower("label").alias("term"), "id", "type").distinct(), "term").where(F.array_contains(types[F.col("property")], F.col("type")))
+    by = met.groupBy("property", "value", "part").agg(F.min("id").alias("id"), F.countDistinct("id").alias("_n")).where("property <> 'P106' or _n = 1")
+    return by.groupBy("property", "value").agg(F.min_by("id", "part").alias("id"))
 
 
 def resolve(property_: Column, value: Column) -> Column:
@@ -82,15 +112,28 @@ def qualifiers(rows: DataFrame, key: str, kind: Column, value: Column) -> DataFr
     return each.groupBy(key, "property").agg(F.array_join(F.sort_array(F.collect_set("_v")), "|").alias("values"))
 
 
+DATES = ("P569", "P570")
+
+
 def disambiguate(people: DataFrame, claims: DataFrame, kb: DataFrame, weights: dict[str, float]) -> DataFrame:
-    """The candidate of each person's name with the largest weight of equal claims, at least 1; ties go to the least entity. people (person, name),
+    """Dates are equal where all parts that both have are. A person without claims is the least entity of the name, with score 0. The candidate of each person's name with the largest weight of equal claims, at least 1; ties go to the least entity. people (person, name),
     claims (person, property, value), kb (entity, label, property, value)."""
     labels = kb.select("entity", F.lower("label").alias("_name")).distinct()
     found = people.withColumn("_name", F.lower("name")).join(labels, "_name").select("person", "entity")
     weight = F.create_map(*[F.lit(x) for kv in weights.items() for x in kv])
-    met = found.join(claims, "person").join(kb.select("entity", "property", "value").distinct(), ["entity", "property", "value"])
+    claims, facts = claims.select("person", "property", "value").distinct(), kb.select("entity", "property", "value").distinct()
+    dated = F.col("property").isin(*DATES)
+    met = found.join(claims.where(~dated), "person").join(facts.where(~dated), ["entity", "property", "value"]).select("person", "entity", "property")
+    a, b = parse_date("value"), parse_date("_value")
+    same = F.lit(True)
+    for part in ("year", "month", "day"):
+        same = same & F.coalesce(a[part] == b[part], F.lit(True))
+    close = found.join(claims.where(dated), "person").join(facts.where(dated).withColumnRenamed("value", "_value"), ["entity", "property"])
+    met = met.unionByName(close.where(a.isNotNull() & b.isNotNull() & same).select("person", "entity", "property"))
     scored = met.groupBy("person", "entity").agg(F.sum(F.coalesce(weight[F.col("property")], F.lit(1.0))).alias("score")).where("score >= 1")
-    return scored.withColumn("_n", F.row_number().over(W.partitionBy("person").orderBy(F.desc("score"), "entity"))).where("_n = 1").drop("_n")
+    best = scored.withColumn("_n", F.row_number().over(W.partitionBy("person").orderBy(F.desc("score"), "entity"))).where("_n = 1").drop("_n")
+    alone = found.join(claims.select("person").distinct(), "person", "left_anti").groupBy("person").agg(F.min("entity").alias("entity"))
+    return best.unionByName(alone.select("person", "entity", F.lit(0.0).alias("score")))
 
 
 def single_hits(searches: DataFrame, key: str, position: str, hit: str) -> DataFrame:

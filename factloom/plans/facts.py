@@ -236,3 +236,26 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)"""
 def window_features(spark: SparkSession, d: str) -> DataFrame:
     rows = learning.window_features(table(spark, d, "events").withColumnRenamed("event_type", "type"), ["user_id"], "event_id", 1, ("type",))
     return rows.select("user_id", "event_id", F.array_join("features", " ").alias("features"))
+
+
+_WANT = """(SELECT DISTINCT CASE c_custkey % 3 WHEN 0 THEN 'P19' WHEN 1 THEN 'P27' ELSE 'P106' END AS property,
+CASE c_custkey % 3 WHEN 0 THEN n_name WHEN 1 THEN lower(n_name) || 'ish' ELSE 'BUILDING/' || c_mktsegment END AS value, n_nationkey, c_mktsegment FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
+
+
+@query(
+    f"""SELECT DISTINCT property, value, CASE WHEN property = 'P106' THEN 'O' || c_mktsegment ELSE 'Q' || n_nationkey END AS id FROM {_WANT} WHERE property <> 'P106' OR c_mktsegment <> 'BUILDING'"""
+)
+def searched_values(spark: SparkSession, d: str) -> DataFrame:
+    """Places, nationalities and professions found by name; BUILDING names two things, so it is no profession."""
+    nation, customer = table(spark, d, "nation"), table(spark, d, "customer")
+    want = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    kind = F.col("c_custkey") % 3
+    rows = want.select(
+        F.when(kind == 0, "P19").when(kind == 1, "P27").otherwise("P106").alias("property"),
+        F.when(kind == 0, F.col("n_name")).when(kind == 1, F.concat(F.lower("n_name"), F.lit("ish"))).otherwise(F.concat(F.lit("BUILDING/"), F.col("c_mktsegment"))).alias("value"),
+    )
+    places = nation.select(F.col("n_name").alias("label"), F.concat(F.lit("Q"), F.col("n_nationkey").cast("string")).alias("id"), F.lit("country").alias("type"))
+    jobs = customer.select(F.col("c_mktsegment").alias("label"), F.concat(F.lit("O"), F.col("c_mktsegment")).alias("id"), F.lit("profession").alias("type")).distinct()
+    twice = spark.createDataFrame([("building", "O2", "profession")], "label string, id string, type string")
+    nationalities = nation.select(F.concat(F.lower("n_name"), F.lit("ish")).alias("adjective"), F.col("n_name").alias("country"))
+    return statements.searched(rows, places.unionByName(jobs).unionByName(twice), nationalities)

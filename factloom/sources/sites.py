@@ -63,6 +63,19 @@ def key_values(keys: list[str], values: list[str]) -> dict[str, str]:
     return {k.strip().lower().rstrip(":"): v.strip() for k, v in zip(keys, values, strict=False)}
 
 
+#: A line that begins a person's entry: a name, and years that may be missing or before Christ.
+YEARS = re.compile(r"^\s*(?P<name>[^()\d]+?)\s*\((?P<bc>b\.?\s*c\.?)?\s*(?P<birth>\d{1,4})?\s*[-–]\s*(?P<death>\d{1,4})?\s*(?P<bc2>b\.?\s*c\.?)?\)", re.IGNORECASE)
+
+
+def header_years(line: str) -> dict | None:
+    """name, birth and death of a header line; years before Christ are negative; None for other lines."""
+    m = YEARS.match(line)
+    if not m:
+        return None
+    sign = -1 if m["bc"] or m["bc2"] else 1
+    return {"name": m["name"].strip(" .,"), "birth": str(sign * int(m["birth"])) if m["birth"] else None, "death": str(sign * int(m["death"])) if m["death"] else None}
+
+
 def many(page: str, header: str) -> list[dict]:
     """Items of a page on which headers begin them: name and the text up to the next header."""
     parts = re.split(rf"(<{header}[^>]*>.*?</{header}>)", page, flags=re.S)

@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from factloom.functions import dates, filters
-from factloom.operators import labelling, linking, ranking
+from factloom.functions import text as T
+from factloom.operators import extraction, joins, labelling, learning, linking, ranking, statements
 from factloom.plans import flow
-from factloom.sources import html
+from factloom.sources import html, sites
 
 PERSON, GAME = "http://dbpedia.org/ontology/Person", "http://dbpedia.org/ontology/Competition"
 SENTENCE = "id long, name string, url string, text string, tagged array<struct<word:string,pos:string,lemma:string>>, linked array<struct<chunk:string,start:int,end:int,uri:string,confidence:double,types:array<string>>>"
@@ -89,3 +90,91 @@ def test_lemma_scores(spark):
     units = spark.createDataFrame([("x.v", "F1"), ("x.n", "F2"), ("q.v", "F3")], "lu string, frame string")
     ranked = ranking.frame_ranking(spark.createDataFrame([("x", 0.5), ("z", 0.9)], "lemma string, score double"), units).collect()
     assert [tuple(r) for r in ranked] == [("x", 0.5, "x.n x.v", "F1 F2")]
+
+
+def test_language_sentences(spark):
+    one = lambda c: spark.range(1).select(c).first()[0]
+    assert one(T.language_sentences(F.lit('Dr. A. B. Cole met Mr. Doe. "Was it so?" Yes! It was... Then they left.\nEnd'))) == ["Dr. A. B. Cole met Mr. Doe.", '"Was it so?"', "Yes!", "It was...", "Then they left.", "End"]
+    assert one(T.language_sentences(F.lit("Er kam z.B. heute. Dann ging er."), "de")) == ["Er kam z.B. heute.", "Dann ging er."]
+    assert one(T.language_sentences(F.lit("Mr. X. Y"), "xx")) == ["Mr.", "X. Y"] and one(T.language_sentences(F.lit(" "))) == []
+    assert one(T.token_sentences(F.array(*[F.lit(x) for x in "a b . c ! d".split()]))) == [["a", "b", "."], ["c", "!"], ["d"]]
+    assert one(T.token_sentences(F.array().cast("array<string>"))) == [] and one(T.spaced(F.lit("a_b_c"))) == "a b c"
+
+
+def test_extract_strategies(spark):
+    docs = spark.createDataFrame([(1, "u1", "n1", "He was running home. They are here, and it was late."), (2, "u2", "n2", "Nothing.")], "doc_id long, url string, name string, text string")
+    units = spark.createDataFrame([("be", "was", "V"), ("be", "are", "V"), ("run", "running", "V")], "lemma string, token string, pos string")
+    got = {s: sorted((r.id, r.url, r.name, r.lu, r.text) for r in extraction.extract(docs, units, s).collect()) for s in ("n2n", "121", "grammar", "syntactic")}
+    assert [x[0] for x in got["n2n"]] == [0, 1, 2, 3] and len(got["121"]) == 2 and all(x[1:3] == ("u1", "n1") for rows in got.values() for x in rows)
+    assert [x[3:] for x in got["syntactic"]] == [("be", "They are here"), ("be", "and it was late.")]
+    assert all(x[4] in "He was running home. They are here, and it was late." for x in got["grammar"])
+    with pytest.raises(ValueError, match="no strategy"):
+        extraction.extract(docs, units, "other")
+
+
+def test_linked_entities(spark):
+    docs = spark.createDataFrame([(1, "In New  York, the City."), (2, None)], "doc_id long, text string")
+    names = spark.createDataFrame([("new york", "E1"), ("city", "E2")], "alias string, entity string")
+    things = spark.createDataFrame([("E1", "http://ny", ["Place"], ["NYC"])], "entity string, uri string, types array<string>, alternate_names array<string>")
+    got = {r.doc_id: r.linked for r in linking.linked_entities(docs, names, things).collect()}
+    assert [(x.chunk, x.start, x.end, x.uri, x.types, x.alternate_names) for x in got[1]] == [("New  York", 3, 12, "http://ny", ["Place"], ["NYC"]), ("City", 18, 22, None, None, None)] and got[2] == []
+
+
+def test_bank_and_elements(spark):
+    rows = [(i, i % 2, [float(i % 3 == 0), float(i % 3 == 1), float(i % 3 == 2)], "abO"[i % 3]) for i in range(90)]
+    df = spark.createDataFrame(rows, "id long, unit int, v array<double>, y string")
+    models = learning.fit_bank(df.where("id < 60"), "unit", "v", "y", "id")
+    got = learning.predict_bank(df.where("id >= 60").unionByName(spark.createDataFrame([(99, 7, [1.0, 0.0, 0.0], "a")], df.schema)), models, "unit", "v").collect()
+    assert all(r.predicted == (r.y if r.unit < 2 else None) for r in got) and len(got) == 31
+    few = learning.fit_bank(df, "unit", "v", "y", "id", fit_rows=20)
+    assert few.count() == 2
+    chunks = spark.createDataFrame([(1, 0, "x", "a"), (1, 1, "y", "O"), (1, 2, "z", "b"), (2, 0, "w", "O")], "s int, p int, c string, predicted string")
+    assert [(r.s, [tuple(x) for x in r.fes]) for r in learning.to_elements(chunks, "s", "p", "c").collect()] == [(1, [("a", "x"), ("b", "z")])]
+
+
+def test_contained_and_last(spark):
+    rows = spark.createDataFrame([(1, list("abcab"), list("ab")), (2, list("abc"), list("cb")), (3, list("a"), list("ab")), (4, list("a"), [])], "id int, s array<string>, p array<string>")
+    assert {r.id: r.position for r in joins.contained(rows, "s", "p").collect()} == {1: 0, 2: None, 3: None, 4: None}
+    e = spark.createDataFrame([(1, "x"), (1, "y")], "id int, chunk string")
+    linked = spark.createDataFrame([(1, "x", 0, "u0"), (1, "x", 5, "u5")], "id int, chunk string, start int, uri string")
+    assert {r.chunk: r.link and r.link.uri for r in joins.last_of_chunk(e, linked, "id", "chunk", "start").collect()} == {"x": "u5", "y": None}
+    index = spark.createDataFrame([("Paris", ["city"])], "chunk string, features array<string>")
+    tokens = spark.createDataFrame([("paris",), ("x",)], "token string")
+    assert {r.token: r.gazetteer for r in learning.gazetteer_features(tokens, index).collect()} == {"paris": "city", "x": None}
+
+
+def test_resolvers(spark):
+    rows = spark.createDataFrame([("P569", "c. 3 March 1920"), ("P569", "1920-04"), ("P570", "unknown"), ("P1035", "Dr."), ("P40", "x")], "p string, v string")
+    got = [r[0] for r in rows.select(statements.resolve(F.col("p"), F.col("v"))).collect()]
+    assert got == ["+00000001920-03-03T00:00:00Z/11", "+00000001920-04-00T00:00:00Z/10", None, "Q4618975", None]
+    people = spark.createDataFrame([("a", "Jo"), ("b", "Jo"), ("c", "No")], "person string, name string")
+    day = "+00000001920-03-03T00:00:00Z/11"
+    claims = spark.createDataFrame([("a", "P569", day), ("a", "P21", "m")], "person string, property string, value string")
+    kb = spark.createDataFrame([("E1", "jo", "P569", "+00000001920-00-00T00:00:00Z/9"), ("E0", "jo", "P569", "+00000001921-00-00T00:00:00Z/9"), ("E0", "jo", "P21", "m")], "entity string, label string, property string, value string")
+    assert {r.person: (r.entity, r.score) for r in statements.disambiguate(people, claims, kb, {"P21": 0.5}).collect()} == {"a": ("E1", 1.0), "b": ("E0", 0.0)}
+
+
+def test_header_years():
+    assert sites.header_years("Epicurus (b.c. 341-270) was") == {"name": "Epicurus", "birth": "-341", "death": "-270"}
+    assert sites.header_years("Jo Doe (1820- )") == {"name": "Jo Doe", "birth": "1820", "death": None} and sites.header_years("No years") is None
+
+
+def test_learning_queries(spark, data):
+    """Queries without SQL: classifiers predict rows they haven't seen better than chance, taggers give what the function gives."""
+    from factloom.operators import tagging
+    from factloom.plans import registry
+
+    q = registry.queries()
+    rows = q["svm_per_group"](spark, data).collect()
+    labels = {r.label for r in rows}
+    assert len(rows) > 20 and all(r.predicted in labels for r in rows)
+    assert {r.model for r in q["grid_search"](spark, data).collect()} == {"LinearSVC", "SVC", "RandomForest", "KNN"}
+    texts = [r.text for r in spark.read.parquet(f"{data}/documents.parquet").select("text").collect()]
+    want: dict[str, int] = {}
+    for t in texts:
+        for _, pos, lemma in tagging.tag(t or ""):
+            if pos.startswith("V"):
+                want[lemma] = want.get(lemma, 0) + 1
+    assert {r.lemma: r.n for r in q["pos_tagged_verbs"](spark, data).collect()} == want and want
+    assert q["grammar_chunks"](spark, data).where("not contains(concat(' ', lower(chunk), ' '), concat(' ', token, ' '))").count() == 0
+    assert q["clause_extract"](spark, data).where("length(clause) < 5 or lemma is null").count() == 0 and q["clause_extract"](spark, data).count() > 0
