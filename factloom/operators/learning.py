@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from factloom.operators.sampling import hash_fraction
-from factloom.session import shared_dir, sized
+from factloom.session import shared_path, sized
 
 #: Queries in a file, queries and rows compared at once: ROWS x QUERIES distances are 160 MB.
 BLOCK, QUERIES, ROWS = 4096, 1024, 20_000
@@ -26,8 +25,7 @@ def knn(queries: DataFrame, base: DataFrame, k: int, key: str = "vec_id", vector
     """Exact k nearest rows of base to each query by Euclidean distance, and the most frequent label of them. Queries are written to the shared folder in files
     of BLOCK rows; each task reads them file by file for every ROWS of its rows, and keeps the rows that can be among the k by (distance rounded to 6
     digits, key). So neither driver nor task holds all queries."""
-    spark = base.sparkSession
-    folder = f"{shared_dir(spark)}/factloom-queries-{uuid.uuid4().hex}"
+    folder = shared_path(base.sparkSession, "queries")
     queries.select(F.col(key).cast("long").alias(key), F.col(vector).cast("array<double>").alias(vector)).write.option("maxRecordsPerFile", BLOCK).parquet(folder)
     near = base.select(F.col(key).cast("long"), F.col(vector).cast("array<double>"), F.col(label).cast("int")).mapInArrow(_nearest(folder, k), "query long, other long, found int, distance double")
     best = near.withColumn("_n", F.row_number().over(W.partitionBy("query").orderBy(F.round("distance", 6), "other"))).where(F.col("_n") <= k)

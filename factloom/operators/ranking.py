@@ -7,7 +7,6 @@ sums, not documents' terms. A document is a row.
 from __future__ import annotations
 
 import pickle
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from factloom.functions.text import tokens
-from factloom.session import shared_dir
+from factloom.session import shared_path
 
 #: Up to so many terms every task holds the table of their weights; beyond that documents' terms meet it in a join.
 HELD_TERMS = 2_000_000
@@ -97,7 +96,7 @@ def _sums(docs: DataFrame, held: int) -> tuple[DataFrame, int]:
     if len(table) > held:
         each = tfidf(docs).groupBy("term")
         return each.agg(F.count("*").alias("df"), F.sum("tf").alias("n"), F.sum("score").alias("s"), F.sum(F.col("score") * F.col("score")).alias("q")), n
-    path = f"{shared_dir(docs.sparkSession)}/factloom-terms-{uuid.uuid4().hex}"
+    path = shared_path(docs.sparkSession, "terms")
     fs, at = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
     fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
     with fs.open_output_stream(at, compression=None) as f:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -70,6 +72,28 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder, removed when the driver's Python ends."""
+    path = f"{shared_dir(spark)}/factloom-{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # noqa: BLE001 - the session may have ended first
+        pass
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder: worked out once, and not lost with an executor."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents, for queries that work on their texts."""
     return spread(table(spark, sf_dir, "documents"))
