@@ -22,6 +22,8 @@ from factloom.llm.shared import written
 WORD = r"[^\x20\x09-\x0D]+"
 EPOCHS = 3
 _KEY_BITS = 60
+#: Cells of finish times that are added up in one group.
+CELLS = 4096
 
 
 def words_in(text: str) -> Column:
@@ -29,10 +31,11 @@ def words_in(text: str) -> Column:
 
 
 def keyed(docs: DataFrame, seed: str) -> DataFrame:
-    """docs with the size of each text, its source as a key that isn't null, and its shuffle key."""
-    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f"#{seed}"))
+    """docs with the size of each text, its source as a key that isn't null, and its shuffle key. Sizes are part of the key, so that rows without an id
+    don't all have one."""
+    docs = docs.withColumn("_size", words_in("text"))
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("#"), F.col("_size").cast("string"), F.lit(f"#{seed}"))
     return docs.withColumns({
-        "_size": words_in("text"),
         "_source": F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("m"), "source")),
         "_key": F.conv(F.substring(F.md5(name), 1, _KEY_BITS // 4), 16, 10).cast("long"),
     })
@@ -98,6 +101,13 @@ def finish(epoch: int | Column) -> Column:
     return F.when(F.col("_target") > 0, (epoch * F.col("_words") + F.col("_upto")) / F.col("_target")).otherwise(F.lit(0.0))
 
 
+def _over(sums: DataFrame, by: str, start: int, budget: int) -> tuple[int | None, int]:
+    """The first of the sums at which they pass the budget, from a start, and what they come to before it."""
+    upto = W.orderBy(by).rowsBetween(W.unboundedPreceding, 0)
+    found = sums.withColumn("_upto", F.sum("_sum").over(upto) + start).where(F.col("_upto") > budget).orderBy(by).select(by, "_sum", "_upto").first()
+    return (None, start) if found is None else (found[0], found[2] - found[1])
+
+
 def plan(narrow: DataFrame, weights: Sequence[int], bin_rows: int) -> tuple[Mix, DataFrame]:
     """The mix of rows (doc_id, _size, _source, _key), and those rows with their finish times, written."""
     sources = written(targets(narrow, weights), "mix-sources")
@@ -113,11 +123,11 @@ def plan(narrow: DataFrame, weights: Sequence[int], bin_rows: int) -> tuple[Mix,
     copies = copies.withColumn("_finish", finish(F.col("_epoch")))
     spread = F.when(F.col("_finish") <= 1, F.col("_finish")).otherwise(1 + F.log("_finish"))  # no more cells, however late the last copy
     copies = copies.withColumn("_cell", F.floor(spread * cells))
-    upto = W.orderBy("_cell").rowsBetween(W.unboundedPreceding, 0)
-    by_cell = copies.groupBy("_cell").agg(F.sum("_size").alias("_sum")).withColumn("_upto_cell", F.sum("_sum").over(upto))
-    over = by_cell.where(F.col("_upto_cell") > budget).orderBy("_cell").limit(1).collect()
-    if over:
-        cell, start = over[0]["_cell"], over[0]["_upto_cell"] - over[0]["_sum"]
+    by_cell = written(copies.groupBy("_cell").agg(F.sum("_size").alias("_sum")), "mix-cells").withColumn("_group", F.floor(F.col("_cell") / CELLS))
+    # The group of cells that passes the budget first, and in it the cell: no window holds more than the groups, or the cells of one.
+    group, start = _over(by_cell.groupBy("_group").agg(F.sum("_sum").alias("_sum")), "_group", 0, budget)
+    if group is not None:
+        cell, start = _over(by_cell.where(F.col("_group") == group), "_cell", start, budget)
         line = W.orderBy("_finish", "_key", "_epoch").rowsBetween(W.unboundedPreceding, 0)
         last = copies.where(F.col("_cell") == cell).withColumn("_line", F.sum("_size").over(line))
         first = last.where(F.col("_line") + start > budget).orderBy("_finish", "_key", "_epoch").select("_finish", "_key", "_epoch").first()
@@ -129,7 +139,7 @@ def source_mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), seed: str =
     """One row for each row of docs: doc_id, size, source_size, target and taken (words the mix takes of it).
 
     A null text has no words and is never taken; a null source is a source of its own, the last; a null doc_id is an id like another.
-    Equal doc_ids follow each other in the shuffle, smaller sizes first; equal rows are interchangeable. A source without words has
+    Rows of one doc_id and size follow each other in the shuffle; equal rows are interchangeable. A text of any length counts whole. A source without words has
     target 0. An empty table gives an empty result. Other columns are ignored. Reruns give the same result.
     """
     narrow = written(keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text"), seed).select("doc_id", "_size", "_source", "_key"), "mix-sizes")
@@ -155,7 +165,7 @@ def mixed(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), seed: str = "mix"
 SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '#mix'), 1, 15) AS BIGINT) AS k
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '#' || size || '#mix'), 1, 15) AS BIGINT) AS k
   FROM documents),
 by_source AS (
   SELECT source, CAST(sum(size) AS DOUBLE) AS words,
