@@ -114,42 +114,68 @@ def test_patience():
     for _ in range(200):
         a, b = ([rnd.randint(1, 9) for _ in range(rnd.randint(0, 14))] for _ in range(2))
         pairs = L.patience(a, b)
+        assert pairs == plain_patience(a, b)
         assert all(a[i] == b[j] for i, j in pairs)
         assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:], strict=False))
     longest = L.longest_increasing([5, 1, 4, 2, 3])
     assert [[5, 1, 4, 2, 3][i] for i in longest] == [1, 2, 3]
 
 
+def plain_patience(a: list, b: list, i0: int = 0, j0: int = 0) -> list[tuple[int, int]]:
+    """Patience diff written anew: equal ends, then lines unique in both along the piles of patience sorting, then the sections between them."""
+    head = next((k for k in range(min(len(a), len(b))) if a[k] != b[k]), min(len(a), len(b)))
+    tail = next((k for k in range(min(len(a), len(b)) - head) if a[-1 - k] != b[-1 - k]), min(len(a), len(b)) - head)
+    out = [(i0 + k, j0 + k) for k in range(head)] + [(i0 + len(a) - 1 - k, j0 + len(b) - 1 - k) for k in range(tail)]
+    x, y = a[head : len(a) - tail], b[head : len(b) - tail]
+    piles: list[list[tuple]] = []
+    for j, line in enumerate(y):
+        if x.count(line) == 1 and y.count(line) == 1:
+            i = x.index(line)
+            k = next((k for k, pile in enumerate(piles) if pile[-1][0] > i), len(piles))
+            if k == len(piles):
+                piles.append([])
+            piles[k].append((i, j, piles[k - 1][-1] if k else None))
+    chain, card = [], piles[-1][-1] if piles else None
+    while card:
+        chain.append(card[:2])
+        card = card[2]
+    if chain:
+        at = (0, 0)
+        for i, j in [*reversed(chain), (len(x), len(y))]:
+            out += plain_patience(x[at[0] : i], y[at[1] : j], i0 + head + at[0], j0 + head + at[1])
+            if i < len(x):
+                out.append((i0 + head + i, j0 + head + j))
+            at = (i + 1, j + 1)
+    return sorted(out)
+
+
 def brute_dedup(rows: list[tuple], least: int) -> dict:
-    """Each document against the first holder of each of its lines, whole sequences aligned by the same diff."""
-    lined = [(d, [x.strip(" \t\r\x0b\x0c") for x in (t or "").split("\n")]) for d, t in rows]
-    key = lambda d: (d is None, d or 0)
-    order = sorted(range(len(lined)), key=lambda i: key(lined[i][0]))
-    first_text, first_line, out = {}, {}, {}
+    """Each document against every earlier one that shares a line with it, whole sequences aligned by the test's own diff."""
+    lined = [(d, [x for x in (y.strip(" \t\r\x0b\x0c") for y in (t or "").split("\n")) if x]) for d, t in rows]
+    order = sorted(range(len(lined)), key=lambda i: (lined[i][0] is None, lined[i][0] or 0))
+    first, out = {}, {}
     for i in order:
-        d, lines = lined[i]
-        body = tuple(x for x in lines if x)
+        d, body = lined[i]
         if not body:
             out[i] = 0
             continue
-        if body in first_text:
-            out[i] = len(body) if lined[first_text[body]][0] != d else 0
+        if tuple(body) in first:
+            out[i] = len(body) if lined[first[tuple(body)]][0] != d else 0
             continue
-        first_text[body] = i
         gone = set()
-        for j in {first_line[x] for x in body if x in first_line}:
-            other = [x for x in lined[j][1] if x]
-            pairs, block, last = L.patience(other, list(body)), [], (-2, -2)
-            for p in [*pairs, (-9, -9)]:
-                if p != (last[0] + 1, last[1] + 1):
+        for other, j in first.items():
+            if lined[j][0] == d or not set(other) & set(body):
+                continue
+            pairs, block, last = plain_patience(list(other), body), [], None
+            for p in [*pairs, None]:
+                if p is None or last is None or p != (last[0] + 1, last[1] + 1):
                     if sum(len(WORD.findall(body[k])) for k in block) >= least:
                         gone |= set(block)
                     block = []
-                if p[1] >= 0:
+                if p:
                     block.append(p[1])
                 last = p
-        for x in set(body):
-            first_line.setdefault(x, i)
+        first[tuple(body)] = i
         out[i] = len(gone)
     return out
 
