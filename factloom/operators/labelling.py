@@ -41,7 +41,7 @@ def candidates(sentences: DataFrame, lexicon: DataFrame) -> DataFrame:
     """id, position, lu and frame of tags whose lemma is a unit with typed elements and whose part of speech begins with the unit's."""
     units = lexicon.where("class is not null").select("lu", "frame", F.col("pos").alias("_pos")).distinct()
     tags = sentences.select("id", F.posexplode("tagged").alias("position", "tag"))
-    return tags.join(sized(units), F.col("tag.lemma") == F.col("lu")).where(F.col("tag.pos").startswith(F.coalesce("_pos", F.lit("")))).select("id", "position", "lu", "frame")
+    return tags.join(sized(units, of=lexicon), F.col("tag.lemma") == F.col("lu")).where(F.col("tag.pos").startswith(F.coalesce("_pos", F.lit("")))).select("id", "position", "lu", "frame")
 
 
 def assigned(sentences: DataFrame, found: DataFrame, lexicon: DataFrame, stopwords: list[str]) -> DataFrame:
@@ -52,7 +52,7 @@ def assigned(sentences: DataFrame, found: DataFrame, lexicon: DataFrame, stopwor
     entities = entities.where(~stop & (F.size("entity.types") > 0)).withColumn("order", F.struct(-F.size("entity.types"), "entity_no"))
     classes = lexicon.where("class is not null").groupBy("lu", "class").agg(F.min(F.struct((~F.col("core")).alias("extra"), "fe")).alias("best"))
     each = found.join(entities, "id").select("*", F.posexplode("entity.types").alias("type_no", "uri"))
-    met = each.withColumn("class", type_class(F.col("uri"))).join(sized(classes), ["lu", "class"])
+    met = each.withColumn("class", type_class(F.col("uri"))).join(sized(classes, of=lexicon), ["lu", "class"])
     first = met.groupBy("id", "position", "order").agg(F.min_by(F.struct("best", "entity"), "type_no").alias("x"))
     return first.select("id", "position", "order", _entity(F.col("x.entity"), F.col("x.best.fe"), ~F.col("x.best.extra")).alias("fe"))
 

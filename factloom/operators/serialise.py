@@ -51,11 +51,11 @@ def serialise(labelled: DataFrame, lexicon: DataFrame, names: DataFrame, pages:
     """
     rows = labelled.select("id", "lu", "name", "url", "text", F.posexplode("fes").alias("fe_no", "fe"))
     rows = _mapped(rows, lexicon)
-    rows = kb.items_of_urls(rows.withColumn("link", F.col("fe.uri")), pages.select("title", F.col("id").alias("page_id")), "link").drop("link", "title")
-    known = first_hits(names)
+    rows = kb.items_of_urls(rows.withColumn("link", F.col("fe.uri")), sized(pages.select("title", F.col("id").alias("page_id"))), "link").drop("link", "title")
+    known = sized(first_hits(names), of=names)
     core = rows.where(F.coalesce("core", F.lit(False))).select("id", F.col("fe.chunk").alias("chunk")).distinct()
     core = core.withColumn("_name", fix_name("chunk")).join(known, "_name", "left").select("id", "chunk", "subject")
-    other = labelled.select("id", "name", "url").join(core.select("id").distinct(), "id", "left_anti").join(known_urls.select("url", F.col("subject").alias("_known")), "url", "left")
+    other = labelled.select("id", "name", "url").join(core.select("id").distinct(), "id", "left_anti").join(sized(known_urls.select("url", F.col("subject").alias("_known"))), "url", "left")
     other = other.withColumn("_name", fix_name("name")).join(known, "_name", "left")
     other = other.select("id", F.when(F.col("_known").isNull(), F.col("name")).alias("chunk"), F.coalesce("_known", "subject").alias("subject"))
     subjects = core.unionByName(other)
@@ -84,7 +84,7 @@ def serialise(labelled: DataFrame, lexicon: DataFrame, names: DataFrame, pages:
 def _mapped(rows: DataFrame, lexicon: DataFrame) -> DataFrame:
     """rows with the property, core, types and qualifiers of their unit and element; null where there are none."""
     known = mapping(lexicon).withColumnsRenamed({"lu": "_lu", "fe": "_fe"})
-    return rows.withColumns({"_lu": F.element_at(F.split("lu", r"\."), 1), "_fe": F.col("fe.fe")}).join(sized(known), ["_lu", "_fe"], "left").drop("_lu", "_fe")
+    return rows.withColumns({"_lu": F.element_at(F.split("lu", r"\."), 1), "_fe": F.col("fe.fe")}).join(sized(known, of=lexicon), ["_lu", "_fe"], "left").drop("_lu", "_fe")
 
 
 def url_subjects(rows: DataFrame, url: str = "url", subject: str = "subject") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from factloom.operators import labelling, serialise
 from factloom.plans.base import query
-from factloom.session import table, written
+from factloom.session import spread, table, written
 
 _ONTOLOGY = "http://dbpedia.org/ontology/"
 #: lu, frame, pos, fe, core, class, property, qualifiers.
@@ -53,7 +53,7 @@ def label_sentences(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _serialised(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    labelled = written(labelling.label(_sentences(spark, d), _lexicon(spark)), "labelled")
+    labelled = spread(written(labelling.label(_sentences(spark, d), _lexicon(spark)), "labelled"))
     people = [("Alice", "Q10"), ("ALICE", "Q11"), *[(f"Name {n}", f"Q8{n}") for n in range(25)]]
     names = spark.createDataFrame(people, "label string, id string")
     pages = spark.createDataFrame([("Bob", "Q77")], "title string, id string")

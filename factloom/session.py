@@ -48,9 +48,10 @@ def local_session(cpus: int | str = "*", partitions: int = 8, name: str = "factl
     return spark
 
 
-def sized(df: DataFrame, most: int = 200_000) -> DataFrame:
-    """df, to be broadcast if it has at most `most` rows: they are counted, up to one more. Else Spark joins it as it finds best."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def sized(df: DataFrame, most: int = 200_000, of: DataFrame | None = None) -> DataFrame:
+    """df, to be broadcast if it has at most `most` rows: they are counted, up to one more. Else Spark joins it as it finds best. of: a table with as many rows
+    or more that is counted in its place, where df would have to be worked out first."""
+    return F.broadcast(df) if (df if of is None else of).limit(most + 1).count() <= most else df
 
 
 def spread(df: DataFrame, most: int = 32 << 20) -> DataFrame:
