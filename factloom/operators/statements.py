@@ -47,10 +47,10 @@ def date(value: Column) -> Column:
     return F.when(full != "", format_date(part(1), part(2), part(3))).otherwise(format_date(other["year"], other["month"], other["day"]))
 
 
-HONORIFICS = {
-    "prof": "Q121594", "dr": "Q4618975", "phd": "Q4618975", "bishop": "Q611644", "st": "Q43115", "hon": "Q2746176", "rev": "Q42603", "miss": "Q13359947", "mrs": "Q313549", "mister": "Q177053",
-    "mr": "Q177053", "sir": "Q209690",
+_TITLES = {
+    "Q209690": "sir", "Q177053": "mr mister", "Q313549": "mrs", "Q13359947": "miss", "Q42603": "rev", "Q43115": "st", "Q611644": "bishop archbishop", "Q4618975": "phd dr", "Q2746176": "hon", "Q121594": "prof",
 }
+HONORIFICS = {word: item for item, words in _TITLES.items() for word in words.split()}
 
 
 @resolver("P1035")
