@@ -1,13 +1,18 @@
 """N-gram Jaccard join: a blocked sparse matrix product of documents by n-grams.
 
-1. Equal sets of n-grams form a class; only classes are compared, copies are counted.
+1. Equal sets of n-grams form a class; only classes are compared, copies are counted. Classes that look like near copies form nodes of about
+   BLOCK classes, by the two smallest hashes of their first members; any other class is a node by itself. A node only says which classes are
+   compared together, so a family of k near copies takes about (k / BLOCK)^2 / 2 pairs of nodes and not k^2 / 2 rows.
 2. N-grams are ordered from rare to common by bounded tables of counts over all documents (any fixed order gives right results;
    a good one makes them cheap). Sets of sizes a, b that link share at least o = ceil(3 (a + b) / 8) members (for a threshold of
    60 %), hence at least min(p_a - a + o, p_b - b + o) among their first p members. Each class sends its first
    p = n - ceil(0.6 n) + 1 members to the column block of the product that holds them; a block multiplies its part of the matrix
-   with its transpose by runs of equal n-grams, skips pairs whose sizes rule a link out, and adds up overlaps before they leave it.
-   Pairs with fewer common members than that bound are discarded.
-3. What is left is multiplied out exactly, in blocks of at most 2 x BLOCK classes with their whole sets.
+   of nodes with its transpose by runs of equal n-grams, skips pairs whose sizes rule a link out, and adds up overlaps before they leave it.
+   What two nodes share bounds what any of their classes share. A block keeps counts too small to matter to itself (see dropped), and pairs
+   of nodes whose other counts stay below what the bound leaves (see least_kept) are discarded. So are pairs of single classes of which
+   sketches, a bit for some members each, show that too many members differ.
+3. What is left, and each node with itself, is multiplied out exactly, in blocks of a few times BLOCK classes with their whole sets. A block
+   gives each class its number of links and one edge to its component there, in place of all links.
 No pair is dropped for any other reason: no cap on partners, candidates or the length of a run.
 """
 
@@ -18,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -31,6 +36,8 @@ TOP_WORDS, TOP_GRAMS = 1 << 18, 1 << 19
 #: Words counted at once, and the counts from which such a batch reports a word or n-gram.
 COUNT_WORDS, LEAST = 2_000_000, 3
 BLOCK = 128
+#: The level from which a member is one of many texts, here 16 (see Order.sets), and the ratio of sizes within a node.
+FREQUENT, NODE_SIZES = 80, 1.25
 #: Edges from which components are found by Spark instead of on the driver.
 DRIVER_EDGES = 4_000_000
 SLOTS = 1 << 22
@@ -187,29 +194,100 @@ def signature(keys: np.ndarray) -> int:
     return int(mix(np.array([total], U))[0] >> U(1))
 
 
-def _names(n: int):  # noqa: ANN202
+def family(own: np.ndarray, percent: int) -> int:
+    """A name that near copies mostly share: of the two smallest hashes of a set's first members, those of many texts if there are such, and
+    of about its size; 0 for none. Any name gives right results."""
+    first = own[: prefix(len(own), percent)]
+    many = first[np.searchsorted(first, U(FREQUENT << 56)) :]
+    first = many if len(many) > 1 else first
+    if len(first) < 2:
+        return 0
+    low = np.partition(mix(first), 1)[:2]
+    size = U(int(np.log(len(own)) / np.log(NODE_SIZES)))
+    return int(mix(low[:1] ^ mix(low[1:] + size))[0] >> U(1))
+
+
+def sketch(keys: np.ndarray) -> bytes:
+    """For each of 2 n to 4 n classes of hashes a bit, whether an odd number of the n members falls there. Two sets differ in as many members at
+    least as their sketches in bits."""
+    m = max(64, 1 << (2 * len(keys) - 1).bit_length())
+    return np.packbits((np.bincount((keys & U(m - 1)).astype(np.int64), minlength=m) & 1).astype(bool)).tobytes()
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """In how many bits two sketches differ; the longer one is folded to the length of the other."""
+    x, y = sorted((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)), key=len)
+    if len(y) > len(x):
+        y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _near(percent: int):  # noqa: ANN202
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = (batch.column("n_a").fill_null(0).to_numpy() + batch.column("n_b").fill_null(0).to_numpy()).tolist()
+            keep = []
+            for x, y, n in zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist(), total, strict=True):
+                share = -(-percent * n // (100 + percent))
+                keep.append(x is None or y is None or differing(x, y) <= n - 2 * share)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return near
+
+
+def _names(order: Order, percent: int):  # noqa: ANN202
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sig, size = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
+            sig, size, name = (np.zeros(len(batch), np.int64) for _ in range(3))
+            bits = [b""] * len(batch)
             for b in blocks(batch.column(1), lower=True):
-                for i, keys in plain_sets(b, n):
-                    sig[b.first + i], size[b.first + i] = signature(keys), len(keys)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "sig": pa.array(sig), "n": pa.array(size)})
+                for i, keys in order.sets(b):
+                    sig[b.first + i], size[b.first + i], name[b.first + i] = signature(keys), len(keys), family(keys, percent)
+                    bits[b.first + i] = sketch(keys)
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "sig": pa.array(sig), "n": pa.array(size), "name": pa.array(name), "bits": pa.array(bits, pa.binary())})
+        order.release()
 
     return names
 
 
+class Nodes:
+    """The node of a class by its family's name; a family of over BLOCK classes is split by hash."""
+
+    def __init__(self, hot: pa.Table):
+        name, splits = hot["name"].to_numpy(), hot["splits"].to_numpy()
+        order = np.argsort(name)
+        self.name, self.splits = name[order], splits[order]
+
+    def of(self, name: np.ndarray, sig: np.ndarray) -> np.ndarray:
+        node = np.where(name == 0, sig, name)
+        if len(self.name):
+            at = np.minimum(np.searchsorted(self.name, name), len(self.name) - 1)
+            hot = np.flatnonzero(self.name[at] == name)
+            split = mix(sig[hot].view(U)) % self.splits[at[hot]].astype(U)
+            node[hot] = (mix(name[hot].view(U) + split) >> U(1)).view(np.int64)
+        return node
+
+
+def _nodes(nodes: Nodes):  # noqa: ANN202
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node = nodes.of(batch.column("name").to_numpy(), batch.column("sig").to_numpy())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node)], [*batch.schema.names, "node"])
+
+    return of
+
+
 def prefix(n: int, percent: int) -> int:
     """Members of a set of n of which any set that links with it has one among its own first ones."""
     return n - -(-percent * n // 100) + 1
 
 
-def _postings(order: Order, percent: int, parts: np.ndarray):  # noqa: ANN202
+def _postings(order: Order, nodes: Nodes, percent: int, parts: np.ndarray):  # noqa: ANN202
     r = len(parts)
 
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # a task sends each class once, however many copies it holds
-        docs: list[tuple[int, int]] = []
+        docs: list[tuple[int, int, int]] = []
         keys: list[np.ndarray] = []
         size = 0
 
@@ -217,10 +295,11 @@ def _postings(order: Order, percent: int, parts: np.ndarray):  # noqa: ANN202
             if not docs:
                 return
             table = np.array(docs, np.int64)
+            node = nodes.of(table[:, 2], table[:, 0])
             key = np.concatenate(keys)
             doc = np.repeat(np.arange(len(docs), dtype=np.uint32), [len(k) for k in keys])
             part = mix(key) % U(r)
-            rows: dict[str, list] = {c: [] for c in ("part", "keys", "docs", "sigs", "sizes")}
+            rows: dict[str, list] = {c: [] for c in ("part", "keys", "docs", "nodes", "sizes")}
             for p, (k, d) in enumerate(split_by(part.astype(np.int64), r, key, doc)):
                 if len(k):
                     used, at = np.unique(d, return_inverse=True)
@@ -228,11 +307,11 @@ def _postings(order: Order, percent: int, parts: np.ndarray):  # noqa: ANN202
                     rows["part"].append(parts[p])
                     rows["keys"].append((k >> U(32)).astype(np.uint32).tobytes() + (k >> U(16)).astype(np.uint16).tobytes())
                     rows["docs"].append(at.astype(np.uint32 if len(used) > 65535 else np.uint16).tobytes())
-                    rows["sigs"].append(table[used, 0].tobytes())
+                    rows["nodes"].append(node[used].tobytes())
                     rows["sizes"].append(table[used, 1].astype(np.uint32).tobytes())
             docs.clear()
             keys.clear()
-            yield pa.RecordBatch.from_pydict({"part": pa.array(rows["part"], pa.int32())} | {c: pa.array(rows[c], pa.binary()) for c in ("keys", "docs", "sigs", "sizes")})
+            yield pa.RecordBatch.from_pydict({"part": pa.array(rows["part"], pa.int32())} | {c: pa.array(rows[c], pa.binary()) for c in ("keys", "docs", "nodes", "sizes")})
 
         for batch in batches:
             for b in blocks(batch.column(0), lower=True):
@@ -240,7 +319,7 @@ def _postings(order: Order, percent: int, parts: np.ndarray):  # noqa: ANN202
                     sig = signature(own)
                     if sig not in seen:
                         seen.add(sig)
-                        docs.append((sig, len(own)))
+                        docs.append((sig, len(own), family(own, percent)))
                         keys.append(own[: prefix(len(own), percent)])
                         size += len(keys[-1])
                 if size >= 1_000_000:
@@ -258,58 +337,87 @@ def least_common(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return np.maximum(1, 1 + share - np.maximum(-(-percent * a // 100), -(-percent * b // 100)))
 
 
-def overlaps(packed: np.ndarray, bits: int, size: np.ndarray, percent: int, most: int = 2_000_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Pairs of documents and the number of keys they share, in batches; pairs whose sizes rule a link out are left out.
+def least_of_nodes(low: np.ndarray, high: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """The same for nodes i and j with sets of low to high members: the least over their sets, or less."""
+    a, b, c, d = low[i], high[i], low[j], high[j]
+    bound = lambda large, small: -(-percent * (100 * small - percent * large) // (100 * (100 + percent)))
+    return np.where((a == b) & (c == d), least_common(a, c, percent), np.maximum(1, np.minimum(bound(b, c), bound(d, a))))
+
+
+def dropped(need: np.ndarray, r: int) -> np.ndarray:
+    """The count up to which one of r blocks drops a pair that needs so many: all of them drop at most three quarters of that."""
+    return 3 * need // (4 * r)
+
+
+def least_kept(need: Column, r: int) -> Column:
+    """What is left at least of the count of a linked pair that needs so many or more. A need of n loses r x dropped(n): nothing below 4 r / 3, and
+    beyond at most 3 n / 4."""
+    return F.least(need, F.greatest(F.ceil(need / 4), F.lit(-(-r // 3))))
+
+
+def overlaps(packed: np.ndarray, bits: int, size: np.ndarray, percent: int, most: int = 2_000_000, largest: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of documents and the number of keys they share, in batches, each pair once; pairs whose sizes rule a link out are left out.
 
     packed: a key and below it `bits` bits of a document's number, for each member. Documents are numbered by size, so within a run of one
-    key the partners of a document end where they get too large.
+    key the partners of a document end where they get too large. Nodes in place of documents have a smallest size and a largest one.
     """
+    largest = size if largest is None else largest
     packed.sort()
     mask, shift, n = U((1 << bits) - 1), U(bits), U(len(size))
     packed = packed[np.append(True, packed[1:] != packed[:-1])] if len(packed) else packed
     same = (packed[1:] >> shift) == (packed[:-1] >> shift)
     packed = packed[np.append(same, False) | np.append(False, same)]
-    live = np.flatnonzero(np.append((packed[1:] >> shift) == (packed[:-1] >> shift), False))
-    held, many, step = [], 0, 1
-    while len(live):
-        live = live[live + step < len(packed)]
-        live = live[(packed[live + step] >> shift) == (packed[live] >> shift)]
-        a, b = packed[live] & mask, packed[live + step] & mask
-        fits = 100 * size[a] >= percent * size[b]
-        live, a, b = live[fits], a[fits], b[fits]
-        held.append(a * n + b)
-        many += len(a)
-        step += 1
-        if many >= most or not len(live):
-            code, count = np.unique(np.concatenate(held), return_counts=True)
-            held, many = [], 0
-            yield (code // n).astype(np.int64), (code % n).astype(np.int64), count
-
-
-def _candidates(percent: int):  # noqa: ANN202
+    if not len(packed):
+        return
+    last = np.append(np.flatnonzero((packed[1:] >> shift) != (packed[:-1] >> shift)), len(packed) - 1)
+    end = np.repeat(last + 1, np.diff(last, prepend=-1))  # of the run
+    # By the smaller document of a pair, in groups of about `most` pairs, so that its count is whole.
+    by = np.argsort(packed & mask, kind="stable")
+    partners = np.cumsum((end - np.arange(len(packed)) - 1)[by])
+    begins = np.append(0, np.flatnonzero(np.diff((packed & mask)[by])) + 1)
+    group = partners[begins] // most
+    cuts = [*begins[np.append(True, group[1:] != group[:-1])].tolist(), len(by)]
+    for lo, hi in zip(cuts, cuts[1:], strict=False):
+        live, held, step = np.sort(by[lo:hi]), [np.zeros(0, U)], 1
+        while len(live):
+            live = live[live + step < end[live]]
+            a, b = packed[live] & mask, packed[live + step] & mask
+            fits = 100 * largest[a] >= percent * size[b]
+            live, a, b = live[fits], a[fits], b[fits]
+            held.append(a * n + b)
+            step += 1
+        code, count = np.unique(np.concatenate(held), return_counts=True)
+        yield (code // n).astype(np.int64), (code % n).astype(np.int64), count
+
+
+def _candidates(percent: int, r: int):  # noqa: ANN202
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [row for batch in batches for row in batch.to_pylist()]
         if not rows:
             return
-        sigs = [np.frombuffer(row["sigs"], np.int64) for row in rows]
-        names, first, of = np.unique(np.concatenate(sigs), return_index=True, return_inverse=True)
-        size = np.concatenate([np.frombuffer(row["sizes"], np.uint32) for row in rows])[first].astype(np.int64)
-        order = np.argsort(size, kind="stable")
-        names, size, number = names[order], size[order], np.argsort(order)
+        nodes = [np.frombuffer(row["nodes"], np.int64) for row in rows]
+        names, of = np.unique(np.concatenate(nodes), return_inverse=True)
+        size = np.concatenate([np.frombuffer(row["sizes"], np.uint32) for row in rows]).astype(np.int64)
+        low, high = np.full(len(names), size.max()), np.zeros(len(names), np.int64)
+        np.minimum.at(low, of, size)
+        np.maximum.at(high, of, size)
+        order = np.argsort(low, kind="stable")
+        names, low, high, number = names[order], low[order], high[order], np.argsort(order)
         bits = max(1, int(len(names) - 1).bit_length())
         packed, base = [], 0
-        for row, s in zip(rows, sigs, strict=True):
+        for row, s in zip(rows, nodes, strict=True):
             raw, own = row.pop("keys"), number[of[base : base + len(s)]].astype(U)
             key = unpacked48(raw)
             packed.append((key << U(bits)) | own[np.frombuffer(row.pop("docs"), np.uint16 if len(s) <= 65535 else np.uint32)])
             base += len(s)
-        rows, sigs, packed = [], [], np.concatenate(packed)
-        for a, b, c in overlaps(packed, bits, size, percent):
-            for at in range(0, len(a), 200_000):
-                i, j, k = a[at : at + 200_000], b[at : at + 200_000], c[at : at + 200_000]
-                low, high = np.minimum(names[i], names[j]), np.maximum(names[i], names[j])
-                need = least_common(size[i], size[j], percent)
-                yield pa.RecordBatch.from_pydict({"a": pa.array(low), "b": pa.array(high), "need": pa.array(need.astype(np.int32)), "c": pa.array(np.minimum(k, need).astype(np.int32))})
+        rows, nodes, packed = [], [], np.concatenate(packed)
+        for i, j, k in overlaps(packed, bits, low, percent, largest=high):
+            need = least_of_nodes(low, high, i, j, percent)
+            kept = k > dropped(need, r)
+            i, j, k, need = i[kept], j[kept], k[kept], need[kept]
+            for at in range(0, len(i), 200_000):
+                a, b, c, least = (x[at : at + 200_000] for x in (names[i], names[j], k, need))
+                yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b)), "need": pa.array(least.astype(np.int32)), "c": pa.array(np.minimum(c, least).astype(np.int32))})
         del packed
         trim()
 
@@ -337,16 +445,17 @@ def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Rooms:
-    """Where the sets of classes go."""
+    """Where the sets of classes go, with their nodes and how many rows have them."""
 
     def __init__(self, rows: pa.Table):
         sig, room = rows["sig"].to_numpy(), rows["room"].to_numpy()
         order = np.lexsort((room, sig))
         self.sig, self.room = sig[order], room[order].astype(np.int32)
+        self.node, self.class_size = (rows[c].to_numpy()[order] for c in ("node", "class_size"))
 
-    def of(self, sig: int) -> list[int]:
+    def of(self, sig: int) -> Iterator[tuple[int, int, int]]:
         i, j = np.searchsorted(self.sig, [sig, sig + 1])
-        return self.room[i:j].tolist()
+        return zip(*(x[i:j].tolist() for x in (self.room, self.node, self.class_size)), strict=True)
 
 
 def _whole(n: int, wanted: np.ndarray, rooms: Rooms | None = None):  # noqa: ANN202
@@ -361,11 +470,12 @@ def _whole(n: int, wanted: np.ndarray, rooms: Rooms | None = None):  # noqa: ANN
                     sig = signature(keys)
                     if sig not in seen:
                         seen.add(sig)
-                        for room in [-1] if rooms is None else rooms.of(sig):
-                            places.append(room)
+                        for place in [(-1, 0, 0)] if rooms is None else rooms.of(sig):
+                            places.append(place)
                             sigs.append(sig)
                             sets.append(packed48(keys))
-                yield pa.RecordBatch.from_pydict({"room": pa.array(places, pa.int32()), "sig": pa.array(sigs, pa.int64()), "members": pa.array(sets, pa.binary())})
+                room, node, size = zip(*places, strict=True) if places else ((), (), ())
+                yield pa.RecordBatch.from_pydict({"room": pa.array(room, pa.int32()), "sig": pa.array(sigs, pa.int64()), "node": pa.array(node, pa.int64()), "class_size": pa.array(size, pa.int64()), "members": pa.array(sets, pa.binary())})
 
     return whole
 
@@ -390,64 +500,98 @@ def product(sets: list[np.ndarray], chunk: int = 8192) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def joined(ok: np.ndarray) -> np.ndarray:
+    """The first row of each row's component, of a symmetric matrix of links."""
+    root = np.arange(len(ok))
+    while True:
+        low = np.minimum(root, np.where(ok, root, len(ok)).min(axis=1, initial=len(ok)))
+        new = low[low]
+        if (new == root).all():
+            return root
+        root = new
+
+
 def _links(percent: int):  # noqa: ANN202
     def links(pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
-        members = {s: unpacked48(m) for s, m in zip(sets.sig, sets.members, strict=True)}
+        sets = sets.drop_duplicates("sig").sort_values(["node", "sig"])
+        sig, node, rows, members = (sets[c].to_numpy() for c in ("sig", "node", "class_size", "members"))
         out = []
         for _, p in pairs.groupby("block", sort=True):
             a, b = p.a.to_numpy(), p.b.to_numpy()
             names = np.unique(np.concatenate([a, b]))
-            own = [members[s] for s in names.tolist()]
-            size = np.array([len(s) for s in own])
+            lo, hi = np.searchsorted(node, names), np.searchsorted(node, names, "right")
+            at = np.concatenate([np.arange(x, y) for x, y in zip(lo, hi, strict=True)])
+            own = [unpacked48(m) for m in members[at]]
+            size, of = np.array([len(s) for s in own]), np.repeat(np.arange(len(names)), hi - lo)
+            met = np.zeros((len(names), len(names)), bool)  # other pairs of these nodes have other blocks, or none
             i, j = np.searchsorted(names, a), np.searchsorted(names, b)
-            common = product(own)[i, j]
-            ok = (100 + percent) * common >= percent * (size[i] + size[j])
-            out.append(pd.DataFrame({"a": a[ok], "b": b[ok]}))
-        members.clear()
+            met[i, j] = met[j, i] = True
+            ok = (100 + percent) * product(own) >= percent * (size[:, None] + size)
+            ok &= met[of[:, None], of]
+            np.fill_diagonal(ok, False)
+            linked, root = ok @ rows[at], joined(ok)
+            some = np.flatnonzero(linked)
+            out.append(pd.DataFrame({"sig": sig[at[some]], "root": sig[at[root[some]]], "linked": linked[some]}))
         trim()
-        return pd.concat(out) if out else pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        return pd.concat(out) if out else pd.DataFrame({c: np.zeros(0, np.int64) for c in ("sig", "root", "linked")})
 
     return links
 
 
 def link_classes(docs: DataFrame, classes: DataFrame, order: Order, percent: int, room_rows: int = ROOM_ROWS) -> DataFrame:
-    """Pairs (a, b) of classes of docs (doc_id, text) that link, each once; written."""
+    """sig, root, linked: of the classes of docs (doc_id, text) that link with others, the number of rows in those others and a class of the same
+    component, by blocks. A class has a row for each block in which it links, and each pair of classes meets in one block; written."""
     spark = docs.sparkSession
+    hot = classes.where("name <> 0").groupBy("name").agg(F.ceil(F.count("*") / BLOCK).alias("splits")).where("splits > 1")
+    nodes = Nodes(hot.toArrow())
+    sketches = classes.select("sig", "bits")
+    classes = classes.drop("bits")
+    classes = written(classes.mapInArrow(_nodes(nodes), StructType([*classes.schema.fields, StructField("node", LongType())])), "nodes")
+    held = written(classes.groupBy("node").agg(F.count("*").alias("held"), F.max("sig").alias("sig"), F.max("n").alias("n")), "held")
     parts = part_keys(shuffle_partitions(spark, order.total * (100 - percent) / 100, 8e6))
-    postings = docs.select("text").mapInArrow(_postings(order, percent, parts), "part int, keys binary, docs binary, sigs binary, sizes binary")
-    found = to_parts(postings, len(parts)).mapInArrow(_candidates(percent), "a long, b long, need int, c int")
-    found = found.groupBy("a", "b").agg(F.sum("c").alias("c"), F.max("need").alias("need"))
-    pairs = written(found.where("c >= need").select("a", "b"), "candidates")
+    postings = docs.select("text").mapInArrow(_postings(order, nodes, percent, parts), "part int, keys binary, docs binary, nodes binary, sizes binary")
+    found = to_parts(postings, len(parts)).mapInArrow(_candidates(percent, len(parts)), "a long, b long, need int, c int")
+    found = found.groupBy("a", "b").agg(F.sum("c").alias("c"), F.min("need").alias("need"))
+    found = found.where(F.col("c") >= least_kept(F.col("need"), len(parts))).select("a", "b")
+    alone = held.where("held = 1").join(sketches, "sig")
+    of = lambda c: alone.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+    found = found.join(of("a"), "a", "left").join(of("b"), "b", "left").mapInArrow(_near(percent), "a long, b long")
+    several = held.where("held > 1").select(F.col("node").alias("a"), F.col("node").alias("b"))
+    pairs = written(found.union(several), "candidates")
 
     both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    lead = both.groupBy(F.col("a").alias("sig")).agg(F.least("sig", F.min("b")).alias("lead"))
-    crowd = lead.groupBy("lead").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    home = lead.join(crowd, "lead").select("sig", F.xxhash64("lead", F.pmod(F.xxhash64("sig"), F.col("blocks"))).alias("home"))
+    lead = both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("lead"))
+    lead = lead.join(held.select("node", "held"), "node")
+    small = F.col("held") < BLOCK // 2  # others are homes of their own
+    crowd = lead.where(small).groupBy("lead").agg(F.ceil(F.sum("held") / BLOCK).alias("blocks"))
+    home = F.when(small, F.xxhash64("lead", F.pmod(F.xxhash64("node"), F.col("blocks")))).otherwise(F.col("node"))
+    home = lead.join(crowd, "lead", "left").select("node", home.alias("home"))
     home = written(home, "homes")  # near copies share a leader, so they meet in few blocks
-    volume = home.join(classes, "sig").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    inside = home.join(classes, "node")
+    volume = inside.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     if not volume:
-        return pairs.select("a", "b")
+        return spark.createDataFrame([], "sig long, root long, linked long")
     # A class is read from the rows with its smallest doc_id, which a bit table of fixed size finds; what it lets by in excess, the
     # join on the class leaves out.
     wanted = np.zeros(SLOTS, bool)
-    ids = home.join(classes, "sig").where("class_id is not null").select("class_id")
+    ids = inside.where("class_id is not null").select("class_id")
     for part in ids.mapInArrow(_slots, "slot int").distinct().toArrow().column("slot").chunks:
         wanted[part.to_numpy()] = True
 
-    side = lambda c: home.select(F.col("sig").alias(c), F.col("home").alias(f"home_{c}"))
+    side = lambda c: home.select(F.col("node").alias(c), F.col("home").alias(f"home_{c}"))
     placed = pairs.join(side("a"), "a").join(side("b"), "b")
     placed = placed.select("a", "b", F.xxhash64(F.least("home_a", "home_b"), F.greatest("home_a", "home_b")).alias("block"))
     buckets = shuffle_partitions(spark, 8 * volume, 24e6)
     placed = written(placed.withColumn("bucket", F.pmod("block", F.lit(buckets)).cast("int")), "placed")
-    needed = placed.select(F.col("bucket").alias("room"), F.explode(F.array("a", "b")).alias("sig")).distinct()
-    needed = written(needed, "needed")
+    needed = placed.select(F.col("bucket").alias("room"), F.explode(F.array("a", "b")).alias("node")).distinct()
+    needed = written(needed.join(classes, "node").select("room", "sig", "node", "class_size"), "needed")
     if needed.count() <= room_rows:
-        sets = docs.mapInArrow(_whole(order.n, wanted, Rooms(needed.toArrow())), "room int, sig long, members binary")
+        sets = docs.mapInArrow(_whole(order.n, wanted, Rooms(needed.toArrow())), "room int, sig long, node long, class_size long, members binary")
     else:
-        sets = docs.mapInArrow(_whole(order.n, wanted), "room int, sig long, members binary").drop("room")
-        sets = needed.join(sets, "sig").select("room", "sig", "members")
+        sets = docs.mapInArrow(_whole(order.n, wanted), "room int, sig long, node long, class_size long, members binary").select("sig", "members")
+        sets = needed.join(sets, "sig").select("room", "sig", "node", "class_size", "members")
     # Tasks that meet a class send its set once each; equal sets meet under one name in the function.
-    done = placed.groupBy("bucket").cogroup(sets.groupBy("room")).applyInPandas(_links(percent), "a long, b long")
+    done = placed.groupBy("bucket").cogroup(sets.groupBy("room")).applyInPandas(_links(percent), "sig long, root long, linked long")
     return written(done, "links")
 
 
@@ -488,12 +632,11 @@ def classes_of(docs: DataFrame, percent: int, n: int) -> tuple[DataFrame, DataFr
     """Of docs (doc_id, text): the class and size of each row's set; and of each class its first doc_id, rows, similar documents and
     component. Both written."""
     order = Order(docs, n)
-    named = written(docs.mapInArrow(_names(n), "doc_id long, sig long, n long"), "named")
-    classes = written(named.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"), F.max("n").alias("n")), "classes")
+    named = written(docs.mapInArrow(_names(order, percent), "doc_id long, sig long, n long, name long, bits binary"), "named")
+    classes = written(named.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"), F.max("n").alias("n"), F.max("name").alias("name"), F.first("bits").alias("bits")), "classes")
     links = link_classes(docs, classes, order, percent)
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = both.join(classes.select(F.col("sig").alias("b"), "class_size"), "b").groupBy(F.col("a").alias("sig")).agg(F.sum("class_size").alias("linked"))
-    roots = components(links)
+    others = links.groupBy("sig").agg(F.sum("linked").alias("linked"))
+    roots = components(links.where("sig <> root").select(F.col("sig").alias("a"), F.col("root").alias("b")))
     inside = roots.join(classes, F.col("node") == F.col("sig")).select("sig", "root", "class_id")
     smallest = inside.groupBy("root").agg(F.min("class_id").alias("component_id"), F.min("sig").alias("first_sig"))
     in_component = inside.join(smallest, "root").select("sig", "component_id", "first_sig")
