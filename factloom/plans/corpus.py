@@ -250,8 +250,8 @@ def distinct_sources(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def pos_tagged_verbs(spark: SparkSession, d: str) -> DataFrame:
     """Verbs of the documents by lemma, from the rule tagger."""
-    tags = texts(spark, d).select("doc_id", F.explode(tagging.verbs(tagging.known(tagging.tagged("text")))).alias("t"))
-    return tags.groupBy("t.lemma").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("df"))
+    each = texts(spark, d).select("doc_id", F.explode(tagging.verb_counts("text")).alias("t"))
+    return each.groupBy("t.lemma").agg(F.sum("t.n").alias("n"), F.countDistinct("doc_id").alias("df"))
 
 
 @query()

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from factloom.functions import batches
+from factloom.operators import extraction, tagging
 from factloom.plans import registry
 from factloom.sources import html
 from tests.compare import same
@@ -23,3 +27,36 @@ def test_odd_pages(spark, tmp_path, name):
 def test_bare_references():
     assert html.select("<p>AT&amp &amp; &eacute;</p><a href='?a=1&copy=2'>x</a>", "p") == ["AT&amp & é"]
     assert html.select("<a href='?a=1&copy=2&amp;b'>x</a>", "a::attr(href)") == ["?a=1&copy=2&b"]
+
+
+def test_parts():
+    rows = pa.array(["abc", None, "", "abcdefgh", "a", "b"])
+    assert [p.to_pylist() for p in batches.texts(rows, 4)] == [["abc", None, ""], ["abcdefgh"], ["a", "b"]]
+    assert list(batches.texts(rows[:0], 4)) == []
+    assert [p.to_pylist() for p in batches.texts(rows[3:], 4)] == [["abcdefgh"], ["a", "b"]]
+
+
+def test_texts_are_tagged_in_parts(monkeypatch):
+    """A batch of long texts is not tagged as a whole."""
+    monkeypatch.setattr(batches.texts, "__defaults__", (1000,))
+    run = tagging._by_text(tagging.tag, ["word", "pos", "lemma"], [pa.string()] * 3)
+    column = pa.array(["He walked. It is 7. "] * 500 + [None])
+    got = list(run(iter([column])))
+    assert max(len(x) for x in got) <= 51 and sum(len(x) for x in got) == 501
+    assert [tuple(t.values()) for t in pa.chunked_array(got).to_pylist()[499]] == tagging.tag(column[0].as_py())
+
+
+def test_verb_counts(spark):
+    docs = spark.createDataFrame([(1, "He walked and walks. Was walking"), (1, "walked"), (2, "is"), (3, None), (4, "")], "doc_id int, text string")
+    old = docs.select("doc_id", F.explode(tagging.verbs(tagging.known(tagging.tagged("text")))).alias("t")).groupBy("t.lemma").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("df"))
+    new = docs.select("doc_id", F.explode(tagging.verb_counts("text")).alias("t")).groupBy("t.lemma").agg(F.sum("t.n").alias("n"), F.countDistinct("doc_id").alias("df"))
+    assert sorted(map(tuple, new.collect())) == sorted(map(tuple, old.collect())) == [("be", 2, 2), ("walk", 3, 1)]
+
+
+def test_grammar_whether_tokens_are_held(spark):
+    rows = [(1, "The man was the son of a king, and it is here."), (2, "No unit stands in here"), (3, "The İst is a The IST"), (4, None)]
+    sents, units = spark.createDataFrame(rows, "id int, sentence string"), extraction.lexicon(spark)
+    held, not_held = (sorted(map(tuple, tagging.grammar_extract(sents, units, held=n).select("id", "chunk", "lemma", "token").collect())) for n in (10_000, 0))
+    old = sents.withColumn("chunk", F.explode(tagging.chunks(tagging.tagged("sentence"))))
+    old = old.withColumn("token", F.explode(F.array_distinct(F.split(F.lower("chunk"), " ")))).join(units.select("lemma", "token").distinct(), "token")
+    assert held == not_held == sorted(map(tuple, old.select("id", "chunk", "lemma", "token").collect())) and held
