@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Characters of text, or tokens, that are worked on at once.
-CHARACTERS, TOKENS = 1 << 20, 1 << 18
+CHARACTERS, TOKENS = 1 << 20, 1 << 19
 
 
 def parts(rows: pa.Array, sizes: pa.Array, most: int) -> Iterator[pa.Array]:

@@ -1,6 +1,6 @@
 """Rankings of terms: TF-IDF, popularity and their combination.
 
-A document's terms are counted where it is read, by Arrow batches of tokens, and batches pass on sums by term: what is shuffled are terms with
+A document's terms are counted where it is read, by parts of Arrow batches of tokens, and parts pass on sums by term: what is shuffled are terms with
 sums, not documents' terms. A document is a row.
 """
 
@@ -17,11 +17,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from factloom.functions import batches
 from factloom.functions.text import tokens
-from factloom.session import shared_path
+from factloom.session import shared_path, written
 
-#: Up to so many terms every task holds the table of their weights; beyond that documents' terms meet it in a join.
-HELD_TERMS = 2_000_000
+#: So many terms with their weights a task holds at most: the most frequent ones. Documents' other terms meet their weights in a shuffle.
+HELD_TERMS = 400_000
+
+
+def _parts(column: pa.Array) -> Iterator[pa.Array]:
+    return batches.parts(column, pc.list_value_length(column), batches.TOKENS)
 
 
 def _counted(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
@@ -34,9 +39,9 @@ def _counted(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.nda
     return code.dictionary, key // max(1, len(code.dictionary)), key % max(1, len(code.dictionary)), n
 
 
-def _term_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        terms, _, code, n = _counted(batch.column(0))
+def _term_sums(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in (p for batch in rows for p in _parts(batch.column(0))):
+        terms, _, code, n = _counted(part)
         if len(terms):
             yield pa.RecordBatch.from_pydict({"term": terms, "df": pa.array(np.bincount(code, minlength=len(terms))), "n": pa.array(np.bincount(code, n, len(terms)).astype(np.int64))})
 
@@ -47,15 +52,29 @@ def term_stats(docs: DataFrame, text: str = "text") -> DataFrame:
     return each.groupBy("term").agg(F.sum("df").alias("df"), F.sum("n").alias("n"))
 
 
-def _scored(path: str | None, n: int):  # noqa: ANN202
-    """Sums of scores by term, or with no path counts of each row's terms."""
+def _weights(path: str) -> tuple[pa.Array, np.ndarray]:
+    fs, at = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    with fs.open_input_stream(at, compression=None) as f:
+        return pickle.loads(f.read())  # noqa: S301 - written by _hold
+
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, at = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-        with fs.open_input_stream(at, compression=None) as f:
-            known, df = pickle.loads(f.read())  # noqa: S301 - written below
-        for batch in batches:
-            terms, row, code, tf = _counted(batch.column(0))
+def _hold(docs: DataFrame, table: pa.Table) -> str:
+    """A file of terms and their documents in the shared folder."""
+    path = shared_path(docs.sparkSession, "terms")
+    fs, at = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
+    with fs.open_output_stream(at, compression=None) as f:
+        f.write(pickle.dumps((table["term"].combine_chunks(), table["df"].to_numpy()), protocol=5))
+    return path
+
+
+def _scored(path: str, n: int):  # noqa: ANN202
+    """Sums of scores by term, where all terms are held."""
+
+    def scored(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, df = _weights(path)
+        for part in (p for batch in rows for p in _parts(batch.column(0))):
+            terms, row, code, tf = _counted(part)
             if not len(terms):
                 continue
             place = pc.index_in(terms, value_set=known).to_numpy(zero_copy_only=False)
@@ -67,13 +86,60 @@ def _scored(path: str | None, n: int):  # noqa: ANN202
     return scored
 
 
+PACKED = "doc long, held double, terms array<string>, tf array<int>, rare array<struct<term:string,tf:int>>"
+
+
+def _packed(path: str, n: int):  # noqa: ANN202
+    """Documents as their terms and counts, with the squared weights of held terms added up and the other terms apart."""
+
+    def lists(rows: np.ndarray, size: int, values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=size))]).astype(np.int32)), values)
+
+    def packed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, df = _weights(path)
+        for batch in rows:
+            at = 0
+            for part in _parts(batch.column(1)):
+                doc, k = batch.column(0).slice(at, len(part)), len(part)
+                at += k
+                terms, row, code, tf = _counted(part)
+                place = pc.fill_null(pc.index_in(terms, value_set=known), -1).to_numpy(zero_copy_only=False)
+                weight = np.zeros(len(terms))
+                weight[place >= 0] = np.log((1 + n) / (1 + df[place[place >= 0]])) + 1
+                words, counts = terms.take(pa.array(code)), pa.array(tf.astype(np.int32))
+                rare = np.flatnonzero(place[code] < 0)
+                apart = pa.StructArray.from_arrays([words.take(pa.array(rare)), counts.take(pa.array(rare))], ["term", "tf"])
+                held = np.bincount(row, (tf * weight[code]) ** 2, k)
+                yield pa.RecordBatch.from_pydict({"doc": doc, "held": pa.array(held), "terms": lists(row, k, words), "tf": lists(row, k, counts), "rare": lists(row[rare], k, apart)})
+
+    return packed
+
+
+def _shared_out(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums by term of counts over their document's norm, from rows (norm, terms, tf)."""
+    for batch in rows:
+        at = 0
+        for part in _parts(batch.column(1)):
+            size = pc.list_value_length(part).to_numpy(zero_copy_only=False)
+            norm = np.repeat(batch.column(0).slice(at, len(part)).to_numpy(zero_copy_only=False), size)
+            tf = batch.column(2).slice(at, len(part)).flatten().to_numpy(zero_copy_only=False)
+            at += len(part)
+            coded = pc.dictionary_encode(part.flatten())
+            code, k, w = coded.indices.to_numpy(zero_copy_only=False), len(coded.dictionary), tf / norm
+            if k:
+                yield pa.RecordBatch.from_pydict({"term": coded.dictionary, "df": pa.array(np.bincount(code, minlength=k)), "n": pa.array(np.bincount(code, tf, k).astype(np.int64)), "s": pa.array(np.bincount(code, w, k)), "q": pa.array(np.bincount(code, w * w, k))})
+
+
 def term_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc, term, tf of lower-case terms of two characters or more."""
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            terms, row, code, n = _counted(batch.column(1))
-            yield pa.RecordBatch.from_pydict({"doc": batch.column(0).take(pa.array(row)), "term": terms.take(pa.array(code)), "tf": pa.array(n)})
+    def counted(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            at = 0
+            for part in _parts(batch.column(1)):
+                terms, row, code, n = _counted(part)
+                yield pa.RecordBatch.from_pydict({"doc": batch.column(0).take(pa.array(at + row)), "term": terms.take(pa.array(code)), "tf": pa.array(n)})
+                at += len(part)
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("doc"), tokens(text, lower=True).alias("t")).mapInArrow(counted, f"doc {kind}, term string, tf long")
@@ -89,44 +155,63 @@ def tfidf(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     return raw.select("doc", "term", "tf", "n", (F.col("raw") / norm).alias("score"))
 
 
-def _sums(docs: DataFrame, held: int) -> tuple[DataFrame, int]:
-    """term, df, n, s and q: documents with it, how often it comes, sums of its scores and of their squares; and the number of documents."""
+def _frequent(stats: DataFrame, held: int) -> DataFrame:
+    """The most frequent terms of stats, at most `held`: all from a number of documents on, by eighths of its logarithm to base 2."""
+    level = F.floor(F.log2("df") * 8)
+    least, total = None, 0
+    for r in stats.groupBy(level.alias("level")).agg(F.count("*").alias("k")).orderBy(F.desc("level")).collect():
+        total += r.k
+        if total > held:
+            break
+        least = r.level
+    return stats.where(level >= least if least is not None else F.lit(False))
+
+
+def _sums(docs: DataFrame, held: int) -> tuple[DataFrame, int, DataFrame]:
+    """term, df, n, s and q: documents with it, how often it comes, sums of its scores and of their squares; the number of documents; and term_stats.
+
+    A score is tf * weight / norm. Where more than `held` terms are there, documents are written as terms and counts. Of a norm the frequent terms' part is known where the
+    document is read, and only its rare terms are shuffled: to count their documents, and back to the document. Then documents meet their norms, and sum up tf / norm by term.
+    """
     n = docs.count()
-    table = term_stats(docs).select("term", "df").limit(held + 1).toArrow()
-    if len(table) > held:
-        each = tfidf(docs).groupBy("term")
-        return each.agg(F.count("*").alias("df"), F.sum("tf").alias("n"), F.sum("score").alias("s"), F.sum(F.col("score") * F.col("score")).alias("q")), n
-    path = shared_path(docs.sparkSession, "terms")
-    fs, at = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-    fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
-    with fs.open_output_stream(at, compression=None) as f:
-        f.write(pickle.dumps((table["term"].combine_chunks(), table["df"].to_numpy()), protocol=5))
-    each = docs.select(tokens("text", lower=True).alias("t")).mapInArrow(_scored(path, n), "term string, df long, n long, s double, q double")
-    return each.groupBy("term").agg(F.sum("df").alias("df"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")), n
+    stats = written(term_stats(docs), "stats")
+    low = tokens("text", lower=True).alias("t")
+    if stats.count() <= held:
+        each = docs.select(low).mapInArrow(_scored(_hold(docs, stats.select("term", "df").toArrow()), n), "term string, df long, n long, s double, q double")
+        return each.groupBy("term").agg(F.sum("df").alias("df"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")), n, stats
+    path = _hold(docs, _frequent(stats, held).select("term", "df").toArrow())
+    packed = written(docs.select(F.monotonically_increasing_id().alias("doc"), low).mapInArrow(_packed(path, n), PACKED), "packed")
+    weight = F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1
+    rare = packed.select("doc", F.inline("rare")).withColumn("df", F.count("*").over(W.partitionBy("term"))).select("doc", ((F.col("tf") * weight) * (F.col("tf") * weight)).alias("held"))
+    norms = packed.select("doc", "held").unionByName(rare).groupBy("doc").agg(F.sqrt(F.sum("held")).alias("norm"))
+    met = packed.select("doc", "terms", "tf").where(F.size("terms") > 0).join(norms.hint("shuffle_hash"), "doc").select("norm", "terms", "tf")
+    each = met.mapInArrow(_shared_out, "term string, df long, n long, s double, q double")
+    by = each.groupBy("term").agg(F.sum("df").alias("df"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"))
+    return by.select("term", "df", "n", (F.col("s") * weight).alias("s"), (F.col("q") * weight * weight).alias("q")), n, stats
 
 
 def tfidf_rank(docs: DataFrame, least: int = 1, held: int = HELD_TERMS) -> DataFrame:
     """term, df, avg_score (over documents with the term) and sd_score (population, over all documents with zeros)."""
-    return _ranked(docs, held).where(F.col("df") >= least).drop("n")
+    return _ranked(docs, held)[0].where(F.col("df") >= least).drop("n")
 
 
-def _ranked(docs: DataFrame, held: int) -> DataFrame:
-    by, n = _sums(docs, held)
+def _ranked(docs: DataFrame, held: int) -> tuple[DataFrame, DataFrame]:
+    by, n, stats = _sums(docs, held)
     sd = F.sqrt(F.greatest(F.lit(0.0), F.col("q") / n - (F.col("s") / n) * (F.col("s") / n)))
-    return by.select("term", "df", "n", (F.col("s") / F.col("df")).alias("avg_score"), sd.alias("sd_score"))
+    return by.select("term", "df", "n", (F.col("s") / F.col("df")).alias("avg_score"), sd.alias("sd_score")), stats
 
 
 def popularity(docs: DataFrame, least: int = 1) -> DataFrame:
     """term, n and n over the largest n."""
-    by = term_stats(docs).select("term", "n")
+    by = written(term_stats(docs).select("term", "n"), "stats")
     top = by.agg(F.max("n").alias("top"))
     return by.where(F.col("n") >= least).crossJoin(F.broadcast(top)).select("term", "n", (F.col("n") / F.col("top")).alias("popularity"))
 
 
 def harmonic(docs: DataFrame, least: int = 1, held: int = HELD_TERMS) -> DataFrame:
     """term with its three scores and k * product / (1 + sum) of them."""
-    every = _ranked(docs, held)
-    top = every.agg(F.max("n").alias("top"))
+    every, stats = _ranked(docs, held)
+    top = stats.agg(F.max("n").alias("top"))
     both = every.where(F.col("df") >= least).crossJoin(F.broadcast(top)).withColumn("popularity", F.col("n") / F.col("top"))
     a, b, c = (F.col(x) for x in ("avg_score", "sd_score", "popularity"))
     return both.select("term", "avg_score", "sd_score", "popularity", (3 * a * b * c / (1 + a + b + c)).alias("score"))
@@ -135,7 +220,7 @@ def harmonic(docs: DataFrame, least: int = 1, held: int = HELD_TERMS) -> DataFra
 def lemma_scores(docs: DataFrame, lemmas: DataFrame) -> DataFrame:
     """lemma, avg_score and sd_score over its tokens (lemmas: lemma, token): the mean of all scores that are not zero, pooled over the tokens, and the mean
     over the tokens of their deviations (population, over all documents with zeros). Lemmas without a score have none."""
-    by, n = _sums(docs, HELD_TERMS)
+    by, n, _ = _sums(docs, HELD_TERMS)
     sd = F.sqrt(F.greatest(F.lit(0.0), F.col("q") / n - (F.col("s") / n) * (F.col("s") / n)))
     each = lemmas.select("lemma", F.lower("token").alias("term")).distinct().join(by.withColumn("sd", sd), "term")
     return each.groupBy("lemma").agg((F.sum("s") / F.sum("df")).alias("avg_score"), F.avg("sd").alias("sd_score"))
@@ -144,7 +229,7 @@ def lemma_scores(docs: DataFrame, lemmas: DataFrame) -> DataFrame:
 def lemma_popularity(docs: DataFrame, lemmas: DataFrame) -> DataFrame:
     """lemma, n and n over the largest n: how often its tokens come."""
     each = lemmas.select("lemma", F.lower("token").alias("term")).distinct().join(term_stats(docs).select("term", "n"), "term")
-    by = each.groupBy("lemma").agg(F.sum("n").alias("n"))
+    by = written(each.groupBy("lemma").agg(F.sum("n").alias("n")), "lemmas")
     return by.crossJoin(F.broadcast(by.agg(F.max("n").alias("top")))).select("lemma", "n", (F.col("n") / F.col("top")).alias("popularity"))
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from factloom.functions import batches
-from factloom.operators import extraction, tagging
+from factloom.operators import extraction, ranking, tagging
 from factloom.plans import registry
 from factloom.sources import html
 from tests.compare import same
@@ -60,3 +60,25 @@ def test_grammar_whether_tokens_are_held(spark):
     old = sents.withColumn("chunk", F.explode(tagging.chunks(tagging.tagged("sentence"))))
     old = old.withColumn("token", F.explode(F.array_distinct(F.split(F.lower("chunk"), " ")))).join(units.select("lemma", "token").distinct(), "token")
     assert held == not_held == sorted(map(tuple, old.select("id", "chunk", "lemma", "token").collect())) and held
+
+
+def test_terms_are_counted_in_parts(monkeypatch):
+    monkeypatch.setattr(batches, "TOKENS", 100)
+    column = pa.array([["ab", "cd", "ab"]] * 200 + [None, []])
+    got = list(ranking._term_sums(iter([pa.RecordBatch.from_arrays([column], ["t"])])))
+    assert len(got) >= 6
+    sums = {}
+    for batch in got:
+        for r in batch.to_pylist():
+            a, b = sums.get(r["term"], (0, 0))
+            sums[r["term"]] = a + r["df"], b + r["n"]
+    assert sums == {"ab": (200, 400), "cd": (200, 200)}
+
+
+def test_rare_terms_meet_their_documents(spark):
+    """Whatever number of terms is held, scores are those of whole documents; documents without an id, with one id, equal or empty are rows of their own."""
+    texts = ["the cat sat on the mat", "the dog", "the dog", "a", "", None, "the unique zyx wvu zyx", "cat and dog and the mat", "zebra"] * 3 + ["only here"]
+    docs = spark.createDataFrame([(1 if i % 2 else None, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    want, *rest = (sorted((r.term, r.n, round(r.score, 9), round(r.sd_score, 9), round(r.avg_score, 9)) for r in ranking.harmonic(docs, 1, held).join(ranking.popularity(docs).select("term", "n"), "term").collect()) for held in (100, 5, 0))
+    assert len(want) == len({w for t in texts if t for w in t.split() if len(w) > 1})
+    assert rest == [want, want]
