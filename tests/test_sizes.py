@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import random
+import tracemalloc
+
+import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from factloom.functions import batches
-from factloom.operators import extraction, ranking, tagging
+from factloom.operators import extraction, learning, ranking, tagging
 from factloom.plans import registry
 from factloom.sources import html
 from tests.compare import same
@@ -82,3 +87,25 @@ def test_rare_terms_meet_their_documents(spark):
     want, *rest = (sorted((r.term, r.n, round(r.score, 9), round(r.sd_score, 9), round(r.avg_score, 9)) for r in ranking.harmonic(docs, 1, held).join(ranking.popularity(docs).select("term", "n"), "term").collect()) for held in (100, 5, 0))
     assert len(want) == len({w for t in texts if t for w in t.split() if len(w) > 1})
     assert rest == [want, want]
+
+
+def test_neighbours_in_bounded_blocks(tmp_path):
+    """1,500 queries against 40,000 rows take far less than their 60 million distances."""
+    rng = np.random.default_rng(1)
+    table = lambda n, at: pa.table({"id": pa.array(np.arange(at, at + n)), "v": pa.FixedSizeListArray.from_arrays(pa.array(rng.normal(size=n * 4)), 4).cast(pa.list_(pa.float64())), "label": pa.array(np.zeros(n, np.int32))})
+    pq.write_table(table(1_500, 0).select(["id", "v"]), tmp_path / "q.parquet")
+    rows = table(40_000, 10_000)
+    tracemalloc.start()
+    got = sum(len(b) for b in learning._nearest(f"file://{tmp_path}", 5)(iter(rows.to_batches(10_000))))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got >= 1_500 * 5
+    assert peak < 150e6
+
+
+def test_nearest_serve_fewer(spark):
+    pick = random.Random(2)
+    rows = spark.createDataFrame([(i, [pick.random(), pick.random()], i % 3) for i in range(60)], "vec_id long, embedding array<double>, label int")
+    found = learning.nearest(rows, rows, 5)
+    for n in (3, 5):
+        assert sorted(map(tuple, learning.voted(rows, found, n, "vec_id", "label").collect())) == sorted(map(tuple, learning.knn(rows, rows, n).collect()))
