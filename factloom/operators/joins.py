@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from factloom.functions import batches
+from factloom.session import sized
+
 
 def left_chain(base: DataFrame, *others: tuple[DataFrame, list[str] | str]) -> DataFrame:
     """base left-joined with each table in turn; repeated keys multiply rows."""
@@ -44,11 +51,31 @@ def weighted_overlap(ours: Column, theirs: Column, weight: float = 1.0) -> Colum
 
 def zipped(df: DataFrame, row: str, keys: str, values: str) -> DataFrame:
     """row, key and value of two arrays side by side, as long as the shorter; of a key that comes twice in a row the last value stays. For arrays of any length;
-    text.zip_map is for those of a record."""
+    text.zip_map is for those of a record. Keys are told apart where their row is; only of rows that share their name keys are brought together."""
+    kinds = {c: df.schema[c].dataType for c in (row, keys, values)}
+    schema = f"`{row}` {kinds[row].simpleString()}, key {kinds[keys].elementType.simpleString()}, value {kinds[values].elementType.simpleString()}"
+    again = df.groupBy(row).agg(F.count("*").alias("_k")).where("_k > 1").select(F.col(row).alias("_again"))
+    if again.isEmpty():
+        return df.select(row, keys, values).mapInArrow(_last_values, schema)
+    again = sized(again)
+    same = F.col(row).eqNullSafe(F.col("_again"))
     n = F.least(F.size(keys), F.size(values))
     pairs = F.arrays_zip(F.slice(keys, 1, n).alias("key"), F.slice(values, 1, n).alias("value"))
-    each = df.select(row, F.posexplode(pairs).alias("_i", "_p"))
-    return each.groupBy(row, F.col("_p.key").alias("key")).agg(F.max_by("_p.value", "_i").alias("value"))
+    each = df.join(again, same, "left_semi").select(row, F.posexplode(pairs).alias("_i", "_p"))
+    shared = each.groupBy(row, F.col("_p.key").alias("key")).agg(F.max_by("_p.value", "_i").alias("value"))
+    return df.join(again, same, "left_anti").select(row, keys, values).mapInArrow(_last_values, schema).unionByName(shared)
+
+
+def _last_values(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in rows:
+        at = 0
+        for part in batches.parts(batch.column(1), pc.list_value_length(batch.column(1)), batches.TOKENS // 4):
+            values = batch.column(2).slice(at, len(part))
+            found = [dict(zip(k or (), v or (), strict=False)) for k, v in zip(part.to_pylist(), values.to_pylist(), strict=True)]
+            owner = np.repeat(np.arange(at, at + len(part)), [len(x) for x in found])
+            at += len(part)
+            columns = {"key": pa.array([k for x in found for k in x], part.type.value_type), "value": pa.array([v for x in found for v in x.values()], values.type.value_type)}
+            yield pa.RecordBatch.from_pydict({batch.schema.names[0]: batch.column(0).take(pa.array(owner)), **columns})
 
 
 def contained(rows: DataFrame, sequence: str, part: str, name: str = "position") -> DataFrame:

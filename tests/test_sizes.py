@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from factloom.functions import batches
-from factloom.operators import extraction, learning, ranking, tagging
+from factloom.operators import extraction, joins, learning, ranking, statements, tagging
 from factloom.plans import registry
 from factloom.sources import html
 from tests.compare import same
@@ -109,3 +109,33 @@ def test_nearest_serve_fewer(spark):
     found = learning.nearest(rows, rows, 5)
     for n in (3, 5):
         assert sorted(map(tuple, learning.voted(rows, found, n, "vec_id", "label").collect())) == sorted(map(tuple, learning.knn(rows, rows, n).collect()))
+
+
+def test_zipped_rows(spark, monkeypatch):
+    rows = [(1, ["a", "b", "a", None], ["x", "y", "z", "n"]), (2, ["a"], ["p", "q"]), (3, None, ["p"]), (4, [], []), (5, ["k", "k"], ["v", None])]
+    df = lambda r: spark.createDataFrame(r, "id int, k array<string>, v array<string>")
+    want = [(1, "a", "z"), (1, "b", "y"), (1, None, "n"), (2, "a", "p"), (5, "k", None)]
+    order = lambda found: sorted(map(tuple, found), key=repr)
+    assert order(joins.zipped(df(rows), "id", "k", "v").collect()) == order(want)
+    assert "Aggregate" not in joins.zipped(df(rows), "id", "k", "v")._jdf.queryExecution().optimizedPlan().toString()
+    more = [*rows, (2, ["a", "c"], ["s", "t"]), (None, ["a"], ["1"]), (None, ["b", "a"], ["2", "3"])]
+    assert order(joins.zipped(df(more), "id", "k", "v").where("id is null or id <> 2 or key <> 'a'").collect()) == order([x for x in want if x[0] != 2] + [(2, "c", "t"), (None, "a", "3"), (None, "b", "2")])
+    monkeypatch.setattr(batches, "TOKENS", 8)
+    batch = pa.RecordBatch.from_pydict({"id": [1, 2], "k": [["a", "b", "a"], ["a"]], "v": [["x", "y", "z"], ["p"]]})
+    assert [b.to_pylist() for b in joins._last_values(iter([batch]))] == [[{"id": 1, "key": "a", "value": "z"}, {"id": 1, "key": "b", "value": "y"}], [{"id": 2, "key": "a", "value": "p"}]]
+
+
+def test_fields_in_numbers_stay_in_the_jvm(spark):
+    """Every field of a record is in one of the two results, with what its resolver gives, and rows that Python has to see are chosen before it."""
+    chunks = ["c. 1820-03-04", "1820", "4 march 1820", "march 1820 (circa)", "?", "", None, "1820-13", "12/3/1820"]
+    records = spark.createDataFrame([(f"Q{i}", {"born": c, "died": c, "sex": c, "x": c}, "u") for i, c in enumerate(chunks)], "s string, f map<string,string>, u string")
+    properties = spark.createDataFrame([("born", "P569"), ("died", "P570"), ("sex", "P21")], "field string, property string")
+    good, bad = statements.from_fields(records, "s", "f", properties, "u")
+    each = records.select("s", "u", F.explode("f").alias("field", "chunk")).join(properties, "field").withColumn("value", statements.resolve(F.col("property"), F.col("chunk")))
+    assert sorted(map(tuple, good.select("s", "property").collect())) == sorted(map(tuple, each.where("value is not null").select("s", "property").collect()))
+    assert sorted(map(repr, bad.select("s", "property", "chunk").collect())) == sorted(map(repr, each.where("value is null").select("s", "property", "chunk").collect()))
+    assert good.count() + bad.count() == 3 * len(chunks)
+    texts = [r.statement.split("\t")[2] for r in good.where("s = 'Q2'").collect()]
+    assert texts == ["+00000001820-03-04T00:00:00Z/11"] * 2
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Union") < plan.index("ArrowEvalPython")
