@@ -38,13 +38,30 @@ def gender(value: Column) -> Column:
     return F.when(v.isin("male", "m", "man"), "Q6581097").when(v.isin("female", "f", "woman"), "Q6581072")
 
 
+_NUMERIC = r"^(\d{4})(?:-(\d{1,2}))?(?:-(\d{1,2}))?$"
+
+
+def _bare(value: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(value), r"\((?:circa|probable|presumed)\)|c\.", ""))
+
+
+def _once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is worked out once, however often f names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def numeric_date(value: Column) -> Column:
+    """A date in numbers, without Python; null for other forms."""
+    part = lambda p, i: F.get(p, F.lit(i)).cast("int")
+    dated = lambda b: F.when(b.rlike(_NUMERIC), _once(F.split(b, "-"), lambda p: format_date(part(p, 0), part(p, 1), part(p, 2))))
+    return _once(_bare(value), dated)
+
+
 @resolver("P569", "P570")
 def date(value: Column) -> Column:
-    bare = F.trim(F.regexp_replace(F.lower(value), r"\((?:circa|probable|presumed)\)|c\.", ""))
-    full = F.regexp_extract(bare, r"^(\d{4})(?:-(\d{1,2}))?(?:-(\d{1,2}))?$", 1)
-    other = lenient(F.when(full == "", bare))
-    part = lambda g: F.nullif(F.regexp_extract(bare, r"^(\d{4})(?:-(\d{1,2}))?(?:-(\d{1,2}))?$", g), F.lit("")).cast("int")
-    return F.when(full != "", format_date(part(1), part(2), part(3))).otherwise(format_date(other["year"], other["month"], other["day"]))
+    numeric = _bare(value).rlike(_NUMERIC)
+    other = lenient(F.when(~numeric, _bare(value)))
+    return F.when(numeric, numeric_date(value)).otherwise(format_date(other["year"], other["month"], other["day"]))
 
 
 _TITLES = {
@@ -76,10 +93,10 @@ def searched(rows: DataFrame, things: DataFrame, nationalities: DataFrame) -> Da
     return by.groupBy("property", "value").agg(F.min_by("id", "part").alias("id"))
 
 
-def resolve(property_: Column, value: Column) -> Column:
-    """The value as its property's resolver gives it; null for properties without one."""
+def resolve(property_: Column, value: Column, but: dict[str, Resolver] | None = None) -> Column:
+    """The value as its property's resolver gives it, or that of `but`; null for properties without one."""
     out = F.lit(None).cast("string")
-    for p, f in _RESOLVERS.items():
+    for p, f in (_RESOLVERS | (but or {})).items():
         out = F.when(property_ == p, f(value)).otherwise(out)
     return out
 
@@ -94,9 +111,14 @@ def reference(url: Column) -> list[Column]:
 
 
 def from_fields(records: DataFrame, subject: str, fields: str, properties: DataFrame, url: str) -> tuple[DataFrame, DataFrame]:
-    """Statements from a map of fields, and what could not be resolved: all mapped fields are in one of the two. properties (field, property)."""
+    """Statements from a map of fields, and what could not be resolved: all mapped fields are in one of the two. properties (field, property). Dates in words are the
+    only fields that Python sees; a column of it would take all fields there."""
     each = records.select(subject, url, F.explode(fields).alias("field", "chunk")).join(sized(properties), "field")
-    done = each.withColumn("value", resolve(F.col("property"), F.col("chunk")))
+    own = [p for p in DATES if _RESOLVERS.get(p) is date]
+    words = F.coalesce(F.col("property").isin(*own) & ~_bare(F.col("chunk")).rlike(_NUMERIC), F.lit(False))
+    done = each.where(~words).withColumn("value", resolve(F.col("property"), F.col("chunk"), dict.fromkeys(own, numeric_date)))
+    if own:
+        done = done.unionByName(each.where(words).withColumn("value", date(F.col("chunk"))))
     good = done.where("value is not null").select(subject, "property", statement(F.col(subject), F.col("property"), F.col("value"), *reference(F.col(url))).alias("statement"))
     return good, done.where("value is null").select(subject, "property", "chunk", url)
 

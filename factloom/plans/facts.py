@@ -133,7 +133,8 @@ def _records(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
         F.lit("born"), F.concat(F.lit("c. "), F.date_format("o_orderdate", "yyyy-MM-dd")), F.lit("sex"), F.when(F.col("o_orderstatus") == "F", "Female").otherwise(F.lit("?")),
         F.lit("child"), F.col("o_orderpriority"), F.lit("hobby"), F.lit("none"),
     )
-    rows = table(spark, d, "orders").select(F.concat(F.lit("Q"), F.col("o_orderkey").cast("string")).alias("subject"), fields.alias("fields"), F.lit("http://example.org/o").alias("url"))
+    orders = spread(table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority"), 256 << 20)
+    rows = orders.select(F.concat(F.lit("Q"), F.col("o_orderkey").cast("string")).alias("subject"), fields.alias("fields"), F.lit("http://example.org/o").alias("url"))
     return statements.from_fields(rows, "subject", "fields", spark.createDataFrame(list(FIELDS), "field string, property string"), "url")
 
 
